@@ -326,15 +326,23 @@ from events where event_type = 'error'"""
 
 # Kafka-shaped change messages (not a bronze table: no conform step).
 CDC_RAW = """
+with e as (select *, cast(user_id as varchar) as uid, user_id % 2 <> 0 as emp,
+    cast(cast(value as decimal(18,2)) as varchar) as amt from events)
 select case user_id % 3 when 0 then 'abc' when 1 then 'xyz' else 'rtl' end || '.' ||
-    case when user_id % 2 = 0 then 'sales.customers' else 'hr.employees' end as topic,
+    case when not emp then 'sales.customers' else 'hr.employees' end as topic,
   cast(user_id % 4 as integer) as "partition", event_id as "offset", ts as "timestamp",
   '{"op":"' || case event_type when 'signup' then 'c' when 'error' then 'd' when 'click' then 'r' else 'u' end
-    || '","before":' || case when event_type = 'error' then '{"id":' || cast(user_id as varchar) || '}' else 'null' end
-    || ',"after":' || case when event_type = 'error' then 'null' else '{"id":' || cast(user_id as varchar)
-    || ',"event_id":' || cast(event_id as varchar) || ',"status":"' || event_type || '"}' end
-    || ',"ts_ms":' || cast(epoch_ms(ts) as varchar) || '}' as value
-from events"""
+    || '","before":' || case when event_type = 'error' then '{"id":' || uid || '}' else 'null' end
+    || ',"after":' || case
+      when event_type = 'error' then 'null'
+      when event_type = 'view' and emp then '{"id":' || uid || ',"position":"' || event_type || '"}'
+      when event_type = 'view' then '{"id":' || uid || ',"customer_name":"' || event_type || '"}'
+      when emp then '{"id":' || uid || ',"employee_id":"EMP-' || uid || '","position":"' || event_type
+        || '","basic_salary":' || amt || '}'
+      else '{"id":' || uid || ',"customer_id":"CUST-' || uid || '","customer_name":"' || event_type
+        || '","phone":"' || cast(event_id as varchar) || '"}' end
+    || ',"ts_ms":' || cast(epoch_us(ts) // 1000 as varchar) || '}' as value
+from e"""
 
 SUBSIDIARIES_SQL = """
 select * from (values

@@ -1 +1,239 @@
-"""Catalogue entries (filled in below)."""
+"""Catalogue entries for change capture, the event log, state and history."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.operators import cdc, history, monitor
+from strata.plans.catalog import query
+from strata.plans.oracle import EXTRA_CTES
+from strata.schemas import TABLES
+
+# The consumption time and the monitoring clock used by the
+# catalogue (every "now" is an argument, never the wall clock).
+CONSUMED_AT = "2024-02-01 00:00:00"
+LOG_CUTOFF = "2024-01-15 00:00:00"     # messages before this were consumed already
+AS_OF = "2024-01-30 12:00:00"
+AUDIT_DAY = "2024-01-31"
+
+
+def parsed_log(lake):
+    ok, _bad = cdc.split_valid(cdc.parse_envelope(lake.cdc_messages(), consumed_at=CONSUMED_AT))
+    return ok
+
+
+EXTRA_CTES["ox_cdc_log"] = f"""
+with m as (select *, json_extract_string(value, '$.op') as op,
+    nullif(json_extract(value, '$.before')::varchar, 'null') as b,
+    nullif(json_extract(value, '$.after')::varchar, 'null') as a,
+    cast(json_extract(value, '$.ts_ms') as bigint) as ms from fx_cdc_raw)
+select topic as kafka_topic, "partition" as kafka_partition, "offset" as kafka_offset,
+  upper(split_part(topic, '.', 1)) as subsidiary_id, split_part(topic, '.', 2) as source_dept,
+  split_part(topic, '.', 3) as source_table,
+  case coalesce(op, 'c') when 'c' then 'INSERT' when 'u' then 'UPDATE' when 'd' then 'DELETE'
+    when 'r' then 'SNAPSHOT' else 'INSERT' end as operation,
+  coalesce(json_extract_string(coalesce(a, b), '$.id'), '') as record_id,
+  b as before_state, a as after_state, epoch_ms(ms) as event_ts,
+  timestamp '{CONSUMED_AT}' as consumed_at, false as is_processed
+from m"""
+
+
+@query("cdc_parse", "select * from ox_cdc_log")
+def cdc_parse(lake):
+    """Change messages -> event-log rows (valid rows only)."""
+    return parsed_log(lake)
+
+
+@query("cdc_quarantine", """
+select kafka_topic, kafka_partition, kafka_offset, value as raw_value, 'x' as reject_reason
+from (select topic as kafka_topic, "partition" as kafka_partition, "offset" as kafka_offset, value
+      from fx_cdc_raw) where false""")
+def cdc_quarantine(lake):
+    """T5: rejected messages with their reason (none in a clean feed)."""
+    _ok, bad = cdc.split_valid(cdc.parse_envelope(lake.cdc_messages(), consumed_at=CONSUMED_AT))
+    return bad
+
+
+@query("cdc_log_dedup", "select * from ox_cdc_log")
+def cdc_log_dedup(lake):
+    """M1: re-delivered and doubled messages append once.
+
+    The log already holds everything before LOG_CUTOFF; the next batch
+    re-delivers the whole feed twice. The appended log equals the feed.
+    """
+    log = parsed_log(lake)
+    log0 = log.filter(F.col("event_ts") < F.lit(LOG_CUTOFF).cast("timestamp_ntz"))
+    batch = log.unionByName(log)
+    return log0.unionByName(cdc.append_cdc_log(log0, batch))
+
+
+@query("cdc_state", """
+with r as (select *, operation = 'DELETE' as is_del,
+    operation <> 'DELETE' and after_state is not null as up from ox_cdc_log)
+select source_table, subsidiary_id, record_id,
+  arg_max(after_state, kafka_offset) filter (where up) as after_state,
+  arg_max(operation, kafka_offset) filter (where up) as cdc_operation,
+  arg_max(is_del, kafka_offset) as is_deleted,
+  case when arg_max(is_del, kafka_offset) then max(event_ts) filter (where is_del) end as deleted_at,
+  min(event_ts) as first_event_ts, max(event_ts) as last_event_ts, count(*) as n_events,
+  max(kafka_offset) as last_offset
+from r group by source_table, subsidiary_id, record_id
+having count(*) filter (where up) > 0""")
+def cdc_state(lake):
+    """M2-M4 over the whole log: latest image, op and soft-delete flag per record."""
+    return cdc.record_state(parsed_log(lake))
+
+
+def _typed_sql(col: str, kind_sql: str) -> str:
+    t = {"string": "varchar", "timestamp_ntz": "timestamp", "int": "integer"}.get(kind_sql, kind_sql)
+    return f"cast(json_extract_string(after_state, '$.{col}') as {t})"
+
+
+def _typed_state_sql(table: str) -> str:
+    from strata.schemas import SQL_TYPES
+    t = TABLES[table]
+    fields = [c for c in t.columns if c.name not in ("id", "subsidiary_id", "ingested_at",
+                                                     "is_deleted", "deleted_at")]
+    cols = []
+    for c in t.columns:
+        if c.name == "id":
+            cols.append("id")
+        elif c.name == "subsidiary_id":
+            cols.append("subsidiary_id")
+        elif c.name == "ingested_at":
+            cols.append("min(event_ts) as ingested_at")
+        elif c.name == "is_deleted":
+            cols.append("arg_max(is_del, kafka_offset) as is_deleted")
+        elif c.name == "deleted_at":
+            cols.append("case when arg_max(is_del, kafka_offset) then max(event_ts) filter (where is_del) "
+                        "end as deleted_at")
+        else:
+            val = (f"arg_max({_typed_sql(c.name, SQL_TYPES[c.kind])}, kafka_offset) filter "
+                   f"(where up and list_contains(json_keys(after_state), '{c.name}'))")
+            if c.not_null and c.default is not None and c.default != "now":
+                val = f"coalesce({val}, {c.default})"
+            cols.append(f"{val} as {c.name}")
+    assert fields
+    return f"""
+with r as (select *, operation = 'DELETE' as is_del,
+    operation <> 'DELETE' and after_state is not null as up,
+    cast(json_extract_string(case when operation = 'DELETE' then before_state else after_state end, '$.id')
+      as integer) as id
+  from ox_cdc_log where source_table = '{table}')
+select {', '.join(cols)},
+  arg_max(operation, kafka_offset) filter (where up) as cdc_operation,
+  arg_max(event_ts, kafka_offset) as cdc_event_ts, max(kafka_offset) as cdc_offset
+from r where id is not null group by subsidiary_id, id
+having count(*) filter (where up) > 0"""
+
+
+def _typed_state(table):
+    def build(lake):
+        return cdc.merge_changes(None, parsed_log(lake), table)
+    build.__doc__ = f"M2-M5: typed bronze state of {table} merged from the change log."
+    return build
+
+
+for _t in ("employees", "customers"):
+    query(f"cdc_state_{_t}", _typed_state_sql(_t))(_typed_state(_t))
+
+
+@query("cdc_state_incremental", _typed_state_sql("employees"))
+def cdc_state_incremental(lake):
+    """M2-M5 applied in two batches (state after the first, then the rest) —
+    must equal the one-shot merge: merge is associative over batches."""
+    log = parsed_log(lake)
+    cut = F.lit(LOG_CUTOFF).cast("timestamp_ntz")
+    s1 = cdc.merge_changes(None, log.filter(F.col("event_ts") < cut), "employees")
+    return cdc.merge_changes(s1, log.filter(F.col("event_ts") >= cut), "employees")
+
+
+@query("scd2_history", """
+with e as (select source_table, subsidiary_id, record_id, kafka_offset, event_ts, after_state,
+    operation = 'DELETE' as is_del from ox_cdc_log where operation = 'DELETE' or after_state is not null),
+p as (select *, lag(after_state) over w as prev_a, lag(is_del) over w as prev_del from e
+  window w as (partition by source_table, subsidiary_id, record_id order by kafka_offset, event_ts)),
+b as (select * from p where (not is_del and (prev_del is null or prev_del or prev_a is distinct from after_state))
+    or (is_del and prev_del is not null and not prev_del)),
+n as (select *, lead(event_ts) over (partition by source_table, subsidiary_id, record_id
+    order by kafka_offset, event_ts) as nxt from b)
+select source_table, subsidiary_id, record_id, after_state, event_ts as valid_from, nxt as valid_to,
+  nxt is null as is_current, kafka_offset as version_offset
+from n where not is_del""")
+def scd2_history(lake):
+    """Type-2 validity intervals per record from the change log."""
+    return history.scd2(parsed_log(lake))
+
+
+@query("cdc_event_audit", f"""
+select cast(event_ts as date) as event_date, source_dept, operation, count(*) as event_count
+from ox_cdc_log where event_ts >= date '{AUDIT_DAY}' - interval 7 day
+group by cast(event_ts as date), source_dept, operation""")
+def cdc_event_audit(lake):
+    """Events per day, department and operation over the last 7 days."""
+    return monitor.cdc_event_audit(parsed_log(lake), AUDIT_DAY)
+
+
+@query("cdc_status", f"""
+select count(*) as total_events, max(event_ts) as last_event_ts
+from ox_cdc_log where event_ts >= timestamp '{AS_OF}' - interval 30 minute""")
+def cdc_status(lake):
+    """Events and newest event time in the last 30 minutes."""
+    return monitor.cdc_status(parsed_log(lake), AS_OF)
+
+
+@query("cdc_freshness", f"""
+select case when max(event_ts) is not null then 'ok' else 'warning' end as status,
+  max(event_ts) as last_event_ts
+from ox_cdc_log where event_ts > timestamp '{AS_OF}' - interval 5 minute""")
+def cdc_freshness(lake):
+    """A10: ok when an event arrived within the last 5 minutes (strict)."""
+    return monitor.cdc_freshness(parsed_log(lake), AS_OF)
+
+
+@query("offset_lag", f"""
+with latest as (select topic as kafka_topic, "partition" as kafka_partition, max("offset") as latest_offset
+    from fx_cdc_raw group by 1, 2),
+consumed as (select kafka_topic, kafka_partition, max(kafka_offset) as consumed_offset
+    from ox_cdc_log where event_ts < timestamp '{LOG_CUTOFF}' group by 1, 2)
+select l.kafka_topic, l.kafka_partition, l.latest_offset, c.consumed_offset,
+  l.latest_offset - coalesce(c.consumed_offset, -1) as lag
+from latest l left join consumed c on l.kafka_topic = c.kafka_topic and l.kafka_partition = c.kafka_partition""")
+def offset_lag(lake):
+    """Consumer lag per topic-partition: newest offset on the feed minus newest consumed."""
+    msgs = lake.cdc_messages()
+    latest = (msgs.groupBy(F.col("topic").alias("kafka_topic"),
+                           F.col("partition").cast("int").alias("kafka_partition"))
+                  .agg(F.max("offset").alias("latest_offset")))
+    log = parsed_log(lake).filter(F.col("event_ts") < F.lit(LOG_CUTOFF).cast("timestamp_ntz"))
+    return monitor.offset_lag(log, latest)
+
+
+@query("dedupe_latest", """
+select * from (select *, row_number() over (partition by l_orderkey, l_linenumber
+  order by l_shipdate desc, l_orderkey desc, l_partkey desc, l_suppkey desc, l_linenumber desc,
+    l_quantity desc, l_extendedprice desc, l_discount desc, l_tax desc, l_returnflag desc,
+    l_linestatus desc) as rn from lineitem) t where rn = 1""")
+def dedupe_latest(lake):
+    """Latest row per (l_orderkey, l_linenumber) by ship date (ties: all columns)."""
+    li = lake.source("lineitem")
+    return history.dedupe_latest(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"]).select(
+        *li.columns, F.lit(1).cast("bigint").alias("rn"))
+
+
+@query("ownership_closed", """
+with t as (select subsidiary_id, sum(cast(ownership_pct * 100 as bigint)) as total,
+    max(stockholder_id) as last_id from br_stockholders group by subsidiary_id),
+r as (select s.*, t.total, t.last_id,
+    (cast(s.ownership_pct * 100 as bigint) * 20000 + t.total) // (t.total * 2) as bp
+  from br_stockholders s join t on s.subsidiary_id = t.subsidiary_id),
+o as (select subsidiary_id, sum(bp) as others from r where stockholder_id <> last_id group by subsidiary_id)
+select r.subsidiary_id, r.stockholder_id, r.name, r.is_foreign,
+  cast(case when r.stockholder_id = r.last_id then 10000 - coalesce(o.others, 0) else r.bp end / 100.0
+    as decimal(6,2)) as ownership_pct
+from r left join o on r.subsidiary_id = o.subsidiary_id""")
+def ownership_closed(lake):
+    """Stockholder percentages per subsidiary closed to exactly 100."""
+    sh = lake.bronze("stockholders").select("subsidiary_id", "stockholder_id", "name",
+                                            "is_foreign", "ownership_pct")
+    return history.close_to_100(sh)

@@ -538,24 +538,33 @@ def system_incidents(src: TestTables) -> DataFrame:
 def cdc_raw(src: TestTables) -> DataFrame:
     """Kafka-shaped change messages (topic, partition, offset, timestamp, value).
 
-    Every user is one record of ``<sub>.sales.customers`` or ``<sub>.hr.employees``
-    and stays in partition ``user_id % 4``; offsets follow event time
-    (``event_id`` increases with ``ts``), so offset order is change order.
-    signup -> create, click -> snapshot read, error -> delete, else update.
+    Every user is one record of ``<sub>.sales.customers`` (even ids) or
+    ``<sub>.hr.employees`` (odd ids) and stays in partition ``user_id % 4``;
+    offsets follow event time (``event_id`` increases with ``ts``), so offset
+    order is change order. signup -> create, click -> snapshot read,
+    error -> delete, else update; ``view`` updates carry a partial image.
     """
     e = src("events")
     et = F.col("event_type")
     uid = s("user_id")
+    emp = F.col("user_id") % 2 != 0
     topic = F.concat(F.element_at(F.array(F.lit("abc"), F.lit("xyz"), F.lit("rtl")),
                                   (F.col("user_id") % 3).cast("int") + 1), F.lit("."),
-                     F.when(F.col("user_id") % 2 == 0, F.lit("sales.customers"))
-                      .otherwise(F.lit("hr.employees")))
+                     F.when(~emp, F.lit("sales.customers")).otherwise(F.lit("hr.employees")))
     op = (F.when(et == "signup", "c").when(et == "error", "d").when(et == "click", "r")
            .otherwise("u"))
+    amount = F.col("value").cast("decimal(18,2)").cast("string")
+    full_emp = F.concat(F.lit('{"id":'), uid, F.lit(',"employee_id":"EMP-'), uid,
+                        F.lit('","position":"'), et, F.lit('","basic_salary":'), amount, F.lit("}"))
+    part_emp = F.concat(F.lit('{"id":'), uid, F.lit(',"position":"'), et, F.lit('"}'))
+    full_cus = F.concat(F.lit('{"id":'), uid, F.lit(',"customer_id":"CUST-'), uid,
+                        F.lit('","customer_name":"'), et, F.lit('","phone":"'), s("event_id"),
+                        F.lit('"}'))
+    part_cus = F.concat(F.lit('{"id":'), uid, F.lit(',"customer_name":"'), et, F.lit('"}'))
     before = F.when(et == "error", F.concat(F.lit('{"id":'), uid, F.lit("}"))).otherwise(F.lit("null"))
-    after = F.when(et == "error", F.lit("null")).otherwise(
-        F.concat(F.lit('{"id":'), uid, F.lit(',"event_id":'), s("event_id"),
-                 F.lit(',"status":"'), et, F.lit('"}')))
+    after = (F.when(et == "error", F.lit("null"))
+              .when(et == "view", F.when(emp, part_emp).otherwise(part_cus))
+              .otherwise(F.when(emp, full_emp).otherwise(full_cus)))
     value = F.concat(F.lit('{"op":"'), op, F.lit('","before":'), before, F.lit(',"after":'),
                      after, F.lit(',"ts_ms":'),
                      F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit("}"))
