@@ -186,7 +186,7 @@ select c_custkey as id, {sub('c_nationkey')} as subsidiary_id, 'EMP-' || cast(c_
   cast(121000000 + c_custkey as varchar) as pagibig_number, c_mktsegment as department,
   case c_custkey % 3 when 0 then 'Staff' when 1 then 'Supervisor' else 'Manager' end as position,
   case when c_custkey % 10 < 7 then 'regular' else 'contractual' end as employment_type,
-  date '2010-01-01' + cast(c_custkey % 3650 as integer) as date_hired,
+  date '1990-01-01' + cast(c_custkey % 3650 as integer) as date_hired,
   cast(abs(c_acctbal) as decimal(18,2)) as basic_salary
 from customer"""
 

@@ -221,17 +221,7 @@ def dedupe_latest(lake):
         *li.columns, F.lit(1).cast("bigint").alias("rn"))
 
 
-@query("ownership_closed", """
-with t as (select subsidiary_id, sum(cast(ownership_pct * 100 as bigint)) as total,
-    max(stockholder_id) as last_id from br_stockholders group by subsidiary_id),
-r as (select s.*, t.total, t.last_id,
-    (cast(s.ownership_pct * 100 as bigint) * 20000 + t.total) // (t.total * 2) as bp
-  from br_stockholders s join t on s.subsidiary_id = t.subsidiary_id),
-o as (select subsidiary_id, sum(bp) as others from r where stockholder_id <> last_id group by subsidiary_id)
-select r.subsidiary_id, r.stockholder_id, r.name, r.is_foreign,
-  cast(case when r.stockholder_id = r.last_id then 10000 - coalesce(o.others, 0) else r.bp end / 100.0
-    as decimal(6,2)) as ownership_pct
-from r left join o on r.subsidiary_id = o.subsidiary_id""")
+@query("ownership_closed", "select * from ox_ownership")
 def ownership_closed(lake):
     """Stockholder percentages per subsidiary closed to exactly 100."""
     sh = lake.bronze("stockholders").select("subsidiary_id", "stockholder_id", "name",

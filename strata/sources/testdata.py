@@ -300,7 +300,7 @@ def employees(src: TestTables) -> DataFrame:
         F.col("c_mktsegment").alias("department"),
         F.when(k % 3 == 0, "Staff").when(k % 3 == 1, "Supervisor").otherwise("Manager").alias("position"),
         F.when(k % 10 < 7, "regular").otherwise("contractual").alias("employment_type"),
-        F.date_add(F.lit("2010-01-01").cast("date"), (k % 3650).cast("int")).alias("date_hired"),
+        F.date_add(F.lit("1990-01-01").cast("date"), (k % 3650).cast("int")).alias("date_hired"),
         money(F.abs("c_acctbal")).alias("basic_salary"))
     return conform(df, "employees")
 
