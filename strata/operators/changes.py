@@ -109,18 +109,24 @@ def insert_ignore(target: DataFrame | None, batch: DataFrame, table: str,
     """
     t = TABLES[table]
     keys = list(t.keys)
-    if not keys:
+    keyless = not keys
+    if keyless:
         if not dedupe_keyless:
             return batch
-        keys = [c for c in t.names if c not in ("id", "ingested_at", "is_deleted", "deleted_at")]
-    b = batch.filter(_all([F.col(k).isNotNull() for k in keys]))
+        keys = [c for c in t.names if c in batch.columns
+                and c not in ("id", "ingested_at", "is_deleted", "deleted_at")]
+    b = batch if keyless else batch.filter(_all([F.col(k).isNotNull() for k in keys]))
     rank = F.struct(*([F.col(order)] if order else []),
                     *[F.col(c) for c in batch.columns if c != order])
     row = F.struct(*[F.col(c) for c in batch.columns])
     first = b.groupBy(*keys).agg(F.min_by(row, rank).alias("_r")).select("_r.*")
     if target is None:
         return first
-    present = target.select(*keys).filter(_all([F.col(k).isNotNull() for k in keys])).distinct()
+    present = target.select(*keys)
+    if keyless:  # NULL-safe equality on every business column
+        cond = [first[k].eqNullSafe(present[k]) for k in keys]
+        return first.join(present.distinct(), cond, "left_anti").select(*batch.columns)
+    present = present.filter(_all([F.col(k).isNotNull() for k in keys])).distinct()
     return first.join(present, keys, "left_anti").select(*batch.columns)
 
 

@@ -19,10 +19,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only below a size that AQE measures at run time; anything
-    # larger goes to a sort-merge / shuffled-hash join.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast only sides whose size (file statistics at planning, measured
+    # shuffle output under AQE) is below 10 MB; larger sides sort-merge join.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
