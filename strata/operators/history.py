@@ -15,6 +15,7 @@ the data. Instead:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,31 +23,51 @@ from strata.session import shared_dir
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list[str], values: list[str],
-               slices: int | None = None) -> DataFrame:
+               slices: int | None = None, slice_col: str | None = None,
+               slice_width: int = 1_000_000) -> DataFrame:
     """Add ``_prev`` / ``_next``: struct(values) of the previous / next row of the
-    same key in ``order`` (which must be a total order within a key)."""
+    same key in ``order`` (which must be a total order within a key).
+
+    Slicing: with ``slice_col`` (an integer column unique within a key, such
+    as a Kafka offset) a slice is ``floor(slice_col / slice_width)`` — at most
+    ``slice_width`` rows of a key per slice, deterministic, no sampling.
+    Otherwise slices are a sampled range partitioning on (key, order),
+    materialised once with a reliable checkpoint so recomputation after a
+    lost executor cannot re-slice differently.
+    """
     spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
-           .withColumn("_slice", F.spark_partition_id())
-           .withColumn("_v", F.struct(*[F.col(c) for c in values]))
-           .withColumn("_o", F.struct(*[F.col(c) for c in order])))
+    if slice_col is not None:
+        r = df.withColumn("_slice", F.floor(F.col(slice_col) / slice_width))
+    else:
+        n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        r = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
+               .withColumn("_slice", F.spark_partition_id()))
+    r = (r.withColumn("_v", F.struct(*[F.col(c) for c in values]))
+          .withColumn("_o", F.struct(*[F.col(c) for c in order])))
     w = Window.partitionBy(*keys, "_slice").orderBy(*order)
     r = r.withColumn("_prev", F.lag("_v").over(w)).withColumn("_next", F.lead("_v").over(w))
-    # Slice ids come from a sampled range partitioning: materialise them once
-    # (reliable checkpoint in the shared folder) so the edge table and the
-    # rows agree even if a task or executor is recomputed.
-    shared_dir(spark)
-    r = r.checkpoint(eager=True)
-    edges = (r.groupBy(*keys, "_slice")
-              .agg(F.min_by("_v", "_o").alias("_first"), F.max_by("_v", "_o").alias("_last")))
+    if slice_col is None:
+        shared_dir(spark)
+        r = r.checkpoint(eager=True)
+    else:
+        # Deterministic slices: a cached copy (recomputed identically if an
+        # executor is lost) feeds the row, border and edge branches.
+        r = r.persist(StorageLevel.MEMORY_AND_DISK)
+    # Only the first and last row of each (key, slice) can miss a neighbour;
+    # they alone build the edge table and take part in the join.
+    border = r.filter(F.col("_prev").isNull() | F.col("_next").isNull())
+    inner = r.filter(F.col("_prev").isNotNull() & F.col("_next").isNotNull())
+    edges = (border.groupBy(*keys, "_slice")
+                   .agg(F.first(F.when(F.col("_prev").isNull(), F.col("_v")), ignorenulls=True).alias("_first"),
+                        F.first(F.when(F.col("_next").isNull(), F.col("_v")), ignorenulls=True).alias("_last")))
     we = Window.partitionBy(*keys).orderBy("_slice")
     edges = edges.select(*keys, "_slice", F.lag("_last").over(we).alias("_prev_edge"),
                          F.lead("_first").over(we).alias("_next_edge"))
-    r = r.join(edges, keys + ["_slice"], "left")
-    return (r.withColumn("_prev", F.coalesce("_prev", "_prev_edge"))
-             .withColumn("_next", F.coalesce("_next", "_next_edge"))
-             .drop("_prev_edge", "_next_edge", "_slice", "_v", "_o"))
+    fixed = (border.join(edges, keys + ["_slice"], "left")
+                   .withColumn("_prev", F.coalesce("_prev", "_prev_edge"))
+                   .withColumn("_next", F.coalesce("_next", "_next_edge"))
+                   .drop("_prev_edge", "_next_edge"))
+    return inner.unionByName(fixed).drop("_slice", "_v", "_o")
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -69,7 +90,8 @@ def scd2(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
     event of the key (or follows a delete); consecutive unchanged images are
     one version. A version ends at the next version or delete of the key.
     Output: key, after_state, valid_from, valid_to (NULL = open),
-    is_current, version_offset.
+    is_current, version_offset. A record's events share one topic-partition,
+    so offsets are unique within a key and slice the scan (``neighbours``).
     """
     keys = keys or ["source_table", "subsidiary_id", "record_id"]
     order = ["kafka_offset", "event_ts", "kafka_topic", "kafka_partition"]
@@ -77,12 +99,12 @@ def scd2(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
     ev = (log.filter(is_del | F.col("after_state").isNotNull())
              .select(*keys, *order, "after_state", is_del.alias("_del"),
                      F.xxhash64("after_state").alias("_h")))
-    nb = neighbours(ev, keys, order, ["_h", "_del"])
+    nb = neighbours(ev, keys, order, ["_h", "_del"], slice_col="kafka_offset")
     p = F.col("_prev")
     new_version = ~F.col("_del") & (p.isNull() | p["_del"] | (p["_h"] != F.col("_h")))
     closes = F.col("_del") & p.isNotNull() & ~p["_del"]
     b = nb.filter(new_version | closes).drop("_prev", "_next")
-    nb2 = neighbours(b, keys, order, ["event_ts"])
+    nb2 = neighbours(b, keys, order, ["event_ts"], slice_col="kafka_offset")
     return nb2.filter(~F.col("_del")).select(
         *keys, "after_state", F.col("event_ts").alias("valid_from"),
         F.col("_next.event_ts").alias("valid_to"), F.col("_next").isNull().alias("is_current"),

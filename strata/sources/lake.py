@@ -54,14 +54,46 @@ class FixtureLake(Lake):
 
 
 class ParquetLake(Lake):
-    def __init__(self, spark: SparkSession, root: str):
+    """Bronze tables stored as versioned Parquet under ``<root>/bronze``.
+
+    ``sources_dir`` optionally names the raw source tables (for operators
+    that read them directly, e.g. de-duplication of source rows).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, sources_dir: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.sources_dir = sources_dir
 
     def raw(self, name: str) -> DataFrame:
         from strata.sources.store import read_table
+        if name == "subsidiaries":
+            return testdata.subsidiaries(self.spark)
         return read_table(self.spark, self.root, "bronze", name)
 
     def cdc_messages(self) -> DataFrame:
         from strata.sources.store import read_table
         return read_table(self.spark, self.root, "landing", "cdc_messages")
+
+    def source(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sources_dir}/{name}.parquet")
+
+
+def materialize(lake: FixtureLake, root: str, version: int = 1,
+                tables: list[str] | None = None, workers: int = 4) -> ParquetLake:
+    """Write every bronze table and the change feed of ``lake`` as versioned
+    Parquet under ``root`` (the daily ingest step) and return a lake over it.
+    Independent tables are written concurrently from a small thread pool."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from strata.sources.store import table_path, write_version
+
+    names = tables or list(testdata.FIXTURES)
+    jobs = [(lambda n=n: write_version(lake.raw(n), table_path(root, "bronze", n), version))
+            for n in names]
+    jobs.append(lambda: write_version(lake.cdc_messages(), table_path(root, "landing", "cdc_messages"),
+                                      version))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+    return ParquetLake(lake.spark, root, lake.sf_dir)

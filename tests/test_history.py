@@ -24,6 +24,23 @@ def test_neighbours_hot_key_matches_brute_force(spark):
             assert res[(k, o)] == want, (k, o)
 
 
+def test_neighbours_offset_slices_match_brute_force(spark):
+    rnd = random.Random(11)
+    data = [("hot", i * 3 + rnd.randint(0, 2), 0) for i in range(2000)]
+    data += [(f"k{j}", rnd.randint(0, 10_000), 0) for j in range(300)]
+    df = spark.createDataFrame(data, "k string, o long, v int").dropDuplicates(["k", "o"])
+    got = history.neighbours(df, ["k"], ["o"], ["o"], slice_col="o", slice_width=100)
+    res = {(r.k, r.o): (r._prev.o if r._prev else None, r._next.o if r._next else None)
+           for r in got.collect()}
+    by_key = {}
+    for r in df.collect():
+        by_key.setdefault(r.k, []).append(r.o)
+    for k, os_ in by_key.items():
+        os_ = sorted(os_)
+        for i, o in enumerate(os_):
+            assert res[(k, o)] == (os_[i - 1] if i else None, os_[i + 1] if i + 1 < len(os_) else None)
+
+
 def test_hot_key_is_split_across_slices(spark):
     df = spark.createDataFrame([("hot", i) for i in range(4000)], "k string, o int")
     r = df.repartitionByRange(8, "k", "o").withColumn("p", F.spark_partition_id())
