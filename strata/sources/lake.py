@@ -79,21 +79,44 @@ class ParquetLake(Lake):
         return self.spark.read.parquet(f"{self.sources_dir}/{name}.parquet")
 
 
+# Fixtures derived from another fixture: table -> (parent table, argument name).
+DERIVED = {"vat_returns": ("sales_transactions", "sales"), "journal_entries": ("ar_ledger", "ar"),
+           "wht_filings": ("ap_invoices", "ap"), "wht_certificates": ("ap_invoices", "ap"),
+           "statutory_contributions": ("payroll_runs", "payroll")}
+
+
 def materialize(lake: FixtureLake, root: str, version: int = 1,
                 tables: list[str] | None = None, workers: int = 4) -> ParquetLake:
     """Write every bronze table and the change feed of ``lake`` as versioned
     Parquet under ``root`` (the daily ingest step) and return a lake over it.
-    Independent tables are written concurrently from a small thread pool."""
+
+    Two waves: independent tables first (concurrently, from a small thread
+    pool), then the tables derived from them, reading the stored parents
+    instead of deriving them again.
+    """
     from concurrent.futures import ThreadPoolExecutor
 
-    from strata.sources.store import table_path, write_version
+    from strata.sources.store import read_table, table_path, write_version
+
+    names = list(testdata.FIXTURES) if tables is None else tables
+    first = [n for n in names if n not in DERIVED or DERIVED[n][0] not in names]
+    second = [n for n in names if n not in first]
+
+    def write(n, df):
+        return lambda: write_version(df(), table_path(root, "bronze", n), version)
+
+    def run(jobs):
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            for f in [pool.submit(j) for j in jobs]:
+                f.result()
+
+    wave1 = [write(n, lambda n=n: lake.raw(n)) for n in first]
+    wave1.append(lambda: write_version(lake.cdc_messages(),
+                                       table_path(root, "landing", "cdc_messages"), version))
+    run(wave1)
 
-    names = tables or list(testdata.FIXTURES)
-    jobs = [(lambda n=n: write_version(lake.raw(n), table_path(root, "bronze", n), version))
-            for n in names]
-    jobs.append(lambda: write_version(lake.cdc_messages(), table_path(root, "landing", "cdc_messages"),
-                                      version))
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        for f in [pool.submit(j) for j in jobs]:
-            f.result()
+    def derived(n):
+        parent, arg = DERIVED[n]
+        return testdata.FIXTURES[n](lake.src, **{arg: read_table(lake.spark, root, "bronze", parent)})
+    run([write(n, lambda n=n: derived(n)) for n in second])
     return ParquetLake(lake.spark, root, lake.sf_dir)
