@@ -182,7 +182,14 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
              if batch_time else F.col("event_ts").alias("_seen")]
     events = ch.select(*cols).filter(F.col("id").isNotNull())
 
+    untouched = None
     if state is not None:
+        # Only state rows whose key occurs in this batch take part in the
+        # aggregate; the rest pass through unchanged. The batch's key set is
+        # small, so AQE broadcasts it and the state is scanned, not shuffled.
+        touched = events.select("subsidiary_id", "id").distinct()
+        untouched = state.join(touched, ["subsidiary_id", "id"], "left_anti")
+        state = state.join(touched, ["subsidiary_id", "id"], "left_semi")
         s_ord = F.struct(F.coalesce(F.col("cdc_offset"), F.lit(-1).cast("long")).alias("o"),
                          F.col("cdc_event_ts").alias("t"))
         scols = [F.col("subsidiary_id"), F.col("id").cast("int").alias("id"),
@@ -214,8 +221,11 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
         else:
             e = F.col(c.name)
         final.append(e.cast(c.dtype).alias(c.name))
-    return merged.select(*final, "cdc_operation", F.col("_last.t").alias("cdc_event_ts"),
-                         F.col("_last.o").alias("cdc_offset"))
+    out = merged.select(*final, "cdc_operation", F.col("_last.t").alias("cdc_event_ts"),
+                        F.col("_last.o").alias("cdc_offset"))
+    if untouched is not None:
+        out = out.unionByName(untouched.select(*out.columns))
+    return out
 
 
 def default_value(c, now: Column) -> Column:

@@ -169,5 +169,53 @@ def run_incremental(ctx: RunContext, log: DataFrame) -> DataFrame:
     return write_run_log(ctx)
 
 
+def FEEDS_FOR_TEST() -> dict:
+    """The feed registry restricted to the vendor and customer feeds."""
+    from strata.schemas import FEEDS
+    return {k: v for k, v in FEEDS.items() if k in ("procurement_vendors", "sales_customers")}
+
+
 __all__ = ["RunContext", "run_daily", "run_weekly", "run_incremental", "refresh_gold_partitions",
            "log_run", "QualityGateError", "TABLES"]
+
+
+def ingest_all(spark: SparkSession, landing_root: str, root: str, ingested_at: str, version: int,
+               feeds: dict | None = None, workers: int = 4) -> DataFrame:
+    """Poll every registered feed from ``<landing_root>/<task_id>/`` and
+    insert-ignore it into bronze version ``version`` (previous version + new
+    rows); rejected rows go to ``quarantine/<table>``. Feeds sharing a table
+    (purchase orders from ops and procurement) are applied one after another.
+    Returns one run-log row per feed (fetched / inserted / rejected).
+    """
+    from strata.operators import changes
+    from strata.schemas import FEED_FALLBACKS, FEED_RENAMES, FEEDS
+    from strata.sources.landing import read_landing
+    feeds = FEEDS if feeds is None else feeds
+    by_table: dict[str, list[str]] = {}
+    for task, (_group, table, _lookback) in feeds.items():
+        by_table.setdefault(table, []).append(task)
+    log_rows = []
+
+    def one_table(table: str, tasks: list[str]) -> None:
+        base = store.table_path(root, "bronze", table)
+        current = store.read_latest(spark, base, before=version)
+        added = None
+        for task in tasks:
+            path = f"{landing_root.rstrip('/')}/{task}"
+            if not store.exists(spark, path):
+                continue
+            extra = list(FEED_RENAMES.get(table, {})) + list(FEED_FALLBACKS.get(table, {}).values())
+            recs = read_landing(spark, path, table, extra_fields=extra)
+            good, bad = changes.ingest(recs, table, ingested_at, feed=table)
+            bad.write.mode("append").parquet(store.table_path(root, "quarantine", table))
+            target = current if added is None else (added if current is None else current.unionByName(added))
+            new = changes.insert_ignore(target, good, table)
+            added = new if added is None else added.unionByName(new)
+            log_rows.append((task, table, recs.count(), new.count(), bad.count()))
+        if added is not None:
+            full = added if current is None else current.unionByName(added)
+            store.write_version(full, base, version)
+
+    _parallel([lambda t=t, ts=ts: one_table(t, ts) for t, ts in by_table.items()], workers)
+    return spark.createDataFrame(log_rows, "task_id string, table_name string, rows_fetched bigint, "
+                                           "rows_inserted bigint, rows_rejected bigint")

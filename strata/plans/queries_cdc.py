@@ -227,3 +227,28 @@ def ownership_closed(lake):
     sh = lake.bronze("stockholders").select("subsidiary_id", "stockholder_id", "name",
                                             "is_foreign", "ownership_pct")
     return history.close_to_100(sh)
+
+
+@query("cdc_state_with_deletes", """
+with r as (select *, operation = 'DELETE' as is_del,
+    operation <> 'DELETE' and after_state is not null as up from ox_cdc_log),
+s as (select source_table, subsidiary_id, record_id,
+    arg_max(after_state, kafka_offset) filter (where up) as after_state,
+    arg_max(is_del, kafka_offset) as is_deleted,
+    max(event_ts) filter (where is_del) as deleted_at,
+    count(*) filter (where is_del) as deletes
+  from r group by source_table, subsidiary_id, record_id
+  having count(*) filter (where up) > 0)
+select source_table, subsidiary_id, record_id, after_state, deleted_at, deletes
+from s where is_deleted""")
+def cdc_state_with_deletes(lake):
+    """M3: records whose last change is a soft delete — content kept, flag and
+    time of the delete set, with the number of deletes they have seen."""
+    log = parsed_log(lake)
+    st = cdc.record_state(log).filter(F.col("is_deleted"))
+    deletes = (log.filter(F.col("operation") == "DELETE")
+                  .groupBy("source_table", "subsidiary_id", "record_id")
+                  .agg(F.count(F.lit(1)).alias("deletes")))
+    return st.join(deletes, ["source_table", "subsidiary_id", "record_id"], "left").select(
+        "source_table", "subsidiary_id", "record_id", "after_state", "deleted_at",
+        F.coalesce("deletes", F.lit(0)).alias("deletes"))

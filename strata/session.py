@@ -65,7 +65,10 @@ def shared_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # core conf may be read-only at run time
             pass
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # Spark Connect sessions take it from the conf only
+        pass
     return d
 
 

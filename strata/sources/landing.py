@@ -20,17 +20,19 @@ FORM_CODE_SCHEMA = "form_code string, description string"
 
 
 def read_landing(spark: SparkSession, path: str, table: str,
-                 renames: dict[str, str] | None = None) -> DataFrame:
+                 renames: dict[str, str] | None = None,
+                 extra_fields: list[str] | None = None) -> DataFrame:
     """Polled records for ``table`` from JSON landing files.
 
     Each file holds one JSON document: ``[{...}, ...]`` or ``{"data": [...]}``.
     Fields are read as text and typed per the bronze schema at ingest (so a
     bad value becomes a quarantined row, not a failed job). ``renames`` maps
-    polled field names to bronze column names.
+    polled field names to bronze column names; ``extra_fields`` are read
+    as they are (for ``ingest`` to rename or fall back on).
     """
     renames = renames or {}
     t = TABLES[table]
-    fields = sorted(set(t.names) | set(renames))
+    fields = sorted(set(t.names) | set(renames) | set(extra_fields or []))
     rec = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     raw = spark.read.text(path, wholetext=True).select(F.trim("value").alias("doc"))
     as_list = F.from_json(F.col("doc"), T.ArrayType(rec))
