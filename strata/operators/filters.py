@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.schemas import CDC_TABLES, TABLES
+from strata.sources.lake import live_predicate
 
 
 def live(df: DataFrame, sub: str | None = None) -> DataFrame:
     """rows not soft-deleted, optionally of one tenant (``tenant_view``)."""
-    out = df.filter(~F.coalesce(F.col("is_deleted"), F.lit(False)))
+    out = df.filter(live_predicate())
     return out if sub is None else out.filter(F.col("subsidiary_id") == sub)
 
 

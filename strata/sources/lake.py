@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 from strata.sources import testdata
 
 
+def live_predicate():
+    """Rows not soft-deleted (NULL counts as live); pushable to Parquet."""
+    return F.col("is_deleted").isNull() | (F.col("is_deleted") == F.lit(False))
+
+
 class Lake:
     spark: SparkSession
 
@@ -29,7 +34,8 @@ class Lake:
         if include_deleted or "is_deleted" not in df.columns:
             return df
         # NULL counts as live, as the NOT NULL DEFAULT FALSE column implies.
-        return df.filter(~F.coalesce(F.col("is_deleted"), F.lit(False)))
+        # Written as IsNull OR = false so Parquet can push it into the scan.
+        return df.filter(live_predicate())
 
     def cdc_messages(self) -> DataFrame:  # pragma: no cover - interface
         raise NotImplementedError
