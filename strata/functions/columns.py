@@ -55,9 +55,27 @@ def aging_bucket(days) -> Column:
 
 
 # X6 --------------------------------------------------------------------------
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
 def epoch_ms_to_ts(ms) -> Column:
-    """Epoch milliseconds -> zoneless UTC timestamp; missing -> 1970-01-01."""
-    return F.timestamp_millis(F.coalesce(_c(ms), F.lit(0)).cast("long")).cast("timestamp_ntz")
+    """Epoch milliseconds -> zoneless UTC timestamp; missing -> 1970-01-01.
+
+    Pure TIMESTAMP_NTZ arithmetic, so the result does not depend on the
+    session time zone.
+    """
+    return F.timestamp_add("MILLISECOND", F.coalesce(_c(ms), F.lit(0)).cast("long"),
+                           F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+
+
+def epoch_us_to_ts(us) -> Column:
+    return F.timestamp_add("MICROSECOND", _c(us).cast("long"), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+
+
+def ts_to_epoch_ms(ts) -> Column:
+    """Zoneless timestamp -> epoch milliseconds (floor), independent of the session zone."""
+    return F.floor(F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"),
+                                    _c(ts).cast("timestamp_ntz")) / 1000).cast("long")
 
 
 # X7 --------------------------------------------------------------------------

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import epoch_ms_to_ts, operation_name, record_id, topic_parts
+from strata.functions.columns import (epoch_ms_to_ts, epoch_us_to_ts, operation_name, record_id,
+                                     topic_parts)
 from strata.schemas import CDC_TABLES, TABLES
 
 LOG_KEYS = ["kafka_topic", "kafka_partition", "kafka_offset"]
@@ -118,7 +119,7 @@ def _typed(text: Column, dtype: T.DataType) -> Column:
         return F.when(digits, F.date_add(F.lit("1970-01-01").cast("date"), text.cast("int"))) \
                 .otherwise(F.to_date(F.try_to_timestamp(text)))
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        return F.when(digits, F.timestamp_micros(text.cast("long")).cast("timestamp_ntz")) \
+        return F.when(digits, epoch_us_to_ts(text)) \
                 .otherwise(F.try_to_timestamp(text).cast("timestamp_ntz"))
     if isinstance(dtype, T.BooleanType):
         return F.lower(text).isin("true", "t", "1")

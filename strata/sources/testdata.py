@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import MONEY, money, money_round, rate_of
+from strata.functions.columns import MONEY, money, money_round, rate_of, ts_to_epoch_ms
 from strata.schemas import CAMPAIGN_STATUSES, CAMPAIGN_TYPES, TABLES, Table
 
 # The load time stamped on every fixture row.
@@ -588,7 +588,7 @@ def cdc_raw(src: TestTables) -> DataFrame:
               .otherwise(F.when(emp, full_emp).otherwise(full_cus)))
     value = F.concat(F.lit('{"op":"'), op, F.lit('","before":'), before, F.lit(',"after":'),
                      after, F.lit(',"ts_ms":'),
-                     F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit("}"))
+                     ts_to_epoch_ms("ts").cast("string"), F.lit("}"))
     return e.select(topic.alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"),
                     F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"),
                     value.alias("value"))

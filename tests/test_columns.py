@@ -54,3 +54,14 @@ def test_fiscal_year_start_month(spark):
         F.col("d").cast("date").alias("d"))
     got = df.select(C.fiscal_year("d", 7), C.fiscal_month("d", 7)).collect()
     assert [tuple(r) for r in got] == [(2024, 12), (2025, 1)]
+
+
+def test_epoch_conversions_ignore_session_zone(spark):
+    df = spark.createDataFrame([(1704067200123,)], "ms bigint")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Manila")
+        r = df.select(C.epoch_ms_to_ts("ms").alias("t")).select("t", C.ts_to_epoch_ms("t").alias("back")).first()
+        assert str(r.t) == "2024-01-01 00:00:00.123000" and r.back == 1704067200123
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
