@@ -118,17 +118,19 @@ def close_to_100(df: DataFrame, group: str = "subsidiary_id", holder: str = "sto
     Each holder gets ``shares / total`` as a percentage rounded half-up to
     cents (exact integer arithmetic); the last holder (greatest id) absorbs
     the rounding residual. The per-group totals are one row per group and
-    join back without shuffling the holders (AQE broadcasts them by size).
+    are broadcast back, so the holders are not shuffled.
     """
     units = (F.col(shares) * 100).cast("long")
     t = df.groupBy(group).agg(F.sum(units).alias("_total"), F.max(holder).alias("_last"))
-    r = (df.join(t, group)
+    # One row per group (the group is the tenant: a registry-bounded count),
+    # broadcast so the holders are never shuffled on a three-valued key.
+    r = (df.join(F.broadcast(t), group)
            .withColumn("_num", units * 20000 + F.col("_total"))
            .withColumn("_den", F.col("_total") * 2)
            .withColumn("_bp", F.expr("_num div _den")))  # basis points, rounded half-up
     others = (r.filter(F.col(holder) != F.col("_last")).groupBy(group)
                .agg(F.sum("_bp").alias("_others")))
-    r = r.join(others, group, "left")
+    r = r.join(F.broadcast(others), group, "left")
     final_bp = F.when(F.col(holder) == F.col("_last"),
                       F.lit(10000) - F.coalesce(F.col("_others"), F.lit(0))).otherwise(F.col("_bp"))
     return (r.withColumn(out, (final_bp.cast("decimal(12,0)") / 100).cast("decimal(6,2)"))
