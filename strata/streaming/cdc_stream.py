@@ -56,23 +56,28 @@ def read_cdc_stream(spark: SparkSession, source: str = "kafka", path: str | None
 
 
 class CdcBatchWriter:
-    """The ``foreachBatch`` sink.
+    """The ``foreachBatch`` sink (merge-on-read).
 
     Layout under ``root``: ``log/_batch=<b>``, ``quarantine/_batch=<b>``,
-    ``state/<table>/v=<b>``. The set of tables in a batch is read from the
-    batch (at most the size of the capture registry).
+    ``state/<table>/v=<b>``. Every micro-batch appends its new log rows; every
+    ``compact_every`` batches the log rows since the last compacted version
+    are merged into a new state version (so a micro-batch never rewrites the
+    whole state). ``read_state`` = last version merged with the log tail, so
+    readers always see every appended change. The set of tables in a batch
+    is read from the batch (at most the size of the capture registry).
     """
 
-    def __init__(self, root: str, tables: list[str] | None = None):
+    def __init__(self, root: str, tables: list[str] | None = None, compact_every: int = 1):
         self.root = root.rstrip("/")
         self.tables = tables
+        self.compact_every = max(1, compact_every)
 
     def log(self, spark: SparkSession) -> DataFrame | None:
         path = f"{self.root}/log"
         return spark.read.parquet(path) if store.exists(spark, path) else None
 
     def state(self, spark: SparkSession, table: str) -> DataFrame | None:
-        return store.read_latest(spark, f"{self.root}/state/{table}")
+        return read_state(spark, self.root, table)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -86,30 +91,50 @@ class CdcBatchWriter:
             if log is not None:
                 log = log.filter(F.col("_batch") != batch_id).drop("_batch")
             new = cdc.append_cdc_log(log, ok)
-            log_path = f"{self.root}/log/_batch={batch_id}"
-            new.write.mode("overwrite").parquet(log_path)
-            new = spark.read.parquet(log_path)  # the rows actually appended
-            tables = self.tables or [r[0] for r in
-                                     new.select("source_table").distinct().collect()]
-            for t in tables:
-                if t not in cdc.TABLES:
-                    continue
-                base = f"{self.root}/state/{t}"
-                done = store.committed_versions(spark, base)
-                if done and done[-1] >= batch_id:
-                    continue  # this batch's state is already committed
-                prev = store.read_latest(spark, base, before=batch_id)
-                merged = cdc.merge_changes(prev, new, t)
-                store.write_version(merged, base, batch_id)
+            new.write.mode("overwrite").parquet(f"{self.root}/log/_batch={batch_id}")
         finally:
             parsed.unpersist()
+        if (batch_id + 1) % self.compact_every == 0:
+            self.compact(spark, batch_id)
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Merge log batches ``(last version, upto]`` into state version ``upto``."""
+        log = spark.read.parquet(f"{self.root}/log")
+        tables = self.tables or [r[0] for r in log.filter(F.col("_batch") <= upto)
+                                 .select("source_table").distinct().collect()]
+        for t in tables:
+            if t not in cdc.TABLES:
+                continue
+            base = f"{self.root}/state/{t}"
+            done = store.committed_versions(spark, base)
+            if done and done[-1] >= upto:
+                continue  # already compacted (replayed batch)
+            last = max([v for v in done if v < upto], default=-1)
+            prev = store.read_version(spark, base, last) if last >= 0 else None
+            tail = log.filter((F.col("_batch") > last) & (F.col("_batch") <= upto)).drop("_batch")
+            store.write_version(cdc.merge_changes(prev, tail, t), base, upto)
+
+
+def read_state(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """Current state of ``table``: the last compacted version merged with the
+    log batches appended after it (merge-on-read)."""
+    root = root.rstrip("/")
+    base = f"{root}/state/{table}"
+    done = store.committed_versions(spark, base)
+    last = done[-1] if done else -1
+    prev = store.read_version(spark, base, last) if done else None
+    if not store.exists(spark, f"{root}/log"):
+        return prev
+    tail = spark.read.parquet(f"{root}/log").filter(F.col("_batch") > last).drop("_batch")
+    return cdc.merge_changes(prev, tail, table)
 
 
 def run_cdc_stream(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str,
-                   tables: list[str] | None = None, available_now: bool = True):
+                   tables: list[str] | None = None, available_now: bool = True,
+                   compact_every: int = 1):
     """Start the change-capture stream; with ``available_now`` it drains the
     source and stops (``trigger(availableNow=True)``)."""
-    q = (messages.writeStream.foreachBatch(CdcBatchWriter(root, tables))
+    q = (messages.writeStream.foreachBatch(CdcBatchWriter(root, tables, compact_every))
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()

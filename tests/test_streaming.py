@@ -1,7 +1,7 @@
 from strata.operators import cdc
 from strata.sources import store
 from strata.sources.lake import FixtureLake
-from strata.streaming.cdc_stream import CdcBatchWriter
+from strata.streaming.cdc_stream import CdcBatchWriter, read_state
 
 from conftest import SF_SMALL
 
@@ -20,3 +20,17 @@ def test_foreach_batch_replay_is_idempotent(spark, tmp_root):
     assert spark.read.parquet(f"{tmp_root}/log").count() == log_n
     batch_state = cdc.merge_changes(None, cdc.split_valid(cdc.parse_envelope(msgs))[0], "employees")
     assert store.read_latest(spark, f"{tmp_root}/state/employees").count() == batch_state.count()
+
+
+def test_merge_on_read_between_compactions(spark, tmp_root):
+    from pyspark.sql import functions as F
+    msgs = FixtureLake(spark, SF_SMALL).cdc_messages()
+    parts = [msgs.filter((F.col("offset") % 3) == i) for i in range(3)]
+    w = CdcBatchWriter(tmp_root, tables=["employees"], compact_every=2)
+    for i, p in enumerate(parts):
+        w(p, i)                       # compaction after batch 1 only
+    assert store.committed_versions(spark, f"{tmp_root}/state/employees") == [1]
+    batch_state = cdc.merge_changes(None, cdc.split_valid(cdc.parse_envelope(msgs))[0], "employees")
+    got = sorted(tuple(r) for r in read_state(spark, tmp_root, "employees").drop("ingested_at").collect())
+    want = sorted(tuple(r) for r in batch_state.drop("ingested_at").collect())
+    assert got == want
