@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import gold, quality, recon, reports, silver
 from strata.operators.staging import stage
-from strata.schemas import BRONZE_DOMAIN, TABLES
+from strata.schemas import BRONZE_DOMAIN
 from strata.sources import store
 from strata.sources.landing import export_audit_csv, form_codes
 from strata.sources.lake import Lake
@@ -176,7 +176,7 @@ def FEEDS_FOR_TEST() -> dict:
 
 
 __all__ = ["RunContext", "run_daily", "run_weekly", "run_incremental", "refresh_gold_partitions",
-           "log_run", "QualityGateError", "TABLES"]
+           "log_run", "QualityGateError", "ingest_all"]
 
 
 def ingest_all(spark: SparkSession, landing_root: str, root: str, ingested_at: str, version: int,

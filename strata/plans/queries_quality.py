@@ -16,7 +16,6 @@ from strata.sources.landing import form_codes
 AS_OF = "2000-12-31"
 QUALITY_YEAR = 1998
 LOADED_BEFORE = "1998-01-01"
-PATCH_TIME = "2024-02-02 00:00:00"
 
 ACCEPTED = {
     "stg_sales__campaigns": {"campaign_type": list(CAMPAIGN_TYPES), "status": list(CAMPAIGN_STATUSES)},

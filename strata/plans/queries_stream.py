@@ -16,7 +16,6 @@ from strata.operators import cdc
 from strata.plans.catalog import query
 from strata.plans.queries_cdc import _typed_state_sql
 from strata.session import scratch_path
-from strata.sources import store
 from strata.streaming import cdc_stream
 
 SOURCE_FILES = 4

@@ -36,3 +36,19 @@ def test_scd2_current_equals_merged_state_and_no_overlap(spark):
                  .filter(F.col("next_from").isNotNull()
                          & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("next_from")))))
     assert overlaps.count() == 0
+
+
+def test_r10_aging_total_is_sum_of_buckets(spark):
+    from strata.operators import reports
+    lake = FixtureLake(spark, SF_SMALL)
+    ap = reports.ap_aging_detail(silver.fact_ap_invoices(lake), "1998-06-30")
+    bad = ap.filter(F.col("total_outstanding") != F.col("current") + F.col("aging_31_60")
+                    + F.col("aging_61_90") + F.col("aging_over_90"))
+    assert ap.count() > 0 and bad.count() == 0
+
+
+def test_r11_ownership_sums_to_100(spark):
+    lake = FixtureLake(spark, SF_SMALL)
+    sh = lake.bronze("stockholders")
+    sums = history.close_to_100(sh).groupBy("subsidiary_id").agg(F.sum("ownership_pct").alias("s"))
+    assert {float(r.s) for r in sums.collect()} == {100.0}
