@@ -70,12 +70,19 @@ class ParquetLake(Lake):
         self.spark = spark
         self.root = root.rstrip("/")
         self.sources_dir = sources_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
+        """The live version of a bronze table, read with its declared schema
+        (no footer pass) and resolved once per lake."""
+        from strata.schemas import TABLES
         from strata.sources.store import read_table
         if name == "subsidiaries":
             return testdata.subsidiaries(self.spark)
-        return read_table(self.spark, self.root, "bronze", name)
+        if name not in self._frames:
+            self._frames[name] = read_table(self.spark, self.root, "bronze", name,
+                                            schema=TABLES[name].schema)
+        return self._frames[name]
 
     def cdc_messages(self) -> DataFrame:
         from strata.sources.store import read_table

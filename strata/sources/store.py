@@ -51,14 +51,17 @@ def write_version(df: DataFrame, base: str, version: int, partition_by: list[str
     return path
 
 
-def read_version(spark: SparkSession, base: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{base.rstrip('/')}/v={version}")
+def read_version(spark: SparkSession, base: str, version: int, schema=None) -> DataFrame:
+    """One stored version; with ``schema`` no footer pass is needed to plan."""
+    r = spark.read if schema is None else spark.read.schema(schema)
+    return r.parquet(f"{base.rstrip('/')}/v={version}")
 
 
-def read_latest(spark: SparkSession, base: str, before: int | None = None) -> DataFrame | None:
+def read_latest(spark: SparkSession, base: str, before: int | None = None,
+                schema=None) -> DataFrame | None:
     """The newest committed version (optionally the newest below ``before``)."""
     vs = [v for v in committed_versions(spark, base) if before is None or v < before]
-    return read_version(spark, base, vs[-1]) if vs else None
+    return read_version(spark, base, vs[-1], schema) if vs else None
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -71,9 +74,9 @@ def write_model(df: DataFrame, root: str, layer: str, name: str, version: int,
     return write_version(df, table_path(root, layer, name), version, partition_by)
 
 
-def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, layer: str, name: str, schema=None) -> DataFrame:
     """The live version of a stored table."""
-    df = read_latest(spark, table_path(root, layer, name))
+    df = read_latest(spark, table_path(root, layer, name), schema=schema)
     if df is None:
         raise FileNotFoundError(table_path(root, layer, name))
     return df
