@@ -29,13 +29,24 @@ DEFAULT_CONF = {
 }
 
 
+def _driver_memory() -> str:
+    """60 % of physical memory (local mode runs everything in the driver),
+    between 1 GB and 16 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    mb = int(total * 0.6 / (1024 * 1024))
+    return f"{max(1024, min(16 * 1024, mb))}m"
+
+
 def get_spark(master: str | None = None, app: str = "strata",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
-    conf["spark.driver.memory"] = os.environ.get("STRATA_DRIVER_MEMORY", "8g")
+    conf["spark.driver.memory"] = os.environ.get("STRATA_DRIVER_MEMORY", _driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
