@@ -28,7 +28,8 @@ from strata.schemas import CDC_TABLES, TABLES
 LOG_KEYS = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 _ENVELOPE = ("op string, before string, after string, ts_ms bigint, "
-             "__op string, __ts_ms bigint, __deleted string")
+             "__op string, __ts_ms bigint, __deleted string, _corrupt string")
+_ENVELOPE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 
 def _json_text(c: Column) -> Column:
@@ -46,7 +47,7 @@ def parse_envelope(messages: DataFrame, consumed_at: str | None = None) -> DataF
     """
     v = F.col("value").cast("string")
     m = messages.filter(F.col("value").isNotNull())
-    env = F.from_json(v, _ENVELOPE)
+    env = F.from_json(v, _ENVELOPE, _ENVELOPE_OPTIONS)  # one parse; bad documents land in _corrupt
     m = m.select("topic", "partition", "offset", v.alias("value"), env.alias("e"),
                  topic_parts("topic").alias("t"))
     flat = F.col("e.op").isNull() & F.col("e.__op").isNotNull()
@@ -55,7 +56,7 @@ def parse_envelope(messages: DataFrame, consumed_at: str | None = None) -> DataF
     after = F.when(flat, F.when(~is_del, v)).otherwise(_json_text(F.col("e.after")))
     before = F.when(flat, F.when(is_del, v)).otherwise(_json_text(F.col("e.before")))
     ts_ms = F.when(flat, F.col("e.__ts_ms")).otherwise(F.col("e.ts_ms"))
-    valid_json = F.get_json_object(v, "$").isNotNull() & F.trim(v).startswith("{")
+    valid_json = F.col("e._corrupt").isNull()
     known = F.concat_ws(".", F.col("t.source_dept"), F.col("t.source_table")).isin(
         [f"{d}.{t}" for d, ts in CDC_TABLES.items() for t in ts])
     reason = (F.when(~valid_json, "invalid json")
