@@ -83,12 +83,13 @@ def dedupe_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
               .select("_row.*"))
 
 
-def scd2(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def scd2(log: DataFrame, keys: list[str] | None = None, table: str | None = None,
+         tracked: list[str] | None = None) -> DataFrame:
     """Type-2 history of captured records from the event log.
 
-    A version starts at an upsert whose image differs from the previous
-    event of the key (or follows a delete); consecutive unchanged images are
-    one version. A version ends at the next version or delete of the key.
+    A version starts at an upsert whose image (or, with ``tracked``, whose
+    tracked fields) differs from the previous event of the key, or that
+    follows a delete; consecutive unchanged images are one version. A version ends at the next version or delete of the key.
     Output: key, after_state, valid_from, valid_to (NULL = open),
     is_current, version_offset. A record's events share one topic-partition,
     so offsets are unique within a key and slice the scan (``neighbours``).
@@ -96,9 +97,13 @@ def scd2(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
     keys = keys or ["source_table", "subsidiary_id", "record_id"]
     order = ["kafka_offset", "event_ts", "kafka_topic", "kafka_partition"]
     is_del = F.col("operation") == "DELETE"
+    if table is not None:
+        log = log.filter(F.col("source_table") == table)
+    # Only tracked fields define a change (all of the image by default).
+    h = (F.xxhash64("after_state") if not tracked else
+         F.xxhash64(*[F.get_json_object("after_state", f"$.{c}") for c in tracked]))
     ev = (log.filter(is_del | F.col("after_state").isNotNull())
-             .select(*keys, *order, "after_state", is_del.alias("_del"),
-                     F.xxhash64("after_state").alias("_h")))
+             .select(*keys, *order, "after_state", is_del.alias("_del"), h.alias("_h")))
     nb = neighbours(ev, keys, order, ["_h", "_del"], slice_col="kafka_offset")
     p = F.col("_prev")
     new_version = ~F.col("_del") & (p.isNull() | p["_del"] | (p["_h"] != F.col("_h")))

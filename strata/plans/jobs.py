@@ -155,6 +155,18 @@ def refresh_gold_partitions(fact_sales: DataFrame, changed: DataFrame, out: str)
     return recomputed
 
 
+def stream_gold(fact_sales_loader: Callable[[], DataFrame], out: str,
+                date_col: str = "invoice_date") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that refreshes group P&L for the
+    (subsidiary, year, month) partitions touched by each micro-batch of sales
+    changes; ``fact_sales_loader`` returns the current silver facts."""
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        changed = batch.select("subsidiary_id", F.year(date_col).alias("fiscal_year"),
+                               F.month(date_col).alias("fiscal_month"))
+        refresh_gold_partitions(fact_sales_loader(), changed, out)
+    return on_batch
+
+
 def run_incremental(ctx: RunContext, log: DataFrame) -> DataFrame:
     """Q9: snapshot (SCD2 from the change log) -> silver -> gold, written as version ``v``."""
     from strata.operators.history import scd2
@@ -176,7 +188,7 @@ def FEEDS_FOR_TEST() -> dict:
 
 
 __all__ = ["RunContext", "run_daily", "run_weekly", "run_incremental", "refresh_gold_partitions",
-           "log_run", "QualityGateError", "ingest_all"]
+           "log_run", "QualityGateError", "ingest_all", "stream_gold"]
 
 
 def ingest_all(spark: SparkSession, landing_root: str, root: str, ingested_at: str, version: int,

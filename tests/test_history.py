@@ -82,3 +82,14 @@ def test_close_to_100(spark):
         "ownership_pct", F.col("ownership_pct").cast("decimal(6,2)"))
     got = {r.stockholder_id: float(r.ownership_pct) for r in history.close_to_100(df).collect()}
     assert got == {"h1": 33.33, "h2": 33.33, "h3": 33.34}
+
+
+def test_scd2_tracked_fields_only(spark):
+    log = _log_rows(spark, [
+        ("1", 1, "INSERT", '{"id":1,"name":"a","seen":1}'),
+        ("1", 2, "UPDATE", '{"id":1,"name":"a","seen":2}'),   # untracked change: same version
+        ("1", 3, "UPDATE", '{"id":1,"name":"b","seen":3}'),
+    ])
+    out = sorted((r.version_offset, r.is_current) for r in history.scd2(log, tracked=["name"]).collect())
+    assert out == [(1, False), (3, True)]
+    assert history.scd2(log, table="other").count() == 0

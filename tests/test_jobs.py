@@ -76,3 +76,16 @@ def test_ingest_all_from_landing_files(spark, tmp_root):
     out2 = jobs.ingest_all(spark, land, tmp_root, "2024-02-02 00:00:00", 2, feeds=feeds)
     assert {r.task_id: r.rows_inserted for r in out2.collect()} == {"procurement_vendors": 0, "sales_customers": 0}
     assert store.read_table(spark, tmp_root, "bronze", "vendors").count() == 1
+
+
+def test_stream_gold_refreshes_touched_partitions(spark, tmp_root):
+    lake = FixtureLake(spark, SF_SMALL)
+    fs = silver.fact_sales(lake)
+    out = f"{tmp_root}/pnl_stream"
+    jobs.refresh_gold_partitions(fs, fs, out)
+    on_batch = jobs.stream_gold(lambda: fs, out)
+    changes = lake.bronze("sales_transactions").select(
+        "subsidiary_id", F.col("transaction_date").alias("invoice_date")).limit(5)
+    on_batch(changes, 0)
+    got = spark.read.parquet(out)
+    assert got.count() == fs.select("subsidiary_id", "fiscal_year", "fiscal_month").distinct().count()
