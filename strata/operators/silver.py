@@ -15,6 +15,20 @@ def _with_fiscal(df: DataFrame, date_col: str, start_month: int = 1) -> DataFram
                      fiscal_month(date_col, start_month).alias("fiscal_month"))
 
 
+def with_fiscal_calendar(df: DataFrame, date_col: str, subsidiaries: DataFrame) -> DataFrame:
+    """X1/X2 per tenant: fiscal year and month from each subsidiary's
+    ``fiscal_year_start`` (1 = calendar year). The subsidiaries table has one
+    row per tenant (registry-bounded), so it is broadcast."""
+    starts = subsidiaries.select("subsidiary_id", F.col("fiscal_year_start").alias("_start"))
+    d = F.col(date_col)
+    start = F.coalesce(F.col("_start"), F.lit(1))
+    j = df.join(F.broadcast(starts), "subsidiary_id", "left")
+    return (j.withColumn("fiscal_year", F.year(d) + F.when((start > 1) & (F.month(d) >= start), 1)
+                         .otherwise(0))
+             .withColumn("fiscal_month", F.pmod(F.month(d) - start, 12) + 1)
+             .drop("_start"))
+
+
 def dim_employees(lake: Lake) -> DataFrame:
     """TIN hashed; government ids and ingested_at dropped."""
     s = stage(lake, "stg_employees")

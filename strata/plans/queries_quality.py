@@ -360,3 +360,13 @@ def patch_apply(lake):
                            F.col("due_date").cast("string").alias("payment_date"),
                            F.lit("0").alias("gross_amount"))).alias("patch"))
     return changes.patch(ap, patches, "ap_invoices").drop("id")
+
+
+@query("journal_rows_capped", """
+select * exclude (id) from br_journal_entries where subsidiary_id = 'ABC'
+order by entry_number limit 35""")
+def journal_rows_capped(lake):
+    """L3: the reference's ``days`` row cap on a feed (days * 5 rows; days = 7),
+    in a stable order. The limit is the feature."""
+    je = filters.live(lake.raw("journal_entries"), "ABC")
+    return filters.limit_rows(je, days=7, order="entry_number").drop("id")

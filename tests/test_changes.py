@@ -98,3 +98,27 @@ def test_lookback_validation():
     filters.validate_lookback(days=7, months=3, month=0, year=2024)
     assert filters.dept_allowed("purchase_orders", "ops") and filters.dept_allowed("purchase_orders", "procurement")
     assert not filters.dept_allowed("purchase_orders", "sales")
+
+
+def test_get_since_in_year(spark):
+    df = spark.createDataFrame(
+        [(1, "ABC", False, "2024-01-01 10:00:00", 2024), (1, "XYZ", False, "2024-01-01 11:56:00", 2023),
+         (2, "ABC", True, "2024-01-01 11:59:00", 2024)],
+        "id int, subsidiary_id string, is_deleted boolean, ts string, fiscal_year int").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz"))
+    assert [r.subsidiary_id for r in filters.get(df, 1, "XYZ").collect()] == ["XYZ"]
+    assert filters.get(df, 2, "ABC").count() == 0                      # soft-deleted
+    assert filters.since(df, "ts", "2024-01-01 12:00:00", "5 minutes").count() == 2
+    assert filters.since(df, "ts", "2024-01-01 12:00:00", "4 minutes", strict=True).count() == 1
+    assert filters.in_year(df, 2024).count() == 2
+    assert filters.limit_rows(df, 1, order="ts").count() == 3
+
+
+def test_fiscal_calendar_per_subsidiary(spark):
+    from strata.operators.silver import with_fiscal_calendar
+    subs = spark.createDataFrame([("ABC", 1), ("XYZ", 7)], "subsidiary_id string, fiscal_year_start int")
+    df = spark.createDataFrame([("ABC", "2024-07-15"), ("XYZ", "2024-07-15"), ("XYZ", "2024-06-30")],
+                               "subsidiary_id string, d string").withColumn("d", F.col("d").cast("date"))
+    got = sorted((r.subsidiary_id, str(r.d), r.fiscal_year, r.fiscal_month)
+                 for r in with_fiscal_calendar(df, "d", subs).collect())
+    assert got == [("ABC", "2024-07-15", 2024, 7), ("XYZ", "2024-06-30", 2024, 12), ("XYZ", "2024-07-15", 2025, 1)]
