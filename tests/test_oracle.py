@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from test_plans import FORBIDDEN
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 QUERIES = E.queries()
@@ -50,6 +51,9 @@ def test_query_matches_oracle(spark, duck, name):
     idx = [dcols.index(c) for c in cols]
     want = _sorted([tuple(r[i] for i in idx) for r in res.fetchall()])
     assert got == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in FORBIDDEN:
+        assert bad not in plan, f"{name}: {bad} in plan"
 
 
 def test_entry_smoke(spark):
