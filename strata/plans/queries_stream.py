@@ -60,8 +60,8 @@ def stream_30min_windows(lake):
     spark, root, ok = _parsed_stream(lake)
     agg = cdc_stream.stream_monitor(ok, "30 minutes", watermark="365 days")
     out = f"{root}/windows"
-    cdc_stream.run_to_table(agg, out, f"{root}/ckpt").awaitTermination()
-    return spark.read.parquet(out)
+    cdc_stream.run_to_table(agg, out, f"{root}/ckpt", mode="update").awaitTermination()
+    return cdc_stream.read_latest(spark, out, ["window_start", "window_end", "source_dept", "operation"])
 
 
 @query("stream_sessions", """

@@ -165,9 +165,27 @@ def stream_sessions(parsed: DataFrame, gap: str = "30 minutes", watermark: str =
 
 
 def run_to_table(df: DataFrame, out: str, checkpoint: str, mode: str = "complete"):
-    """Drain a streaming aggregate into Parquet at ``out``: every micro-batch
-    overwrites it with the complete result (so the last one is final)."""
+    """Drain a streaming aggregate into Parquet at ``out``.
+
+    ``complete``: every micro-batch overwrites ``out`` with the whole result
+    (needed when a key can change, as a merged session window's start does).
+    ``update``: a micro-batch writes only the rows it changed, to
+    ``out/_batch=<id>`` (overwritten on replay, so exactly-once); state and
+    output per batch stay bounded by the watermark. Read with ``read_latest``.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        if mode == "update":
+            batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+        else:
+            batch.write.mode("overwrite").parquet(out)
     return (df.writeStream.outputMode(mode).foreachBatch(sink)
               .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def read_latest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """Merge-on-read of an ``update``-mode table: per key, the row of the
+    newest batch (an aggregate with map-side partials, no global sort)."""
+    df = spark.read.parquet(out)
+    vals = [c for c in df.columns if c not in keys and c != "_batch"]
+    latest = F.max_by(F.struct(*[F.col(c) for c in vals]), "_batch").alias("_v")
+    return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
\ No newline at end of file
