@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,10 @@ class Lake:
     def cdc_messages(self) -> DataFrame:  # pragma: no cover - interface
         raise NotImplementedError
 
+    def event_log(self) -> DataFrame | None:
+        """The stored parsed change log, if the ingest step wrote one."""
+        return None
+
 
 class FixtureLake(Lake):
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -88,6 +94,14 @@ class ParquetLake(Lake):
         from strata.sources.store import read_table
         return read_table(self.spark, self.root, "landing", "cdc_messages")
 
+    def event_log(self) -> DataFrame | None:
+        from strata.sources.store import exists, read_table, table_path
+        if "_event_log" not in self._frames:
+            path = table_path(self.root, "log", "cdc_events")
+            self._frames["_event_log"] = (read_table(self.spark, self.root, "log", "cdc_events")
+                                          if exists(self.spark, path) else None)
+        return self._frames["_event_log"]
+
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sources_dir}/{name}.parquet")
 
@@ -99,13 +113,16 @@ DERIVED = {"vat_returns": ("sales_transactions", "sales"), "journal_entries": ("
 
 
 def materialize(lake: FixtureLake, root: str, version: int = 1,
-                tables: list[str] | None = None, workers: int = 4) -> ParquetLake:
+                tables: list[str] | None = None, workers: int = 4,
+                event_log: Callable[[Lake], DataFrame] | None = None) -> ParquetLake:
     """Write every bronze table and the change feed of ``lake`` as versioned
     Parquet under ``root`` (the daily ingest step) and return a lake over it.
 
     Two waves: independent tables first (concurrently, from a small thread
     pool), then the tables derived from them, reading the stored parents
-    instead of deriving them again.
+    instead of deriving them again. With ``event_log`` (lake -> parsed log)
+    the change feed is parsed once, from the stored messages, and stored as
+    the event log that downstream queries read.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -131,5 +148,10 @@ def materialize(lake: FixtureLake, root: str, version: int = 1,
     def derived(n):
         parent, arg = DERIVED[n]
         return testdata.FIXTURES[n](lake.src, **{arg: read_table(lake.spark, root, "bronze", parent)})
-    run([write(n, lambda n=n: derived(n)) for n in second])
+    stored = ParquetLake(lake.spark, root, lake.sf_dir)
+    wave2 = [write(n, lambda n=n: derived(n)) for n in second]
+    if event_log is not None:
+        wave2.append(lambda: write_version(event_log(stored), table_path(root, "log", "cdc_events"),
+                                           version))
+    run(wave2)
     return ParquetLake(lake.spark, root, lake.sf_dir)
