@@ -35,6 +35,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = sys.argv[1:] or HEADLINE
     from strata.plans.catalog import REGISTRY, _load_all, doubles
+    from strata.operators.history import release_pinned
     from strata.plans.queries_cdc import parse_messages
     from strata.session import get_spark, scratch_path
     from strata.sources.lake import FixtureLake, materialize
@@ -52,6 +53,7 @@ def main():
         t0 = time.perf_counter()
         doubles(REGISTRY[name].build(lake)).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        release_pinned()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))

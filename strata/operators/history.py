@@ -15,12 +15,36 @@ the data. Instead:
 
 from __future__ import annotations
 
+import threading
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import shared_dir
 
+_pinned = threading.local()
+
+
+def _pin(df: DataFrame) -> DataFrame:
+    """Persist ``df`` and remember it for ``release_pinned`` (per thread, so
+    parallel job tasks release only their own tables)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if not hasattr(_pinned, "frames"):
+        _pinned.frames = []
+    _pinned.frames.append(df)
+    return df
+
+
+def release_pinned() -> int:
+    """Unpersist the slice tables ``neighbours`` cached in this thread. Call it
+    once the query that used them has run; returns how many were released."""
+    frames = getattr(_pinned, "frames", [])
+    for df in frames:
+        df.unpersist()
+    _pinned.frames = []
+    return len(frames)
+
 
 def neighbours(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                slices: int | None = None, slice_col: str | None = None,
@@ -52,7 +76,7 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], values: list[st
     else:
         # Deterministic slices: a cached copy (recomputed identically if an
         # executor is lost) feeds the row, border and edge branches.
-        r = r.persist(StorageLevel.MEMORY_AND_DISK)
+        r = _pin(r)
     # Only the first and last row of each (key, slice) can miss a neighbour;
     # they alone build the edge table and take part in the join.
     border = r.filter(F.col("_prev").isNull() | F.col("_next").isNull())

@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import gold, quality, recon, reports, silver
+from strata.operators import gold, history, quality, recon, reports, silver
 from strata.operators.staging import stage
 from strata.schemas import BRONZE_DOMAIN
 from strata.sources import store
@@ -53,6 +53,7 @@ def log_run(ctx: RunContext, task_id: str, df: DataFrame, write: Callable[[DataF
         status, err = "failed", str(e)[:1000]
         raise
     finally:
+        history.release_pinned()
         ctx.log.append((ctx.run_id, dag_id, task_id, rows, rows, 0, status, err,
                         round(time.time() - started, 2)))
 
@@ -169,9 +170,8 @@ def stream_gold(fact_sales_loader: Callable[[], DataFrame], out: str,
 
 def run_incremental(ctx: RunContext, log: DataFrame) -> DataFrame:
     """Q9: snapshot (SCD2 from the change log) -> silver -> gold, written as version ``v``."""
-    from strata.operators.history import scd2
     spark, root, v = ctx.spark, ctx.root, ctx.version
-    log_run(ctx, "snapshot", scd2(log), lambda d: store.write_model(d, root, "silver", "snapshots", v),
+    log_run(ctx, "snapshot", history.scd2(log), lambda d: store.write_model(d, root, "silver", "snapshots", v),
             dag_id="incremental")
     fs = silver.fact_sales(ctx.lake)
     log_run(ctx, "silver_fact_sales", fs, lambda d: store.write_model(d, root, "silver", "fact_sales", v),

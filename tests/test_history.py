@@ -93,3 +93,17 @@ def test_scd2_tracked_fields_only(spark):
     out = sorted((r.version_offset, r.is_current) for r in history.scd2(log, tracked=["name"]).collect())
     assert out == [(1, False), (3, True)]
     assert history.scd2(log, table="other").count() == 0
+
+
+def test_scd2_slice_tables_are_released(spark):
+    """The slice tables ``neighbours`` persists are freed by ``release_pinned``
+    (the job runner calls it after each task), and the result stays computable."""
+    history.release_pinned()
+    log = _log_rows(spark, [("1", 1, "INSERT", "a"), ("1", 2, "UPDATE", "b"), ("2", 3, "INSERT", "x")])
+    out = history.scd2(log)
+    want = sorted(tuple(r) for r in out.collect())
+    pinned = list(history._pinned.frames)
+    assert len(pinned) == 2 and all(p.is_cached for p in pinned)
+    assert history.release_pinned() == 2
+    assert all(not p.is_cached for p in pinned)
+    assert sorted(tuple(r) for r in out.collect()) == want
