@@ -7,12 +7,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.plans.catalog import oracle_statements, spark_queries
+
 from conftest import SF_SMALL
 from test_plans import FORBIDDEN
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = spark_queries()
+SQL = oracle_statements()
 
 
 def _norm(v):
