@@ -4,10 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import exact_dedup, language_id, perspectives, topk, warc
+from strata.llm import (exact_dedup, language_id, mixing, near_dedup, packing, perspectives,
+                        pseudonyms, topk, warc)
 from strata.llm.util import table
 
 
+TARGETS = {"high": 0.7, "low": 0.28, "toxic": 0.02}
+
+
+def op1_mixing(spark, sf_dir):
+    labels = mixing.quality_domains(table(spark, sf_dir, "labels"))
+    return mixing.mix(table(spark, sf_dir, "documents"), labels, TARGETS, max_rate=8.0)
+
+
+PII_KEY = "strata-demo-key"  # a deployment passes its own secret
+
+
+def op2_pii_pseudonyms(spark, sf_dir):
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "n_pii", "text")
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("n_chunks")
 
@@ -26,12 +42,21 @@ def op7_warc(spark, sf_dir):
                        F.col("response.type").alias("record_type"), "refers_to")
 
 
+def op8_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark, sf_dir):
+    return near_dedup.near_components(table(spark, sf_dir, "documents"), words=2, threshold=0.8)
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_exact_dedup, op5_topk_search, op6_perspective_rotation, op7_warc, op9_language_id)}
+    op1_mixing, op2_pii_pseudonyms, op3_exact_dedup, op5_topk_search, op6_perspective_rotation, op7_warc,
+    op8_best_fit_packing, op9_language_id, op10_minhash_near_dedup)}
 
 ORACLES = {
     "op3_exact_dedup": exact_dedup.ORACLE,
