@@ -9,8 +9,10 @@ the Jaccard similarity of their whole sets reaches the threshold.
    its smallest doc_id, before anything is paired; copies never meet each other.
 2. Band keys that several classes share are buckets. Each class is compared with the hub (smallest member) of its
    buckets, never with all members: first with its smallest hub, then, where that did not connect them, with the others.
-   Members of one bucket that are still in different components then are compared with each other,
-   so that no link between components is lost; pairs inside a component need no comparison.
+   Members of buckets that still hold several components then meet in their families (what such buckets connect): those
+   outside a family's largest component are compared with all of it, in blocks, and a block pair yields
+   at most one link per member and component. No link between components is lost; pairs inside a component need
+   no comparison, and pairs never become rows.
 3. Sequential Bayesian verification: the signature bytes of a pair are compared in batches of ``BATCH``. After
    each, with a uniform prior, the posterior probability that the similarity reaches the threshold decides: below ``MISS`` the
    pair is dropped.
@@ -42,7 +44,7 @@ from strata.llm.components import components
 from strata.llm.util import cut, map_arrow, release, slices, text_or_empty
 from strata.llm.words import mix, shingles, word_hashes
 
-ROWS, BANDS, BATCH, MISS = 6, 40, 24, 1e-7
+ROWS, BANDS, BATCH, MISS, BLOCK = 6, 40, 24, 1e-7, 24_000
 HASHES = ROWS * BANDS
 _random = np.random.default_rng(20240229)
 _MULTIPLY = _random.integers(0, 1 << 32, HASHES, np.uint64).astype(np.uint32)[:, None] | np.uint32(1)
@@ -159,6 +161,63 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb"), run, "a long, b long")
 
 
+def _cross_links(left: list[dict], right: list[dict], percent: int) -> list[tuple[int, int]]:
+    """Links between members (rep, component, n, bytes, shingles) of different components: one for
+    each member of ``left`` and component of ``right`` that have any."""
+    need = least_matches(percent)
+    a, b = (np.frombuffer(b"".join(m["bytes"] for m in side), np.uint8).reshape(-1, HASHES) for side in (left, right))
+    n, comp, rep = (np.array([m[c] for m in right]) for c in ("n", "component", "rep"))
+    sets = [np.frombuffer(m["shingles"], np.uint64) for m in right]
+    every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    out = []
+    for i, u in enumerate(left):
+        live = np.flatnonzero((comp != u["component"]) & (np.minimum(n, u["n"]) * 100 >= np.maximum(n, u["n"]) * percent))
+        hits = np.zeros(len(right), np.int32)
+        for k, m in need:
+            hits[live] += (b[live, k - BATCH:k] == a[i, k - BATCH:k]).sum(1, dtype=np.int32)
+            live = live[hits[live] >= m]
+        if not len(live):
+            continue
+        mine = np.frombuffer(u["shingles"], np.uint64)
+        at = np.searchsorted(mine, every)
+        both = np.bincount(owner[mine[np.minimum(at, len(mine) - 1)] == every], minlength=len(right))[live]
+        live = live[100 * both >= percent * (len(mine) + n[live] - both)]
+        out += [(u["rep"], int(rep[j])) for j in live[np.unique(comp[live], return_index=True)[1]]]
+    return out
+
+
+def _family_links(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that still meet in a bucket. A family is what such buckets connect; its members
+    outside its largest component meet all of its members, in blocks of about ``BLOCK`` shingles."""
+    own = buckets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("rep").alias("hub")).where("x <> y")
+    own = own.join(mixed.select("bucket", "hub"), "bucket")
+    stars = cut(own.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "family-stars")
+    families = components(stars).select(F.col("id").alias("rep"), F.col("component").alias("family"))
+    members = families.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "rep", "family", F.coalesce("component", "rep").alias("component")).join(sketches, "rep")
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    facts = sizes.groupBy("family").agg(F.max(F.struct("c", "component"))["component"].alias("main"), F.sum("w").alias("w"))
+    members = members.join(facts, "family").select(
+        "family", "component", "rep", "n", "bytes", (F.col("component") == F.col("main")).alias("in_main"),
+        F.pmod(F.xxhash64("rep"), F.ceil(F.col("w") / BLOCK)).alias("block"))
+    members = cut(members.join(sets, "rep"), "family-members")
+    item = F.collect_list(F.struct("rep", "component", "n", "bytes", "shingles"))
+    left = members.where("not in_main").groupBy("family", F.col("block").alias("lb")).agg(item.alias("l"))
+    right = members.groupBy("family", F.col("block").alias("rb")).agg(item.alias("r"))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = _cross_links(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), percent)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
+                                                      pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    return map_arrow(left.join(right, "family").select("l", "r"), run, "a long, b long")
+
+
 def _sets(docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
     """(rep, shingles) of the documents whose id is in ``reps`` (one text per id)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_or_empty().alias("text"))
@@ -196,23 +255,15 @@ def near_components(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         return cut(_verified(survivors, sets, percent), f"links-{name}")
 
     stars = buckets.where("rep <> hub")
-    links = verified(stars.groupBy(F.col("rep").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"), "first")
-    labels = components(links)
-    for name in ("hubs", "members"):
-        own = buckets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        if name == "hubs":
-            mixed = own.join(labels.select(F.col("id").alias("hub"), F.col("component").alias("hub_component")), "hub", "left")
-            pairs = mixed.where(F.col("component") != F.coalesce("hub_component", "hub")).select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-        else:
-            open_ = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-            open_ = cut(own.join(open_, "bucket", "left_semi").select("bucket", "rep", "hub", "component"), "open-buckets")
-            left = open_.where("rep <> hub").select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"))
-            right = open_.where("rep <> hub").select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"))
-            pairs = left.join(right, "bucket").where("a < b and ca <> cb").select("a", "b")
-        more = verified(pairs.distinct(), name)
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(more, labels)
+    first = verified(stars.groupBy(F.col("rep").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"), "first")
+    labels = components(first)
+    own = buckets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = own.join(labels.select(F.col("id").alias("hub"), F.col("component").alias("hub_component")), "hub", "left")
+    mixed = mixed.where(F.col("component") != F.coalesce("hub_component", "hub"))
+    more = verified(mixed.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "hubs")
+    labels = components(more, labels)
+    more = cut(_family_links(buckets, labels, sketches, sets, percent), "links-families")
+    labels = components(more, labels)
     out = rows.join(classes, ["k1", "k2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), "rep")
     out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
