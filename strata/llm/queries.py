@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.llm import (exact_dedup, language_id, mixing, near_dedup, packing, perspectives,
-                        pseudonyms, topk, warc)
+                        pseudonyms, substring_dedup, topk, warc)
 from strata.llm.util import table
 
 
@@ -28,6 +28,10 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
+def op4_suffix_array_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_topk_search(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), 5, 256.0, F.col("vec_id") % 50 == 0)
 
@@ -55,7 +59,7 @@ def op10_minhash_near_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mixing, op2_pii_pseudonyms, op3_exact_dedup, op5_topk_search, op6_perspective_rotation, op7_warc,
+    op1_mixing, op2_pii_pseudonyms, op3_exact_dedup, op4_suffix_array_dedup, op5_topk_search, op6_perspective_rotation, op7_warc,
     op8_best_fit_packing, op9_language_id, op10_minhash_near_dedup)}
 
 ORACLES = {
