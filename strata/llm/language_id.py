@@ -174,8 +174,8 @@ class Parser:
             out[j] = np.bincount(doc, count[j], len(docs)).astype(np.int64)
         return out.T
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float, float | None]]:
-        """(language, score, entropy in bits per symbol) of each text."""
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, float | None, float | None]]:
+        """(language, score, entropy in bits per symbol, entropy without the first phrase) of each text."""
         docs, n = [], []
         for t in texts:
             codes = _squeeze(self.lut[_points(t)]) if t else np.zeros(0, np.uint8)
@@ -186,11 +186,11 @@ class Parser:
         out = []
         for i, m in enumerate(n):
             if not m:
-                out.append(("und", 0.0, None))
+                out.append(("und", 0.0, None, None))
                 continue
-            h = [(float(c[i, j]) * self.bits[j] / m, lang) for j, lang in enumerate(self.langs)]
+            h = [(float(c[i, j]) * self.bits[j] / m, lang, self.bits[j]) for j, lang in enumerate(self.langs)]
             h.sort()
-            out.append((h[0][1], max(0.0, 1 - h[0][0] / h[1][0]) if len(h) > 1 else 1.0, h[0][0]))
+            out.append((h[0][1], max(0.0, 1 - h[0][0] / h[1][0]) if len(h) > 1 else 1.0, h[0][0], h[0][0] - h[0][2] / m))
         return out
 
 
@@ -206,7 +206,7 @@ def _parser(refs: dict[str, str]) -> Parser:
 
 
 def predict(docs: DataFrame, refs: dict[str, str], keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """Columns ``keep`` and lang_pred, score, entropy of every text."""
+    """Columns ``keep`` and lang_pred, score, entropy, excess (entropy without the first phrase) of every text."""
     cols = docs.select(*keep, F.col(text).cast("string").alias("_text"))
 
     def run(batches):
@@ -215,16 +215,23 @@ def predict(docs: DataFrame, refs: dict[str, str], keep: tuple[str, ...] = ("doc
             got = parser.predict(texts)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(k, t) for k, t in zip(kept, types)), pa.array([g[0] for g in got], pa.string()),
-                 pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.float64())],
-                [*keep, "lang_pred", "score", "entropy"])
+                 *(pa.array([g[k] for g in got], pa.float64()) for k in (1, 2, 3))],
+                [*keep, "lang_pred", "score", "entropy", "excess"])
 
     from pyspark.sql.pandas.types import to_arrow_type
     types = [to_arrow_type(cols.schema[k].dataType) for k in keep]
     schema = ", ".join([*(f"`{k}` {cols.schema[k].dataType.simpleString()}" for k in keep),
-                        "lang_pred string", "score double", "entropy double"])
+                        "lang_pred string", "score double", "entropy double", "excess double"])
     return map_arrow(cols, run, schema)
 
 
+def known_language(docs: DataFrame, refs: dict[str, str], limit: float = 6.0) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a letter and reads like a learned language: beyond the
+    first phrase at most ``limit`` bits per symbol (its own language takes about 2.5, a foreign one about 7)."""
+    kept = predict(docs, refs, tuple(docs.columns))
+    return kept.where((F.col("lang_pred") != "und") & (F.col("excess") <= limit)).select(*docs.columns)
+
+
 def identify(docs: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, lang_pred, score, entropy: learned from rows that are not held out."""
     refs = fit(docs.where(~held_out()).select("doc_id", "text", "lang"), **options)

@@ -211,6 +211,29 @@ def with_rates(members: DataFrame, steps: list[np.ndarray], max_rate: float = fl
     return out.withColumn("copies", F.floor(F.col("rate") + draw).cast("int"))
 
 
+def remix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget_share: float = 1.0,
+          max_rate: float = float("inf"), max_labelled: int = 12_000) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as the fitted rates say (none, one or several times). The budget
+    is ``budget_share`` times the present tokens. No text is shuffled: rates are worked out where a row is read."""
+    domains = sorted(weights)
+    model = fit(docs, labelled, domains, max_labelled)
+    members = cut(posteriors(docs, model), "posteriors")
+    total = members.agg(F.sum("tokens")).first()[0] or 0
+    steps = fit_rates(members, [weights[d] for d in domains], budget_share * total, max_rate)
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(17)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    rows = docs.select(draw.alias("_draw"), text_or_empty().alias("_text"), *docs.columns)
+
+    def run(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
+                _, e = model.evidence(part.column(1).to_pylist())
+                times = np.floor(_rates(model.posteriors(e), steps, max_rate) + part.column(0).to_numpy()).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(part.columns[2:], part.schema.names[2:]).take(pa.array(np.repeat(np.arange(len(times)), times)))
+
+    return map_arrow(rows, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+
+
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None,
         max_rate: float = float("inf"), max_labelled: int = 12_000) -> DataFrame:
     """doc_id, tokens, p_<domain>..., rate, copies of every document."""

@@ -9,7 +9,10 @@ doc_id, or earlier in the same one). All strings are judged on the input; overla
 2. Anchors that occur once, which most do, have no equal window anywhere; only their hashes were shuffled. Segments of
    the others are aggregated by content (hash of anchor and of bytes) to their first occurrence. A later copy of
    a whole segment is covered: all its windows started earlier.
-3. Where an anchor has segments of different content, their first occurrences go to a shard. A shard's segments are laid out
+3. Where an anchor has segments of different content, their first occurrences are split once more, by how far in the
+   anchor lies; the parts have longer keys, and only those whose key repeats with different content go on. A key with
+   more than ``HOT`` contents would make a shard of unbounded size; its windows are told apart one by one, by
+   aggregation. All others go to shards by key. A shard's segments are laid out
    in the order of occurrence, its suffix array is built by induced sorting, and permuted common prefixes
    give the runs of suffixes that share LENGTH bytes. In each run the first position in the text is the first occurrence;
    the windows at all others started earlier.
@@ -38,9 +41,10 @@ from strata.llm.words import _P, _PINV, mix
 
 LENGTH, K = 100, 40
 BLOCK = 1 << 18
-SHARD = 1 << 16
+SHARD = 1 << 18
 NULL_ID = -(1 << 63)
-_SEGMENT = "ah long, sh long, doc long, th long, s long, e long"
+_SEGMENT = "ah long, sh long, doc long, th long, place long"  # place: first window start, windows - 1, anchor's distance
+STEP, HOT = 15, 4096
 _power: dict[int, np.ndarray] = {}
 
 
@@ -54,7 +58,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def segments(raw: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchor hash, content hash, first and last window start of every segment of a text's bytes."""
+    """Anchor hash, content hash and place of every segment of a text's bytes."""
     out = []
     width = LENGTH - K + 1  # K-byte strings in a window
     for base in range(0, len(raw) - LENGTH + 1, BLOCK):
@@ -76,8 +80,8 @@ def segments(raw: np.ndarray) -> tuple[np.ndarray, ...]:
         a = anchor[s]
         body = (total[e + LENGTH] - total[s]) * down[s]
         shape = ((a - s) * 4096 + (e - s)).astype(np.uint64)
-        out.append((h[a], mix(body + mix(shape + np.uint64(1))), s + base, e + base))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
+        out.append((h[a], mix(body + mix(shape + np.uint64(1))), (s + base << 16) + (e - s << 8) + (a - s)))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -92,11 +96,11 @@ def all_segments(docs: DataFrame) -> DataFrame:
                     if len(x) >= LENGTH // 4]
             n = [len(r[2][0]) for r in rows]
             if sum(n):
-                ah, sh, s, e = (np.concatenate([r[2][c] for r in rows]) for c in range(4))
+                ah, sh, place = (np.concatenate([r[2][c] for r in rows]) for c in range(3))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ah.view(np.int64)), pa.array(sh.view(np.int64)), pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), n)),
-                     pa.array(np.repeat(np.array([r[1] for r in rows], np.int64), n)), pa.array(s), pa.array(e)],
-                    ["ah", "sh", "doc", "th", "s", "e"])
+                     pa.array(np.repeat(np.array([r[1] for r in rows], np.int64), n)), pa.array(place)],
+                    ["ah", "sh", "doc", "th", "place"])
 
     return map_arrow(_keyed(docs), run, _SEGMENT)
 
@@ -113,11 +117,13 @@ def marks(order: list[tuple[int, int, int]], bodies: list[bytes]) -> list[tuple[
     text[begin + sizes] = 1  # between segments; a zero byte of the text is 2
     used, dense = np.unique(text, return_inverse=True)
     sa = suffix_array(dense, len(used))
-    common = permuted_prefixes(dense, sa, LENGTH)
     left = np.zeros(len(text), np.int64)  # bytes left in the segment
     left[:-1] = np.repeat(begin + sizes, sizes + 1) - np.arange(len(t))
+    starts = np.flatnonzero(left >= LENGTH)
+    shared = np.zeros(len(text), bool)
+    shared[starts] = permuted_prefixes(dense, sa, LENGTH, starts) >= LENGTH
     window = left[sa] >= LENGTH
-    linked = (common[sa] >= LENGTH) & window
+    linked = shared[sa]
     linked[0] = False
     run = np.cumsum(~linked) - 1
     first = np.minimum.reduceat(sa, np.flatnonzero(~linked))
@@ -159,19 +165,57 @@ def _shard_marks(parts: DataFrame, shards: int) -> DataFrame:
     return map_arrow(rows, run, "doc long, th long, s long, e long")
 
 
-def _bodies(suspects: DataFrame) -> DataFrame:
-    """The bytes of the segments (array ``parts`` of ah, s, e) of each suspect document."""
+def _parts(suspects: DataFrame) -> DataFrame:
+    """Parts (ah, sh, sh2, doc, th, s, e, body) of the segments in array ``parts`` of each suspect document: windows whose
+    anchor lies equally far in, by steps of STEP bytes. Their new, longer key is what all windows of a full step share."""
     def run(batches):
         for docs, texts, hashes, lists in slices(batches, 1 << 20):
             out = []
             for doc, text, th, parts in zip(docs, texts, hashes, lists):
-                raw = text.encode("utf-8", "surrogatepass")
-                out += [(p["ah"], doc, th, p["s"], raw[p["s"]:p["e"] + LENGTH]) for p in parts or ()]
-            cols = zip(*out) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [*[pa.int64()] * 4, pa.binary()])],
-                                             ["ah", "doc", "th", "s", "body"])
-
-    return map_arrow(suspects.select("doc", "text", "th", "parts"), run, "ah long, doc long, th long, s long, body binary")
+                raw = text.encode("utf-8", "surrogatepass") if parts else b""
+                for place in parts or ():
+                    s = place >> 16
+                    e, a = s + (place >> 8 & 255), s + (place & 255)
+                    for lo in range(max(0, a - e) // STEP * STEP, a - s + 1, STEP):
+                        hi = lo + STEP - 1
+                        first, last = max(s, a - hi), min(e, a - lo)
+                        if first <= last:
+                            out.append((doc, th, first, last, lo.to_bytes(1, "big") + raw[a - lo:a - hi + LENGTH], raw[first:last + LENGTH]))
+            cols = zip(*out) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [*[pa.int64()] * 4, pa.binary(), pa.binary()])],
+                                             ["doc", "th", "s", "e", "key", "body"])
+
+    rows = map_arrow(suspects.select("doc", "text", "th", "parts"), run, "doc long, th long, s long, e long, key binary, body binary")
+    return rows.select(F.xxhash64("key").alias("ah"), F.xxhash64("body").alias("sh"), F.xxhash64(F.lit(1), "body").alias("sh2"),
+                       "doc", "th", "s", "e", "body")
+
+
+def _resolved(rows: DataFrame, keys: list[str], place: list[str]) -> tuple[DataFrame, DataFrame]:
+    """First occurrences of equal contents (``keys``), and the rows that are later copies of one."""
+    firsts = rows.groupBy(*keys).agg(F.min(F.struct(*place)).alias("first"))
+    later = rows.join(firsts, keys).where(F.struct(*place) != F.col("first")).drop("first")
+    return firsts, later
+
+
+def _late(suspects: DataFrame) -> DataFrame:
+    """Runs (doc, th, s, e) of windows in the segments under ``parts`` that occur earlier."""
+    place = ["doc", "th", "s", "e"]
+    parts = _parts(suspects)
+    often = parts.groupBy("ah").agg(F.count("*").alias("c")).where("c > 1").select("ah")
+    parts = cut(parts.join(often, "ah", "left_semi"), "parts")
+    firsts, later = _resolved(parts.drop("body"), ["ah", "sh", "sh2"], place)
+    firsts = cut(firsts, "part-firsts")
+    sizes = firsts.groupBy("ah").agg(F.count("*").alias("c")).where("c > 1")
+    firsts = firsts.join(sizes, "ah").select("ah", "c", *[F.col(f"first.{x}").alias(x) for x in place])
+    firsts = cut(parts.select("ah", *place, "body").join(firsts, ["ah", *place]), "to-sort")
+    total = firsts.where(f"c <= {HOT}").agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    sorted_ = _shard_marks(firsts.where(f"c <= {HOT}"), max(1, total // SHARD))
+    # Beyond HOT contents of one key a shard would not stay small: single windows, which equal content decides.
+    window = firsts.where(f"c > {HOT}").select("doc", "th", F.explode(F.sequence("s", "e")).alias("w"), "s", "body")
+    window = window.select("doc", "th", "w", F.expr(f"substring(body, cast(w - s + 1 as int), {LENGTH})").alias("body"))
+    window = window.select("doc", "th", "w", F.xxhash64("body").alias("h1"), F.xxhash64(F.lit(1), "body").alias("h2"))
+    _, hot = _resolved(window, ["h1", "h2"], ["doc", "th", "w"])
+    return (later.select(*place).union(sorted_).union(hot.select("doc", "th", "w", F.col("w").alias("e"))))
 
 
 def _removed(suspects: DataFrame) -> DataFrame:
@@ -182,7 +226,7 @@ def _removed(suspects: DataFrame) -> DataFrame:
             for doc, text, th, a, b in zip(docs, texts, hashes, one, two):
                 raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
                 edge = np.zeros(len(raw) + 1, np.int64)
-                runs = [(r["s"], r["e"]) for r in (a or []) + (b or [])]
+                runs = [(p >> 16, (p >> 16) + (p >> 8 & 255)) for p in a or ()] + [(r["s"], r["e"]) for r in b or ()]
                 if runs:
                     s, e = np.array(runs, np.int64).T
                     np.add.at(edge, s, 1)
@@ -206,21 +250,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeated = cut(found.join(often, "ah", "left_semi"), "repeated")
     del found, often
     release(spark)
-    place = F.struct("doc", "th", "s", "e")
-    firsts = cut(repeated.groupBy("ah", "sh").agg(F.min(place).alias("first")), "firsts")
+    firsts, copies = _resolved(repeated, ["ah", "sh"], ["doc", "th", "place"])
+    firsts = cut(firsts, "firsts")
     several = firsts.groupBy("ah").agg(F.count("*").alias("c")).where("c > 1").select("ah")
-    sorted_ = firsts.join(several, "ah", "left_semi").select("first.doc", "first.th", F.struct("ah", "first.s", "first.e").alias("part"))
-    copies = repeated.join(firsts, ["ah", "sh"]).where(F.struct("doc", "th", "s") != F.struct("first.doc", "first.th", "first.s"))
-    copies = copies.select("doc", "th", F.struct("s", "e").alias("copy"))
-    lists = (copies.select("doc", "th", "copy", F.lit(None).cast("struct<ah:bigint,s:bigint,e:bigint>").alias("part"))
-             .union(sorted_.select("doc", "th", F.lit(None).cast("struct<s:bigint,e:bigint>"), "part"))
+    several = firsts.join(several, "ah", "left_semi").select("first.doc", "first.th", F.lit(None).cast("long"), "first.place")
+    lists = (copies.select("doc", "th", F.col("place").alias("copy"), F.lit(None).cast("long").alias("part")).union(several)
              .groupBy("doc", "th").agg(F.collect_set("copy").alias("copies"), F.collect_set("part").alias("parts")))
-    texts = _keyed(docs)
-    suspects = cut(texts.join(lists, ["doc", "th"]).dropDuplicates(["doc", "th"]), "suspects")
-    del copies, sorted_, lists
+    suspects = cut(_keyed(docs).join(lists, ["doc", "th"]).dropDuplicates(["doc", "th"]), "suspects")
+    del copies, several, lists
     release(spark)
-    total = suspects.agg(F.sum(F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["e"] - p["s"] + LENGTH))).first()[0] or 0
-    late = cut(_shard_marks(_bodies(suspects), max(1, total // SHARD)), "late")
+    late = cut(_late(suspects), "late")
     release(spark)
     late = late.groupBy("doc", "th").agg(F.collect_list(F.struct("s", "e")).alias("late"))
     done = _removed(suspects.join(late, ["doc", "th"], "left").select("doc", "text", "th", "copies", "late"))

@@ -156,9 +156,9 @@ def _names(t, lms, ordered):
     return names, int(rank[-1]) + 1
 
 
-def permuted_prefixes(t: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
-    """For each text position, its common prefix (up to ``limit``) with the suffix sorted before it; found by halving over
-    prefix hashes for all positions at once, then lengths of ``limit`` are confirmed symbol by symbol."""
+def permuted_prefixes(t: np.ndarray, sa: np.ndarray, limit: int, at: np.ndarray | None = None) -> np.ndarray:
+    """For each text position (of ``at``, else all), its common prefix (up to ``limit``) with the suffix sorted before it;
+    found by halving over prefix hashes for all positions at once, then lengths of ``limit`` are confirmed symbol by symbol."""
     n = len(t)
     before = np.empty(n, np.int64)
     before[sa[1:]] = sa[:-1]
@@ -167,8 +167,9 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     power[0] = 1
     power = np.multiply.accumulate(power)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(t.astype(np.uint64) + np.uint64(7)) * power[:n])))
-    here = np.arange(n)
-    out = np.zeros(n, np.int64)
+    here = np.arange(n) if at is None else at
+    before = before[here]
+    out = np.zeros(len(here), np.int64)
     step = 1 << (limit.bit_length() - 1)
     while step:
         a, b = here + out, before + out
@@ -183,6 +184,6 @@ def permuted_prefixes(t: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
     for s in range(0, len(full), 8192):
         f = full[s:s + 8192]
         span = np.arange(limit)
-        wrong = (t[f[:, None] + span] != t[before[f][:, None] + span]).any(1)
+        wrong = (t[here[f][:, None] + span] != t[before[f][:, None] + span]).any(1)
         out[f[wrong]] = 0
     return out
