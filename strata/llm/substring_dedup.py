@@ -89,11 +89,28 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), text.alias("text"), F.xxhash64(text).alias("th"))
 
 
+def _found(ids, texts, hashes):
+    """(doc, th, segments) of each text that may hold a window."""
+    return [(i, t, segments(np.frombuffer(x.encode("utf-8", "surrogatepass"), np.uint8))) for i, x, t in zip(ids, texts, hashes)
+            if len(x) >= LENGTH // 4]
+
+
+def all_anchors(docs: DataFrame) -> DataFrame:
+    """ah of every segment."""
+    def run(batches):
+        for columns in slices(batches, 1 << 20):
+            found = [r[2][0] for r in _found(*columns)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["ah"])
+
+    return map_arrow(_keyed(docs), run, "ah long")
+
+
 def all_segments(docs: DataFrame) -> DataFrame:
+    """ah, sh, doc, th, place of every segment."""
     def run(batches):
-        for ids, texts, hashes in slices(batches, 1 << 20):
-            rows = [(i, t, segments(np.frombuffer(x.encode("utf-8", "surrogatepass"), np.uint8))) for i, x, t in zip(ids, texts, hashes)
-                    if len(x) >= LENGTH // 4]
+        for columns in slices(batches, 1 << 20):
+            rows = _found(*columns)
             n = [len(r[2][0]) for r in rows]
             if sum(n):
                 ah, sh, place = (np.concatenate([r[2][c] for r in rows]) for c in range(3))
@@ -190,11 +207,14 @@ def _parts(suspects: DataFrame) -> DataFrame:
                        "doc", "th", "s", "e", "body")
 
 
-def _resolved(rows: DataFrame, keys: list[str], place: list[str]) -> tuple[DataFrame, DataFrame]:
-    """First occurrences of equal contents (``keys``), and the rows that are later copies of one."""
-    firsts = rows.groupBy(*keys).agg(F.min(F.struct(*place)).alias("first"))
-    later = rows.join(firsts, keys).where(F.struct(*place) != F.col("first")).drop("first")
-    return firsts, later
+def _firsts(rows: DataFrame, keys: list[str], place: list[str]) -> DataFrame:
+    """``keys`` and the first occurrence (struct ``first``) of every content."""
+    return rows.groupBy(*keys).agg(F.min(F.struct(*place)).alias("first"))
+
+
+def _later(rows: DataFrame, firsts: DataFrame, keys: list[str], place: list[str]) -> DataFrame:
+    """The rows that are later copies of their content's first occurrence."""
+    return rows.join(firsts, keys).where(F.struct(*place) != F.col("first")).drop("first")
 
 
 def _late(suspects: DataFrame) -> DataFrame:
@@ -203,8 +223,8 @@ def _late(suspects: DataFrame) -> DataFrame:
     parts = _parts(suspects)
     often = parts.groupBy("ah").agg(F.count("*").alias("c")).where("c > 1").select("ah")
     parts = cut(parts.join(often, "ah", "left_semi"), "parts")
-    firsts, later = _resolved(parts.drop("body"), ["ah", "sh", "sh2"], place)
-    firsts = cut(firsts, "part-firsts")
+    firsts = cut(_firsts(parts, ["ah", "sh", "sh2"], place), "part-firsts")
+    later = _later(parts.drop("body"), firsts, ["ah", "sh", "sh2"], place)
     sizes = firsts.groupBy("ah").agg(F.count("*").alias("c")).where("c > 1")
     firsts = firsts.join(sizes, "ah").select("ah", "c", *[F.col(f"first.{x}").alias(x) for x in place])
     firsts = cut(parts.select("ah", *place, "body").join(firsts, ["ah", *place]), "to-sort")
@@ -214,7 +234,7 @@ def _late(suspects: DataFrame) -> DataFrame:
     window = firsts.where(f"c > {HOT}").select("doc", "th", F.explode(F.sequence("s", "e")).alias("w"), "s", "body")
     window = window.select("doc", "th", "w", F.expr(f"substring(body, cast(w - s + 1 as int), {LENGTH})").alias("body"))
     window = window.select("doc", "th", "w", F.xxhash64("body").alias("h1"), F.xxhash64(F.lit(1), "body").alias("h2"))
-    _, hot = _resolved(window, ["h1", "h2"], ["doc", "th", "w"])
+    hot = _later(window.drop("body"), _firsts(window, ["h1", "h2"], ["doc", "th", "w"]), ["h1", "h2"], ["doc", "th", "w"])
     return (later.select(*place).union(sorted_).union(hot.select("doc", "th", "w", F.col("w").alias("e"))))
 
 
@@ -245,19 +265,23 @@ def _removed(suspects: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    found = all_segments(docs)
-    often = found.groupBy("ah").agg(F.count("*").alias("c")).where("c > 1").select("ah")
-    repeated = cut(found.join(often, "ah", "left_semi"), "repeated")
-    del found, often
+    often = all_anchors(docs).groupBy("ah").agg(F.count("*").alias("c")).where("c > 1").select("ah")
+    often = cut(often, "often")
+    release(spark)
+    repeated = cut(all_segments(docs).join(often, "ah", "left_semi"), "repeated")
     release(spark)
-    firsts, copies = _resolved(repeated, ["ah", "sh"], ["doc", "th", "place"])
-    firsts = cut(firsts, "firsts")
+    place = ["doc", "th", "place"]
+    firsts = cut(_firsts(repeated, ["ah", "sh"], place), "firsts")
+    release(spark)
+    copies = _later(repeated, firsts, ["ah", "sh"], place)
     several = firsts.groupBy("ah").agg(F.count("*").alias("c")).where("c > 1").select("ah")
     several = firsts.join(several, "ah", "left_semi").select("first.doc", "first.th", F.lit(None).cast("long"), "first.place")
     lists = (copies.select("doc", "th", F.col("place").alias("copy"), F.lit(None).cast("long").alias("part")).union(several)
              .groupBy("doc", "th").agg(F.collect_set("copy").alias("copies"), F.collect_set("part").alias("parts")))
+    lists = cut(lists, "lists")
+    del copies, several
+    release(spark)
     suspects = cut(_keyed(docs).join(lists, ["doc", "th"]).dropDuplicates(["doc", "th"]), "suspects")
-    del copies, several, lists
     release(spark)
     late = cut(_late(suspects), "late")
     release(spark)

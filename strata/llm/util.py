@@ -6,6 +6,7 @@ import gc
 import os
 import shutil
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -54,8 +55,10 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of frames nobody refers to any more
     (it acts on JVM garbage collection, which a small driver heap rarely triggers)."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round lets go of what Python holds in the JVM
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def slices(batches, max_bytes: int = 1 << 20, text: int = 1):
