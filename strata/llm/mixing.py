@@ -7,8 +7,8 @@
    labelled sample.
 3. Rates r_i >= 0 are fitted by projected gradient least squares so that the expected domain totals
    sum_i r_i * tokens_i * p_i match weight * budget. The residual is measured in the metric of the Gram matrix
-   sum_i tokens_i p_i p_i', and documents in the metric of their tokens, so a step is r_i <- max(0, r_i - p_i . g) with one
-   short vector g per iteration. Start: r_i = 1, so nothing moves that need not. With ``max_rate`` the box is [0, max_rate].
+   sum_i tokens_i p_i p_i', and documents in the metric of their tokens, so a step is r_i <- max(0, y_i - p_i . g) with one
+   short vector g per iteration; y_i adds the usual momentum (accelerated projected gradient). Start: r_i = 1, so nothing moves that need not. With ``max_rate`` the box is [0, max_rate].
 
 An iteration is one aggregate over a slim stored table; a document's rate is a function of its posteriors and the
 list of past g's, so no state is shuffled or kept. The driver sees sums of domain size only.
@@ -30,7 +30,7 @@ from strata.llm.util import cut, map_arrow, slices, text_or_empty
 from strata.llm.words import word_hashes
 
 BUCKETS, Z, LIMIT = 1 << 15, 4.0, 30.0
-ITERATIONS, TOLERANCE = 60, 1e-5
+ITERATIONS, TOLERANCE = 40, 5e-4
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:
@@ -142,11 +142,13 @@ def posteriors(docs: DataFrame, model: Model) -> DataFrame:
                      "doc_id long, tokens long, p array<double>")
 
 
-def _rates(p: np.ndarray, steps: list[np.ndarray], max_rate: float) -> np.ndarray:
-    r = np.ones(len(p))
-    for g in steps:
-        np.clip(r - p @ g, 0.0, max_rate, out=r)
-    return r
+def _rates(p: np.ndarray, steps: list[np.ndarray], max_rate: float, ahead: bool = False) -> np.ndarray:
+    """Rates after ``steps`` of accelerated projected gradient; ``ahead``: where the next gradient is taken."""
+    r = y = np.ones(len(p))
+    for k, g in enumerate(steps):
+        last, r = r, np.clip(y - p @ g, 0.0, max_rate)
+        y = r + (k / (k + 3.0)) * (r - last)
+    return y if ahead else r
 
 
 def _p(batch) -> np.ndarray:
@@ -186,13 +188,13 @@ def fit_rates(members: DataFrame, weights: list[float], budget: float | None = N
             for b in batches:
                 p, t = _p(b), b.column(b.schema.get_field_index("tokens")).to_numpy().astype(np.float64)
                 if len(t):
-                    total += (_rates(p, past, max_rate) * t) @ p
+                    total += (_rates(p, past, max_rate, ahead=True) * t) @ p
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["s"])
 
         residual = sums(map_arrow(slim, totals, "s array<double>"), k) - target
         step = inverse @ residual
         close = TOLERANCE * target.sum()
-        if np.abs(residual).max() <= close or (steps and np.abs(residual - last).max() <= close):
+        if np.abs(residual).max() <= close or (steps and np.abs(residual - last).max() <= close / 4):
             break  # met, or as near as nonnegative rates come
         last = residual
         steps.append(step)

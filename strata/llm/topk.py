@@ -144,7 +144,7 @@ def search(tree: Tree, queries: np.ndarray, qids: np.ndarray, k: int, kth: np.nd
                         hit = hit[np.lexsort((ids[hit], -scores[j, hit]))[:k]]
                     merged = sorted(best[q] + [(-int(scores[j, h]), int(ids[h])) for h in hit])[:k]
                     best[q] = merged
-                    if len(merged) == k:
+                    if len(merged) == k and exact:  # beyond 2^53 a double is no safe bound
                         kth[q] = max(kth[q], -merged[-1][0])
     return best
 
