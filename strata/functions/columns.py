@@ -87,7 +87,7 @@ def operation_name(op) -> Column:
 
 # X8 --------------------------------------------------------------------------
 def record_id(after, before) -> Column:
-    """``str((after or before or {}).get('id', ''))`` over JSON text.
+    """The ``id`` of the image after the change, else of the one before, as text.
 
     An empty object or JSON null counts as falsy (falls through to the other
     image); an image without ``id`` yields ``''``.
@@ -112,9 +112,9 @@ def topic_parts(topic) -> Column:
     t = _c(topic)
     parts = F.split(t, r"\.")
     n = F.size(parts)
-    rest = F.slice(parts, 3, 1_000_000)
+    rest = F.slice(parts, 3, F.greatest(n, F.lit(1)))
     rest = F.when((F.size(rest) > 1) & (F.lower(rest[0]) == "public"),
-                  F.slice(rest, 2, 1_000_000)).otherwise(rest)
+                  F.slice(rest, 2, F.size(rest))).otherwise(rest)
     table = F.array_join(rest, ".")
     unsafe = F.exists(rest, lambda s: ~s.rlike(SAFE_IDENTIFIER))
     reason = (F.when(t.isNull(), "null topic")

@@ -117,13 +117,14 @@ def _typed(text: Column, dtype: T.DataType) -> Column:
     timestamps ISO text or epoch micros; decimals accept JSON doubles."""
     digits = text.rlike(r"^-?\d+$")
     if isinstance(dtype, T.DateType):
-        return F.when(digits, F.date_add(F.lit("1970-01-01").cast("date"), text.cast("int"))) \
+        return F.when(digits, F.date_add(F.lit("1970-01-01").cast("date"), text.try_cast("int"))) \
                 .otherwise(F.to_date(F.try_to_timestamp(text)))
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         return F.when(digits, epoch_us_to_ts(text)) \
                 .otherwise(F.try_to_timestamp(text).cast("timestamp_ntz"))
     if isinstance(dtype, T.BooleanType):
-        return F.lower(text).isin("true", "t", "1")
+        return F.when(F.lower(text).isin("true", "t", "1"), F.lit(True)).when(
+            F.lower(text).isin("false", "f", "0"), F.lit(False))
     if isinstance(dtype, T.StringType):
         return text
     return text.try_cast(dtype)
@@ -165,14 +166,15 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
     ordv = F.struct(F.col("kafka_offset").alias("o"), F.col("event_ts").alias("t"))
     up = ~is_del & F.col("after_state").isNotNull()
     cols = [F.col("subsidiary_id"),
-            F.get_json_object(img, "$.id").try_cast("int").alias("id"),
+            F.get_json_object(img, "$.id").try_cast("bigint").alias("id"),
             F.when(up | is_del, ordv).alias("_ord"),
             F.when(up, ordv).alias("_content_ord"),
             F.when(up, F.col("operation")).alias("_op")]
     for f in fields:
-        present = up & F.array_contains(keys, f.name)
-        cols.append(F.struct(present.alias("p"),
-                             _typed(parsed[f.name], f.dataType).alias("v")).alias(f"_c_{f.name}"))
+        value = _typed(parsed[f.name], f.dataType)
+        # A value that does not parse as the column's type never replaces a good one.
+        present = up & F.array_contains(keys, f.name) & (parsed[f.name].isNull() | value.isNotNull())
+        cols.append(F.struct(present.alias("p"), value.alias("v")).alias(f"_c_{f.name}"))
     img_del = F.array_contains(keys, "is_deleted")
     del_flag = F.when(is_del, F.lit(True)).when(
         img_del, _typed(parsed["is_deleted"], T.BooleanType())).otherwise(F.lit(False))
@@ -194,7 +196,7 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
         state = state.join(touched, ["subsidiary_id", "id"], "left_semi")
         s_ord = F.struct(F.coalesce(F.col("cdc_offset"), F.lit(-1).cast("long")).alias("o"),
                          F.col("cdc_event_ts").alias("t"))
-        scols = [F.col("subsidiary_id"), F.col("id").cast("int").alias("id"),
+        scols = [F.col("subsidiary_id"), F.col("id").cast("bigint").alias("id"),
                  s_ord.alias("_ord"), s_ord.alias("_content_ord"),
                  F.col("cdc_operation").alias("_op")]
         for f in fields:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.monitor import since  # noqa: F401 - F4, one definition
 from strata.schemas import CDC_TABLES, TABLES
 from strata.sources.lake import live_predicate
 
@@ -27,13 +28,6 @@ def get(df: DataFrame, id_value: int, sub: str) -> DataFrame:
     return live(df, sub).filter(F.col("id") == id_value)
 
 
-def since(df: DataFrame, ts_col: str, as_of: str, interval: str, strict: bool = False) -> DataFrame:
-    """rows within ``interval`` (e.g. '7 days', '30 minutes') before ``as_of``."""
-    lo = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {interval}")
-    c = F.col(ts_col)
-    return df.filter(c > lo if strict else c >= lo)
-
-
 def in_year(df: DataFrame, year: int, col: str = "fiscal_year") -> DataFrame:
     """rows of one fiscal year."""
     return df.filter(F.col(col) == year)
@@ -75,10 +69,12 @@ def serve(df: DataFrame, order_by: list[str], limit: int = 5000) -> DataFrame:
 
 def records(lake, dept: str, table: str, days: int, as_of: str) -> DataFrame:
     """A department's live records of ``table`` dated within ``days`` days
-    before ``as_of`` (by the table's business date)."""
+    before ``as_of`` (by the table's business date); all of them where it has none."""
     if not dept_allowed(table, dept):
         raise ValueError(f"{dept} does not serve {table}")
     validate_lookback(days=days)
+    if TABLES[table].date_col is None:
+        return lake.bronze(table)
     col = F.col(TABLES[table].date_col)
     end = F.lit(as_of).cast("date")
     return lake.bronze(table).filter((col > F.date_sub(end, days)) & (col <= end))

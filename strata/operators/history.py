@@ -124,8 +124,9 @@ def scd2(log: DataFrame, keys: list[str] | None = None, table: str | None = None
     if table is not None:
         log = log.filter(F.col("source_table") == table)
     # Only tracked fields define a change (all of the image by default).
-    h = (F.xxhash64("after_state") if not tracked else
-         F.xxhash64(*[F.get_json_object("after_state", f"$.{c}") for c in tracked]))
+    # The digest is over a JSON array, which keeps the place of every NULL.
+    h = F.sha2("after_state" if not tracked else
+               F.to_json(F.array(*[F.get_json_object("after_state", f"$.{c}") for c in tracked])), 256)
     ev = (log.filter(is_del | F.col("after_state").isNotNull())
              .select(*keys, *order, "after_state", is_del.alias("_del"), h.alias("_h")))
     nb = neighbours(ev, keys, order, ["_h", "_del"], slice_col="kafka_offset")

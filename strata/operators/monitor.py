@@ -16,17 +16,18 @@ def _ts(x: str):
 
 
 def since(df: DataFrame, ts_col: str, as_of: str, interval: str, strict: bool = False) -> DataFrame:
-    """rows with ``ts_col`` within ``interval`` before ``as_of``."""
+    """rows with ``ts_col`` within ``interval`` before ``as_of``, never later than it."""
     lo = _ts(as_of) - F.expr(f"INTERVAL {interval}")
     c = F.col(ts_col)
-    return df.filter(c > lo if strict else c >= lo)
+    return df.filter((c > lo if strict else c >= lo) & (c <= _ts(as_of)))
 
 
 def cdc_event_audit(log: DataFrame, as_of_date: str, days: int = 7) -> DataFrame:
     """Count per event date, department and operation over ``days`` days
-    before the start of ``as_of_date``; newest day first."""
-    lo = F.date_sub(F.lit(as_of_date).cast("date"), days).cast("timestamp_ntz")
-    return (log.filter(F.col("event_ts") >= lo)
+    before the start of ``as_of_date`` and that day itself; newest day first."""
+    day = F.lit(as_of_date).cast("date")
+    lo, hi = F.date_sub(day, days).cast("timestamp_ntz"), F.date_add(day, 1).cast("timestamp_ntz")
+    return (log.filter((F.col("event_ts") >= lo) & (F.col("event_ts") < hi))
                .groupBy(F.to_date("event_ts").alias("event_date"), "source_dept", "operation")
                .agg(F.count(F.lit(1)).alias("event_count"))
                .orderBy(F.col("event_date").desc(), "source_dept"))

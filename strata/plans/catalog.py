@@ -53,11 +53,8 @@ def doubles(df: DataFrame) -> DataFrame:
 
 def _load_all():
     # Importing the query modules fills REGISTRY.
-    from strata.plans import queries_cdc, queries_models, queries_quality, queries_reports  # noqa: F401
-    try:
-        from strata.plans import queries_stream  # noqa: F401
-    except ImportError:  # pragma: no cover
-        pass
+    from strata.plans import (queries_cdc, queries_models, queries_quality, queries_reports,  # noqa: F401
+                              queries_stream)
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

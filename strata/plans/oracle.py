@@ -104,7 +104,7 @@ b as (select a.*, s.s_name, s.s_nationkey from a join supplier s on a.l_suppkey
 _FX["ap_invoices"] = _OSL + f""",
 c as (select *, cast(round(g*cast(0.12 as decimal(4,2)),2) as decimal(18,2)) as vat,
    cast(round(g*cast(0.01 as decimal(4,2)),2) as decimal(18,2)) as wht from b)
-select {sub('s_nationkey')} as subsidiary_id, 'AP-' || cast(l_orderkey as varchar) || '-' || cast(l_suppkey as varchar) as invoice_number,
+select l_orderkey * 100000000 + l_suppkey as id, {sub('s_nationkey')} as subsidiary_id, 'AP-' || cast(l_orderkey as varchar) || '-' || cast(l_suppkey as varchar) as invoice_number,
   'VND-' || cast(l_suppkey as varchar) as vendor_id, s_name as vendor_name,
   cast(l_suppkey + 200000000 as varchar) as vendor_tin,
   cast(sd as date) as invoice_date, cast(sd as date) + 30 as due_date,
@@ -281,12 +281,12 @@ _FX["board_resolutions"] = f"""
 select o_orderkey as id, {sub('o_custkey')} as subsidiary_id, 'BR-' || cast(o_orderkey as varchar) as resolution_number,
   cast(o_orderdate as date) as resolution_date, 'Approval of order ' || cast(o_orderkey as varchar) as title,
   'Board of Directors' as enacted_by
-from orders where o_orderpriority = '1-URGENT'"""
+from orders"""
 
 _FX["sec_filings"] = f"""
 with b as (select *, cast(o_orderdate as date) + 30 as due,
     case when o_orderstatus <> 'O' then cast(o_orderdate as date) + cast(o_orderkey % 45 as integer) end as filed
-  from orders where o_orderpriority = '2-HIGH')
+  from orders)
 select o_orderkey as id, {sub('o_custkey')} as subsidiary_id,
   case o_orderkey % 3 when 0 then 'GIS' when 1 then 'AFS' else 'ACGR' end as filing_type,
   due as due_date, filed as filing_date,

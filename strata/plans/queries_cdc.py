@@ -175,7 +175,7 @@ def scd2_history(lake):
 
 @query("cdc_event_audit", f"""
 select cast(event_ts as date) as event_date, source_dept, operation, count(*) as event_count
-from ox_cdc_log where event_ts >= date '{AUDIT_DAY}' - interval 7 day
+from ox_cdc_log where event_ts >= date '{AUDIT_DAY}' - interval 7 day and event_ts < date '{AUDIT_DAY}' + interval 1 day
 group by cast(event_ts as date), source_dept, operation""")
 def cdc_event_audit(lake):
     """Events per day, department and operation over the last 7 days."""
@@ -184,7 +184,7 @@ def cdc_event_audit(lake):
 
 @query("cdc_status", f"""
 select count(*) as total_events, max(event_ts) as last_event_ts
-from ox_cdc_log where event_ts >= timestamp '{AS_OF}' - interval 30 minute""")
+from ox_cdc_log where event_ts between timestamp '{AS_OF}' - interval 30 minute and timestamp '{AS_OF}'""")
 def cdc_status(lake):
     """Events and newest event time in the last 30 minutes."""
     return monitor.cdc_status(parsed_log(lake), AS_OF)
@@ -193,7 +193,7 @@ def cdc_status(lake):
 @query("cdc_freshness", f"""
 select case when max(event_ts) is not null then 'ok' else 'warning' end as status,
   max(event_ts) as last_event_ts
-from ox_cdc_log where event_ts > timestamp '{AS_OF}' - interval 5 minute""")
+from ox_cdc_log where event_ts > timestamp '{AS_OF}' - interval 5 minute and event_ts <= timestamp '{AS_OF}'""")
 def cdc_freshness(lake):
     """A10: ok when an event arrived within the last 5 minutes (strict)."""
     return monitor.cdc_freshness(parsed_log(lake), AS_OF)

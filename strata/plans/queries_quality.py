@@ -252,15 +252,15 @@ def row_diff(lake):
 
 
 @query("gold_quality", f"""
-select table_name, row_count, case when row_count = 0 then 'FAILED' else 'OK' end as status from (
-  select 'gold.exec_kpi' as table_name, count(*) as row_count from (select distinct subsidiary_id,
-    fiscal_year, fiscal_month from sv_fact_sales) k where fiscal_year = {QUALITY_YEAR}
+with keys(mart, key) as (
+  select unnest(['exec_kpi', 'group_pnl']), concat_ws('/', subsidiary_id, fiscal_month)
+  from sv_fact_sales where fiscal_year = {QUALITY_YEAR}
   union all
-  select 'gold.group_pnl', count(*) from (select distinct subsidiary_id, fiscal_year, fiscal_month
-    from sv_fact_sales) g where fiscal_year = {QUALITY_YEAR}
-  union all
-  select 'gold.bir_compliance_scorecard', count(*) from (select distinct subsidiary_id, form_type,
-    year(due_date) as fiscal_year from br_bir_filings_log) s where fiscal_year = {QUALITY_YEAR}) t""")
+  select 'bir_compliance_scorecard', concat_ws('/', subsidiary_id, form_type)
+  from br_bir_filings_log where due_date between date '{QUALITY_YEAR}-01-01' and date '{QUALITY_YEAR}-12-31'),
+marts(mart) as (values ('exec_kpi'), ('group_pnl'), ('bir_compliance_scorecard'))
+select 'gold.' || mart as table_name, count(distinct key) as row_count, if(count(key) > 0, 'OK', 'FAILED') as status
+from marts left join keys using (mart) group by mart""")
 def gold_quality(lake):
     """Each gold mart has rows for the current fiscal year."""
     fs = silver.fact_sales(lake)
@@ -337,7 +337,7 @@ def ingest_quarantine(lake):
     return bad.drop("id")
 
 
-_AP_COLS = [c for c in TABLES["ap_invoices"].names if c != "id"]
+_AP_COLS = TABLES["ap_invoices"].names
 _AP_PATCHED = {
     "status": "case when status = 'unpaid' then 'paid' else status end",
     "payment_amount": "case when status = 'unpaid' then cast(gross_amount - wht_amount as decimal(18,2)) "
@@ -359,7 +359,7 @@ def patch_apply(lake):
                            (F.col("gross_amount") - F.col("wht_amount")).cast("string").alias("payment_amount"),
                            F.col("due_date").cast("string").alias("payment_date"),
                            F.lit("0").alias("gross_amount"))).alias("patch"))
-    return changes.patch(ap, patches, "ap_invoices").drop("id")
+    return changes.patch(ap, patches, "ap_invoices")
 
 
 @query("journal_rows_capped", """

@@ -112,137 +112,137 @@ def _dept_default(dept):
 # ---------------------------------------------------------------------------
 TABLES: dict[str, Table] = {t.name: t for t in [
     _table("subsidiaries", None, ["subsidiary_id"], [
-        "id int!", "subsidiary_id string!", "name string!", "tin string!", "sec_reg string",
+        "id bigint!", "subsidiary_id string!", "name string!", "tin string!", "sec_reg string",
         "bir_rdo string", "industry string", "scale_factor dec5_2!=1.0",
         "fiscal_year_start int!=1", "currency string!='PHP'", "is_active boolean!=true",
         "created_at timestamp!=now", "updated_at timestamp!=now"], ingested=False),
     _table("pipeline_run_log", None, [], [
-        "id int!", "run_id string!", "dag_id string", "task_id string", "subsidiary_id string",
+        "id bigint!", "run_id string!", "dag_id string", "task_id string", "subsidiary_id string",
         "source_dept string", "endpoint_called string", "rows_fetched int=0",
         "rows_inserted int=0", "rows_rejected int=0", "status string!='running'",
         "error_message string", "started_at timestamp!=now", "finished_at timestamp",
         "duration_seconds dec10_2"], ingested=False),
     _table("cdc_event_log", None, ["kafka_topic", "kafka_partition", "kafka_offset"], [
-        "id int!", "kafka_topic string!", "kafka_partition int!", "kafka_offset bigint!",
+        "id bigint!", "kafka_topic string!", "kafka_partition int!", "kafka_offset bigint!",
         "subsidiary_id string!", "source_dept string", "source_table string!",
         "operation string!", "record_id string", "before_state string",
         "after_state string", "event_ts timestamp!", "consumed_at timestamp!=now",
         "is_processed boolean!=false", "created_at timestamp!=now"], "event_ts", ingested=False),
     _table("journal_entries", "finance", ["subsidiary_id", "entry_number"], [
-        "id int!", "subsidiary_id string!", _dept_default("finance"), "entry_date date!",
+        "id bigint!", "subsidiary_id string!", _dept_default("finance"), "entry_date date!",
         "entry_number string!", "account_code string!", "account_name string",
         "debit_amount money!=0", "credit_amount money!=0", "description string",
         "reference_doc string", "is_interco boolean!=false", "counterpart_sub_id string",
         "cost_center string", "posted_by string", "approved_by string"], "entry_date"),
     _table("ap_invoices", "finance", ["subsidiary_id", "invoice_number"], [
-        "id int!", "subsidiary_id string!", _dept_default("finance"), "invoice_number string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("finance"), "invoice_number string!",
         "vendor_id string", "vendor_name string", "vendor_tin string", "invoice_date date!",
         "due_date date", "gross_amount money!=0", "vat_amount money!=0",
         "net_amount money!=0", "wht_amount money!=0", "payment_amount money",
         "payment_date date", "status string!='unpaid'", "is_interco boolean!=false",
         "counterpart_sub_id string"], "invoice_date"),
     _table("ar_ledger", "finance", ["subsidiary_id", "invoice_number"], [
-        "id int!", "subsidiary_id string!", _dept_default("finance"), "invoice_number string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("finance"), "invoice_number string!",
         "customer_id string", "customer_name string", "customer_tin string",
         "invoice_date date!", "due_date date", "gross_amount money!=0",
         "vat_amount money!=0", "net_amount money!=0", "collected_amount money",
         "collection_date date", "status string!='open'", "is_interco boolean!=false",
         "counterpart_sub_id string"], "invoice_date"),
     _table("sales_transactions", "sales", ["subsidiary_id", "invoice_number"], [
-        "id int!", "subsidiary_id string!", _dept_default("sales"), "invoice_number string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("sales"), "invoice_number string!",
         "customer_name string", "transaction_date date!", "gross_amount money!=0",
         "discount_amount money!=0", "vat_amount money!=0", "net_amount money!=0",
         "vat_classification string", "is_interco boolean!=false",
         "counterpart_sub_id string"], "transaction_date"),
     _table("customers", "sales", ["subsidiary_id", "customer_id"], [
-        "id int!", "subsidiary_id string!", _dept_default("sales"), "customer_id string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("sales"), "customer_id string!",
         "customer_name string", "customer_tin string", "contact_email string",
         "phone string", "is_active boolean!=true"]),
     _table("campaigns", "sales", ["subsidiary_id", "campaign_id"], [
-        "id int!", "subsidiary_id string!", _dept_default("sales"), "campaign_id string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("sales"), "campaign_id string!",
         "campaign_name string!", "campaign_type string!='digital'", "channel string",
         "start_date date!", "end_date date", "budget_amount money!=0",
         "actual_spend money!=0", "leads_generated int!=0", "conversions int!=0",
         "revenue_attributed money!=0", "status string!='active'"], "start_date"),
     _table("employees", "hr", ["subsidiary_id", "employee_id"], [
-        "id int!", "subsidiary_id string!", _dept_default("hr"), "employee_id string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("hr"), "employee_id string!",
         "first_name string", "last_name string", "tin string", "sss_number string",
         "philhealth_number string", "pagibig_number string", "department string",
         "position string", "employment_type string", "date_hired date",
         "basic_salary money"], "date_hired"),
     _table("payroll_runs", "hr", [], [
-        "id int!", "subsidiary_id string!", _dept_default("hr"), "payroll_period string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("hr"), "payroll_period string!",
         "employee_id string!", "gross_pay money!=0", "total_deductions money!=0",
         "net_pay money!=0", "payroll_date date"], "payroll_date"),
     _table("statutory_contributions", "hr", [], [
-        "id int!", "subsidiary_id string!", _dept_default("hr"), "period_month int!",
+        "id bigint!", "subsidiary_id string!", _dept_default("hr"), "period_month int!",
         "period_year int!", "sss_employer money!=0", "sss_employee money!=0",
         "philhealth_employer money!=0", "philhealth_employee money!=0",
         "pagibig_employer money!=0", "pagibig_employee money!=0", "total_amount money!=0"]),
     _table("vendors", "procurement", ["subsidiary_id", "vendor_id"], [
-        "id int!", "subsidiary_id string!", _dept_default("procurement"), "vendor_id string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("procurement"), "vendor_id string!",
         "vendor_name string", "vendor_tin string", "vendor_type string",
         "payment_terms string", "is_accredited boolean!=false"]),
     _table("purchase_orders", "ops", ["subsidiary_id", "po_number"], [
-        "id int!", "subsidiary_id string!", _dept_default("ops"), "po_number string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("ops"), "po_number string!",
         "vendor_id string", "order_date date", "expected_date date", "status string",
         "total_amount money!=0"], "order_date"),
     _table("sales_orders", "ops", ["subsidiary_id", "so_number"], [
-        "id int!", "subsidiary_id string!", _dept_default("ops"), "so_number string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("ops"), "so_number string!",
         "customer_id string", "order_date date", "ship_date date", "status string",
         "total_amount money!=0"], "order_date"),
     _table("inventory_movements", "ops", [], [
-        "id int!", "subsidiary_id string!", _dept_default("ops"), "movement_date date!",
+        "id bigint!", "subsidiary_id string!", _dept_default("ops"), "movement_date date!",
         "movement_type string!", "item_code string", "quantity int", "unit_cost money",
         "total_cost money", "warehouse_location string", "reference_doc string"],
         "movement_date"),
     _table("vat_returns", "tax", ["subsidiary_id", "period_year", "period_month", "form_type"], [
-        "id int!", "subsidiary_id string!", _dept_default("tax"), "period_month int!",
+        "id bigint!", "subsidiary_id string!", _dept_default("tax"), "period_month int!",
         "period_year int!", "form_type string!", "gross_sales money!=0",
         "exempt_sales money!=0", "zero_rated_sales money!=0", "taxable_sales money!=0",
         "output_vat money!=0", "input_vat money!=0", "vat_payable money!=0",
         "filing_date date", "efps_confirmation string", "status string!='pending'"],
         "filing_date"),
     _table("wht_filings", "tax", [], [
-        "id int!", "subsidiary_id string!", _dept_default("tax"), "form_type string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("tax"), "form_type string!",
         "period_month int", "period_year int", "payee_tin string", "payee_name string",
         "income_payment money!=0", "atc_code string", "tax_rate rate!=0",
         "wht_amount money!=0", "filing_date date", "efps_confirmation string",
         "status string!='pending'"], "filing_date"),
     _table("wht_certificates", "procurement", ["subsidiary_id", "cert_number"], [
-        "id int!", "subsidiary_id string!", _dept_default("procurement"), "cert_number string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("procurement"), "cert_number string!",
         "vendor_id string", "atc_code string", "income_payment money!=0", "tax_rate rate!=0",
         "wht_amount money!=0", "issued_date date"], "issued_date"),
     _table("bir_filings_log", "tax", [], [
-        "id int!", "subsidiary_id string!", _dept_default("tax"), "form_type string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("tax"), "form_type string!",
         "period_covered string", "due_date date", "filing_date date",
         "amount_paid money!=0", "surcharge_amount money!=0", "interest_amount money!=0",
         "compromise_amount money!=0", "penalty_amount money", "efps_ref string",
         "payment_mode string", "status string!='filed'"], "filing_date",
         generated={"penalty_amount": ("surcharge_amount", "interest_amount", "compromise_amount")}),
     _table("sec_filings", "legal", [], [
-        "id int!", "subsidiary_id string!", _dept_default("legal"), "filing_type string!",
+        "id bigint!", "subsidiary_id string!", _dept_default("legal"), "filing_type string!",
         "due_date date", "filing_date date", "status string", "reference_number string"],
         "filing_date"),
     _table("stockholders", "legal", ["subsidiary_id", "stockholder_id"], [
-        "id int!", "subsidiary_id string!", "stockholder_id string!", "name string",
+        "id bigint!", "subsidiary_id string!", "stockholder_id string!", "name string",
         "ownership_pct pct", "is_foreign boolean!=false"]),
     _table("board_resolutions", "legal", ["subsidiary_id", "resolution_number"], [
-        "id int!", "subsidiary_id string!", "resolution_number string!",
+        "id bigint!", "subsidiary_id string!", "resolution_number string!",
         "resolution_date date", "title string", "enacted_by string"], "resolution_date"),
     _table("officers", "legal", ["subsidiary_id", "officer_id"], [
-        "id int!", "subsidiary_id string!", "officer_id string!", "name string",
+        "id bigint!", "subsidiary_id string!", "officer_id string!", "name string",
         "position string", "start_date date", "end_date date"], "start_date"),
     _table("access_events", "it_audit", [], [
-        "id int!", "subsidiary_id string!", _dept_default("it_audit"),
+        "id bigint!", "subsidiary_id string!", _dept_default("it_audit"),
         "event_timestamp timestamp!", "user_id string", "action string", "resource string",
         "resource_id string", "ip_address string", "result string"], "event_timestamp"),
     _table("audit_log", "it_audit", [], [
-        "id int!", "subsidiary_id string!", _dept_default("it_audit"),
+        "id bigint!", "subsidiary_id string!", _dept_default("it_audit"),
         "event_timestamp timestamp!", "user_id string", "action string", "result string",
         "risk_level string"], "event_timestamp"),
     _table("system_incidents", "it_audit", ["subsidiary_id", "incident_id"], [
-        "id int!", "subsidiary_id string!", "incident_id string!", "incident_date date",
+        "id bigint!", "subsidiary_id string!", "incident_id string!", "incident_date date",
         "incident_type string", "severity string", "description string",
         "resolved_date date"], "incident_date"),
 ]}

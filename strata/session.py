@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -43,9 +44,14 @@ def _driver_memory() -> str:
 def get_spark(master: str | None = None, app: str = "strata",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+    given = SparkConf()  # what spark-submit and the cluster's defaults set
+    builder = SparkSession.builder.appName(app)
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not given.contains(k)}
+    if master or not given.contains("spark.master"):
+        builder = builder.master(master or f"local[{cpus}]")
+        shuffle_partitions = shuffle_partitions or int(cpus)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("STRATA_DRIVER_MEMORY", _driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
@@ -70,6 +76,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = _LOCAL_DIRS.get(id(spark))
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         _LOCAL_DIRS[id(spark)] = d
         try:

@@ -86,7 +86,7 @@ def export_audit_csv(log: DataFrame, as_of: str, path: str, days: int = 7) -> Da
     Executors write the part files; nothing passes through the driver.
     Returns the exported rows (lazy) for counting / inspection.
     """
-    recent = log.filter(F.col("event_ts") >= F.lit(as_of).cast("timestamp_ntz")
-                        - F.expr(f"INTERVAL {days} DAYS"))
+    end = F.lit(as_of).cast("timestamp_ntz")
+    recent = log.filter((F.col("event_ts") >= end - F.expr(f"INTERVAL {days} DAYS")) & (F.col("event_ts") <= end))
     recent.write.mode("overwrite").option("header", True).csv(path)
     return recent

@@ -52,7 +52,8 @@ def conform(df: DataFrame, table: Table | str, id_cols: list[str] | None = None)
     have = set(df.columns)
     if "id" not in have:
         keys = id_cols or list(t.keys) or [c for c in df.columns]
-        df = df.withColumn("id", F.pmod(F.xxhash64(*keys), F.lit(2147483647)).cast("int"))
+        # Only for rows without a unique source key; all others bring an id composed of theirs.
+        df = df.withColumn("id", F.xxhash64(*keys))
     if "source_dept" not in have and "source_dept" in t.names:
         df = df.withColumn("source_dept", F.lit(t.dept))
     if "ingested_at" not in have and "ingested_at" in t.names:
@@ -174,6 +175,11 @@ def _order_supplier_lines(src: TestTables) -> DataFrame:
     return a.join(sup, a.l_suppkey == sup.s_suppkey)
 
 
+def order_supplier_id() -> Column:
+    """64-bit id of an (order, supplier) pair: exact for up to 10^8 suppliers."""
+    return F.col("l_orderkey").cast("long") * 100_000_000 + F.col("l_suppkey")
+
+
 def ap_invoices(src: TestTables) -> DataFrame:
     b = _order_supplier_lines(src)
     g = F.col("g")
@@ -183,7 +189,7 @@ def ap_invoices(src: TestTables) -> DataFrame:
     paid = F.col("ls") == "F"
     interco = (F.col("l_suppkey") % 10) == 0
     df = b.select(
-        sub_of("s_nationkey").alias("subsidiary_id"),
+        order_supplier_id().alias("id"), sub_of("s_nationkey").alias("subsidiary_id"),
         F.concat(F.lit("AP-"), s("l_orderkey"), F.lit("-"), s("l_suppkey")).alias("invoice_number"),
         F.concat(F.lit("VND-"), s("l_suppkey")).alias("vendor_id"),
         F.col("s_name").alias("vendor_name"),
@@ -203,7 +209,7 @@ def purchase_orders(src: TestTables) -> DataFrame:
     b = _order_supplier_lines(src)
     od = F.date_sub(F.col("sd").cast("date"), 14)
     df = b.select(
-        sub_of("s_nationkey").alias("subsidiary_id"),
+        order_supplier_id().alias("id"), sub_of("s_nationkey").alias("subsidiary_id"),
         F.concat(F.lit("PO-"), s("l_orderkey"), F.lit("-"), s("l_suppkey")).alias("po_number"),
         F.concat(F.lit("VND-"), s("l_suppkey")).alias("vendor_id"),
         od.alias("order_date"),
@@ -377,16 +383,15 @@ def wht_filings(src: TestTables, ap: DataFrame | None = None) -> DataFrame:
              .otherwise(F.lit("0.01")).cast("decimal(6,4)"))
     paid = F.col("status") == "paid"
     df = ap.select(
-        "subsidiary_id", F.lit("1601E").alias("form_type"),
+        "id", "subsidiary_id", F.lit("1601E").alias("form_type"),
         F.month("invoice_date").alias("period_month"), F.year("invoice_date").alias("period_year"),
         F.col("vendor_tin").alias("payee_tin"), F.col("vendor_name").alias("payee_name"),
         g.alias("income_payment"),
         F.when(g >= 100000, "WC155").when(g >= 50000, "WC030").otherwise("WC010").alias("atc_code"),
         rate.alias("tax_rate"), money_round(g * rate).alias("wht_amount"),
         F.when(paid, F.date_add("invoice_date", 10)).alias("filing_date"),
-        F.when(paid, "filed").otherwise("pending").alias("status"),
-        F.col("invoice_number").alias("_k"))
-    return conform(df, "wht_filings", ["subsidiary_id", "_k"])
+        F.when(paid, "filed").otherwise("pending").alias("status"))
+    return conform(df, "wht_filings")
 
 
 def wht_certificates(src: TestTables, ap: DataFrame | None = None) -> DataFrame:
@@ -477,7 +482,7 @@ def officers(src: TestTables) -> DataFrame:
 
 
 def board_resolutions(src: TestTables) -> DataFrame:
-    o = src("orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    o = src("orders")
     df = o.select(
         F.col("o_orderkey").alias("id"), sub_of("o_custkey").alias("subsidiary_id"),
         F.concat(F.lit("BR-"), s("o_orderkey")).alias("resolution_number"),
@@ -488,7 +493,7 @@ def board_resolutions(src: TestTables) -> DataFrame:
 
 
 def sec_filings(src: TestTables) -> DataFrame:
-    o = src("orders").filter(F.col("o_orderpriority") == "2-HIGH")
+    o = src("orders")
     k = F.col("o_orderkey")
     d = F.col("o_orderdate").cast("date")
     due = F.date_add(d, 30)

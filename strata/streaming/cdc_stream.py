@@ -37,7 +37,7 @@ def read_cdc_stream(spark: SparkSession, source: str = "kafka", path: str | None
     """
     if source == "kafka":
         r = (spark.readStream.format("kafka")
-             .option("subscribePattern", TOPIC_PATTERN.replace("(?i)", ""))
+             .option("subscribePattern", TOPIC_PATTERN)
              .option("startingOffsets", "earliest"))
         if bootstrap_servers:
             r = r.option("kafka.bootstrap.servers", bootstrap_servers)
