@@ -69,7 +69,7 @@ def epoch_ms_to_ts(ms) -> Column:
 
 
 def epoch_us_to_ts(us) -> Column:
-    return F.timestamp_add("MICROSECOND", _c(us).cast("long"), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", _c(us).try_cast("bigint"), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def ts_to_epoch_ms(ts) -> Column:

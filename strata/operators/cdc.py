@@ -112,10 +112,17 @@ STATE_EXTRA = [("cdc_operation", T.StringType()), ("cdc_event_ts", T.TimestampNT
                ("cdc_offset", T.LongType())]
 
 
-def _typed(text: Column, dtype: T.DataType) -> Column:
+def _typed(text: Column, dtype: T.DataType, epoch: bool = True) -> Column:
     """JSON scalar text -> typed value. Dates accept ISO text or epoch days,
-    timestamps ISO text or epoch micros; decimals accept JSON doubles."""
+    timestamps ISO text or epoch micros; decimals accept JSON doubles. Polled
+    feeds (``epoch=False``) send no epoch numbers: there a bare number is a
+    date only as yyyymmdd, and no timestamp."""
     digits = text.rlike(r"^-?\d+$")
+    if not epoch and isinstance(dtype, (T.DateType, T.TimestampNTZType, T.TimestampType)):
+        iso = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+        if isinstance(dtype, T.DateType):
+            return F.when(~digits | text.rlike(r"^\d{8}$"), F.to_date(F.try_to_timestamp(iso)))
+        return F.when(~digits, F.try_to_timestamp(text).cast("timestamp_ntz"))
     if isinstance(dtype, T.DateType):
         return F.when(digits, F.date_add(F.lit("1970-01-01").cast("date"), text.try_cast("int"))) \
                 .otherwise(F.to_date(F.try_to_timestamp(text)))

@@ -56,7 +56,8 @@ def ingest(records: DataFrame, table: str, ingested_at: str, feed: str | None =
     * every bronze column typed with ``try``-casts; a present value that does
       not parse sends the row to quarantine;
     * NULL in a NOT NULL column with a default takes the default (D15, X17);
-      NULL in a NOT NULL column without one sends the row to quarantine;
+      NULL in a NOT NULL or natural-key column without one sends the row to
+      quarantine;
     * fields outside the bronze schema are dropped; ``ingested_at`` is stamped.
     """
     t = TABLES[table]
@@ -80,12 +81,12 @@ def ingest(records: DataFrame, table: str, ingested_at: str, feed: str | None =
             raw = F.lit(None).cast("string")
         else:
             raw = F.col(c.name).cast("string")
-        v = _typed(F.trim(raw), c.dtype)
+        v = _typed(F.trim(raw), c.dtype, epoch=False)
         problems.append(F.when(raw.isNotNull() & (F.trim(raw) != "") & v.isNull(),
                                F.lit(f"bad value in {c.name}")))
         if c.default is not None:
             v = F.coalesce(v, default_value(c, now))
-        elif c.not_null and c.name != "id":
+        elif (c.not_null or c.name in t.keys) and c.name != "id":
             problems.append(F.when(v.isNull(), F.lit(f"{c.name} is null")))
         typed.append(v.cast(c.dtype).alias(c.name))
     reason = F.concat_ws("; ", F.array_compact(F.array(*problems)))
@@ -116,18 +117,17 @@ def insert_ignore(target: DataFrame | None, batch: DataFrame, table: str,
         keys = [c for c in t.names if c in batch.columns
                 and c not in ("id", "ingested_at", "is_deleted", "deleted_at")]
     b = batch if keyless else batch.filter(_all([F.col(k).isNotNull() for k in keys]))
-    rank = F.struct(*([F.col(order)] if order else []),
-                    *[F.col(c) for c in batch.columns if c != order])
-    row = F.struct(*[F.col(c) for c in batch.columns])
-    first = b.groupBy(*keys).agg(F.min_by(row, rank).alias("_r")).select("_r.*")
+    # The row itself is the rank, so each row travels once.
+    row = F.struct(*([F.col(order)] if order else []), *[F.col(c) for c in batch.columns if c != order])
+    first = b.groupBy(*keys).agg(F.min(row).alias("_r")).select("_r.*").select(*batch.columns)
     if target is None:
         return first
-    present = target.select(*keys)
+    # An anti join needs no distinct keys: the target is not de-duplicated.
+    present = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
     if keyless:  # NULL-safe equality on every business column
-        cond = [first[k].eqNullSafe(present[k]) for k in keys]
-        return first.join(present.distinct(), cond, "left_anti").select(*batch.columns)
-    present = present.filter(_all([F.col(k).isNotNull() for k in keys])).distinct()
-    return first.join(present, keys, "left_anti").select(*batch.columns)
+        return first.join(present, _all([F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]), "left_anti")
+    present = present.filter(_all([F.col(f"_t_{k}").isNotNull() for k in keys]))
+    return first.join(present, _all([F.col(k) == F.col(f"_t_{k}") for k in keys]), "left_anti")
 
 
 def patch(df: DataFrame, patches: DataFrame, table: str, keys: list[str] | None = None,
@@ -135,8 +135,10 @@ def patch(df: DataFrame, patches: DataFrame, table: str, keys: list[str] | None
     """M7/M9: apply partial updates given as JSON text (column ``patch``).
 
     Only allowed fields change; a field absent from a patch keeps its value,
-    a field present with ``null`` becomes NULL. Several patches of one key
-    apply in ``order``; patches of unknown or soft-deleted rows do nothing.
+    a field present with ``null`` becomes NULL, unless its column is NOT NULL,
+    and a value that does not parse changes nothing. Several patches of one key
+    apply in ``order`` (ties, or no order: by the patch text); patches of
+    unknown or soft-deleted rows do nothing.
     ``updated_at`` (when the table has it) is set to ``now`` on patched rows.
     """
     t = TABLES[table]
@@ -145,11 +147,13 @@ def patch(df: DataFrame, patches: DataFrame, table: str, keys: list[str] | None
     p = F.col("patch")
     present_keys = F.coalesce(F.json_object_keys(p), F.array().cast("array<string>"))
     text = F.from_json(p, T.StructType([T.StructField(f, T.StringType()) for f in allowed]))
-    ordc = F.col(order) if order else F.lit(0)
-    sel = [*[F.col(k) for k in keys], ordc.alias("_o")]
+    rank = F.struct(F.col(order).alias("o"), p.alias("p")) if order else p
+    sel = [*[F.col(k) for k in keys], rank.alias("_o")]
     for f in allowed:
-        sel.append(F.struct(F.array_contains(present_keys, f).alias("p"),
-                            _typed(text[f], t.column(f).dtype).alias("v")).alias(f"_{f}"))
+        value = _typed(text[f], t.column(f).dtype)
+        usable = value.isNotNull() if t.column(f).not_null else text[f].isNull() | value.isNotNull()
+        sel.append(F.struct((F.array_contains(present_keys, f) & usable).alias("p"),
+                            value.alias("v")).alias(f"_{f}"))
     per_key = patches.select(*sel).groupBy(*keys).agg(
         *[F.max_by(F.col(f"_{f}.v"), F.when(F.col(f"_{f}.p"), F.col("_o"))).alias(f"_v_{f}")
           for f in allowed],

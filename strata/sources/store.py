@@ -82,10 +82,11 @@ def read_table(spark: SparkSession, root: str, layer: str, name: str, schema=Non
     return df
 
 
-def cut_lineage(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a reliable lineage cut
-    that survives executor loss (the alternative to ``checkpoint()`` when the
-    result should also be inspectable)."""
-    path = f"{root.rstrip('/')}/_cut/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def drop_partitions(spark: SparkSession, base: str, cols: list[str], keys: list[tuple]) -> None:
+    """Delete the folders of the given partition keys (those that exist)."""
+    fs, _, jvm = _fs(spark, base)
+    catalog = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for key in keys:
+        folders = [f"{c}=" + ("__HIVE_DEFAULT_PARTITION__" if k is None else catalog.escapePathName(str(k)))
+                   for c, k in zip(cols, key)]
+        fs.delete(jvm.org.apache.hadoop.fs.Path("/".join([base.rstrip("/"), *folders])), True)

@@ -46,6 +46,26 @@ def test_ingest_missing_date_quarantined(spark):
     assert good.count() == 0 and bad.first().reject_reason == "movement_date is null"
 
 
+def test_ingest_null_key_and_bare_numbers(spark):
+    recs = spark.createDataFrame([("ABC", "C1"), ("ABC", None)], "subsidiary_id string, customer_id string")
+    good, bad = changes.ingest(recs, "customers", "2024-02-01 00:00:00")
+    assert good.count() == 1 and [r.reject_reason for r in bad.collect()] == ["customer_id is null"]
+    recs = spark.createDataFrame([("ABC", "I1", "20240131"), ("ABC", "I2", "99999999999"), ("ABC", "I3", "19723")],
+                                 "subsidiary_id string, invoice_number string, transaction_date string")
+    good, bad = changes.ingest(recs, "sales_transactions", "2024-02-01 00:00:00")
+    assert [str(r.transaction_date) for r in good.collect()] == ["2024-01-31"]
+    assert {r.reject_reason.split(";")[0] for r in bad.collect()} == {"bad value in transaction_date"}
+
+
+def test_patch_keeps_value_that_does_not_parse(spark):
+    df = spark.createDataFrame([("ABC", 1, "10.00", "x")], "subsidiary_id string, id int, s string, position string").select(
+        "subsidiary_id", "id", F.col("s").cast("decimal(18,2)").alias("basic_salary"), "position")
+    patches = spark.createDataFrame([("ABC", 1, json.dumps({"basic_salary": "abc", "position": "y"})),
+                                     ("ABC", 1, json.dumps({"position": "z"}))], "subsidiary_id string, id int, patch string")
+    got = changes.patch(df, patches, "employees").first()
+    assert (float(got.basic_salary), got.position) == (10.0, "z")
+
+
 def test_patch(spark):
     df = spark.createDataFrame(
         [("ABC", 1, "unpaid", None, False), ("ABC", 2, "unpaid", None, True), ("ABC", 3, "unpaid", 5.0, False)],

@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import silver
 from strata.plans import jobs
+from strata.schemas import FEEDS
 from strata.sources import store
 from strata.sources.lake import FixtureLake
 
@@ -50,7 +52,9 @@ def test_run_weekly_and_incremental(spark, tmp_root):
     assert exported.count() == log.filter("event_ts >= timestamp'2024-01-24 00:00:00'").count()
     ctx2 = jobs.RunContext(spark, lake, tmp_root, version=2, as_of="2024-01-31 00:00:00")
     runlog = jobs.run_incremental(ctx2, log)
-    assert {r.task_id for r in runlog.collect()} == {"snapshot", "silver_fact_sales", "gold_group_pnl"}
+    tasks = {r.task_id for r in runlog.collect()}
+    assert {"snapshot", *[f"silver_{n}" for n in silver.SILVER]} <= tasks
+    assert {"gold_group_pnl", "gold_gold_financial_summary", "gold_interco_elimination"} <= tasks
     assert store.read_table(spark, tmp_root, "gold", "group_pnl").count() > 0
 
 
@@ -66,7 +70,7 @@ def test_ingest_all_from_landing_files(spark, tmp_root):
                    {"subsidiary_id": None, "vendor_id": "V9"}], f)
     with open(f"{land}/sales_customers/p1.json", "w") as f:
         json.dump({"data": [{"subsidiary_id": "XYZ", "customer_id": "C1", "tin": "123"}]}, f)
-    feeds = {k: v for k, v in jobs.FEEDS_FOR_TEST().items()}
+    feeds = {k: FEEDS[k] for k in ("procurement_vendors", "sales_customers")}
     out = jobs.ingest_all(spark, land, tmp_root, "2024-02-01 00:00:00", 1, feeds=feeds)
     got = {r.task_id: (r.rows_fetched, r.rows_inserted, r.rows_rejected) for r in out.collect()}
     assert got == {"procurement_vendors": (3, 1, 1), "sales_customers": (1, 1, 0)}
@@ -76,6 +80,36 @@ def test_ingest_all_from_landing_files(spark, tmp_root):
     out2 = jobs.ingest_all(spark, land, tmp_root, "2024-02-02 00:00:00", 2, feeds=feeds)
     assert {r.task_id: r.rows_inserted for r in out2.collect()} == {"procurement_vendors": 0, "sales_customers": 0}
     assert store.read_table(spark, tmp_root, "bronze", "vendors").count() == 1
+    # a re-run of a poll replaces its rejects; a feed without files is reported
+    feeds["finance_journal_entries"] = ("finance", "journal_entries", 7)
+    out3 = jobs.ingest_all(spark, land, tmp_root, "2024-02-02 00:00:00", 2, feeds=feeds)
+    assert {r.task_id: r.status for r in out3.collect()}["finance_journal_entries"] == "no files"
+    assert spark.read.parquet(f"{tmp_root}/quarantine/vendors/v=2").count() == 1
+
+
+def test_failing_task_is_in_the_run_log(spark, tmp_root):
+    ctx = jobs.RunContext(spark, None, tmp_root, version=1, as_of="1998-12-31")
+
+    def broken():
+        raise ValueError("no such source")
+    with pytest.raises(ValueError), jobs.recorded(ctx):
+        jobs.log_run(ctx, "good", lambda: spark.range(3), lambda d: d.write.parquet(f"{tmp_root}/good"))
+        jobs.log_run(ctx, "bad", broken, lambda d: d.write.parquet(f"{tmp_root}/bad"))
+    rows = {r.task_id: (r.status, r.rows_inserted, r.error_message)
+            for r in spark.read.parquet(f"{tmp_root}/meta/pipeline_run_log").collect()}
+    assert rows == {"good": ("success", 3, None), "bad": ("failed", 0, "no such source")}
+
+
+def test_refresh_drops_emptied_partition(spark, tmp_root):
+    cols = "subsidiary_id string, fiscal_year int, fiscal_month int, gross_amount double, net_amount double, vat_amount double"
+    old = spark.createDataFrame([("A B", 2024, 1, 1.0, 1.0, 0.0), ("A B", 2024, 2, 2.0, 2.0, 0.0)], cols)
+    out = f"{tmp_root}/pnl_empty"
+    jobs.refresh_gold_partitions(old, old, out)
+    moved = spark.createDataFrame([("A B", 2024, 3, 1.0, 1.0, 0.0), ("A B", 2024, 2, 2.0, 2.0, 0.0)], cols)
+    touched = spark.createDataFrame([("A B", 2024, 1), ("A B", 2024, 3)], "subsidiary_id string, fiscal_year int, fiscal_month int")
+    jobs.refresh_gold_partitions(moved, touched, out)
+    got = {(r.fiscal_month, r.revenue_net) for r in spark.read.parquet(out).collect()}
+    assert got == {(2, 2.0), (3, 1.0)}
 
 
 def test_stream_gold_refreshes_touched_partitions(spark, tmp_root):
