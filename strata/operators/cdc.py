@@ -6,10 +6,10 @@ streaming ``foreachBatch`` (``strata.streaming.cdc_stream``).
 
 Scale notes
 * Parsing is row-local (``from_json``/``get_json_object``); no shuffle.
-* ``append_cdc_log`` never scans the whole log: the batch's lowest offset per
-  Kafka topic-partition bounds which log rows can collide (offsets only
-  grow), and that bounds table has one row per topic-partition — a number
-  fixed by topic configuration, so broadcasting it is safe.
+* ``append_cdc_log`` compares a batch with log rows at or above its lowest
+  offset per Kafka topic-partition. That bound is a join condition, so the
+  three key columns of the log are scanned; the bounds table has one row per
+  topic-partition, a number fixed by topic configuration.
 * ``merge_changes`` is one hash aggregate on (subsidiary_id, id) built from
   ``max_by`` — a declarative aggregate with a map-side partial, so a key
   updated millions of times is combined before the shuffle.

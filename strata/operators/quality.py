@@ -1,4 +1,4 @@
-"""Q1-Q6 data-quality checks and R1-R11 arithmetic rules.
+"""Q1-Q6 data-quality checks and arithmetic rules.
 
 Every check returns rows of one shape — ``model, check_name, column_name,
 failures, status`` — so a quality report is a plain union. Checks on the same
@@ -124,7 +124,7 @@ def run_checks(results: list[DataFrame]) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# R1-R11 arithmetic rules: each a predicate that must hold for every row.
+# Arithmetic rules: each a predicate that must hold for every row.
 # ---------------------------------------------------------------------------
 def _eq(a: Column, b: Column) -> Column:
     return a.cast(MONEY) == b.cast(MONEY)
@@ -181,7 +181,7 @@ def journal_balanced(journal: DataFrame) -> DataFrame:
 
 def check_arithmetic(df: DataFrame, table: str, rules: dict[str, tuple[str, Column]] | None = None
                      ) -> DataFrame:
-    """Violation counts of every rule of ``table`` in one scan."""
+    """Violation counts of every rule of ``table`` in one scan."""
     rules = {k: v for k, v in (rules or arithmetic_rules()).items() if v[0] == table}
     agg = df.agg(*[F.count_if(~F.coalesce(p, F.lit(False))).alias(k) for k, (_t, p) in rules.items()])
     return _unpivot(agg, table, "arithmetic", list(rules))
