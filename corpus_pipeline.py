@@ -7,8 +7,8 @@ each works on all that its predecessor kept.
 1. language_id: documents without a letter, or unlike every learned language, go.
 2. exact_dedup: of equal texts one stays.
 3. near_dedup: of each group of near-duplicates (five-word shingles, similarity 0.8) one stays.
-4. mixing: documents are repeated or dropped at the fitted rates; the budget is set so that clean documents
-   keep a rate of one or more and toxic ones fall towards none.
+4. mixing: documents are repeated or dropped at the fitted rates. Documents that do not look most like toxic ones keep a
+   rate of one or more, whatever share they have; toxic ones fall towards none.
 5. packing: what is left is packed into sequences of 4096 tokens.
 """
 
@@ -37,7 +37,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = mixing.quality_domains(table(spark, sf_dir, "labels"))
-    return mixing.remix(docs, labels, WEIGHTS, BUDGET_SHARE, MAX_RATE)
+    return mixing.remix(docs, labels, WEIGHTS, BUDGET_SHARE, MAX_RATE, falling=("toxic",))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@
    sum_i r_i * tokens_i * p_i match weight * budget. The residual is measured in the metric of the Gram matrix
    sum_i tokens_i p_i p_i', and documents in the metric of their tokens, so a step is r_i <- max(0, y_i - p_i . g) with one
    short vector g per iteration; y_i adds the usual momentum (accelerated projected gradient). Start: r_i = 1, so nothing moves that need not. With ``max_rate`` the box is [0, max_rate].
+   With ``falling`` only documents whose largest posterior is one of these domains' may go below 1: for all others the
+   box begins at 1, whatever the targets, so each of them is there at least once.
 
 An iteration is one aggregate over a slim stored table; a document's rate is a function of its posteriors and the
 list of past g's, so no state is shuffled or kept. The driver sees sums of domain size only.
@@ -142,11 +144,21 @@ def posteriors(docs: DataFrame, model: Model) -> DataFrame:
                      "doc_id long, tokens long, p array<double>")
 
 
-def _rates(p: np.ndarray, steps: list[np.ndarray], max_rate: float, ahead: bool = False) -> np.ndarray:
+def _least(p: np.ndarray, falling: list[int] | None) -> np.ndarray:
+    """The least rate of each document: 0 where a domain in ``falling`` has the largest posterior (or with None), else 1."""
+    if falling is None or not len(p):
+        return np.zeros(len(p))
+    rest = [d for d in range(p.shape[1]) if d not in falling]
+    return (p[:, rest].max(1, initial=0.0) >= p[:, falling].max(1, initial=0.0)).astype(np.float64)
+
+
+def _rates(p: np.ndarray, steps: list[np.ndarray], max_rate: float, ahead: bool = False,
+           falling: list[int] | None = None) -> np.ndarray:
     """Rates after ``steps`` of accelerated projected gradient; ``ahead``: where the next gradient is taken."""
     r = y = np.ones(len(p))
+    least = _least(p, falling)
     for k, g in enumerate(steps):
-        last, r = r, np.clip(y - p @ g, 0.0, max_rate)
+        last, r = r, np.clip(y - p @ g, least, max_rate)
         y = r + (k / (k + 3.0)) * (r - last)
     return y if ahead else r
 
@@ -157,7 +169,7 @@ def _p(batch) -> np.ndarray:
 
 
 def fit_rates(members: DataFrame, weights: list[float], budget: float | None = None, max_rate: float = float("inf"),
-              iterations: int = ITERATIONS) -> list[np.ndarray]:
+              iterations: int = ITERATIONS, falling: list[int] | None = None) -> list[np.ndarray]:
     """The gradient steps that lead ``members`` (tokens, p) to rates whose totals match weight * budget."""
     k = len(weights)
 
@@ -188,7 +200,7 @@ def fit_rates(members: DataFrame, weights: list[float], budget: float | None = N
             for b in batches:
                 p, t = _p(b), b.column(b.schema.get_field_index("tokens")).to_numpy().astype(np.float64)
                 if len(t):
-                    total += (_rates(p, past, max_rate, ahead=True) * t) @ p
+                    total += (_rates(p, past, max_rate, True, falling) * t) @ p
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["s"])
 
         residual = sums(map_arrow(slim, totals, "s array<double>"), k) - target
@@ -214,14 +226,16 @@ def with_rates(members: DataFrame, steps: list[np.ndarray], max_rate: float = fl
 
 
 def remix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget_share: float = 1.0,
-          max_rate: float = float("inf"), max_labelled: int = 12_000) -> DataFrame:
+          max_rate: float = float("inf"), max_labelled: int = 12_000, falling: tuple[str, ...] | None = None) -> DataFrame:
     """The rows of ``docs``, with all their columns, as often as the fitted rates say (none, one or several times). The budget
-    is ``budget_share`` times the present tokens. No text is shuffled: rates are worked out where a row is read."""
+    is ``budget_share`` times the present tokens. Only documents that look most like a domain of ``falling`` can go below
+    one (None: all can). No text is shuffled: rates are worked out where a row is read."""
     domains = sorted(weights)
+    fall = None if falling is None else [domains.index(d) for d in falling]
     model = fit(docs, labelled, domains, max_labelled)
     members = cut(posteriors(docs, model), "posteriors")
     total = members.agg(F.sum("tokens")).first()[0] or 0
-    steps = fit_rates(members, [weights[d] for d in domains], budget_share * total, max_rate)
+    steps = fit_rates(members, [weights[d] for d in domains], budget_share * total, max_rate, falling=fall)
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(17)), F.lit(1_000_003)) / F.lit(1_000_003.0)
     rows = docs.select(draw.alias("_draw"), text_or_empty().alias("_text"), *docs.columns)
 
@@ -230,7 +244,7 @@ def remix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
                 _, e = model.evidence(part.column(1).to_pylist())
-                times = np.floor(_rates(model.posteriors(e), steps, max_rate) + part.column(0).to_numpy()).astype(np.int64)
+                times = np.floor(_rates(model.posteriors(e), steps, max_rate, falling=fall) + part.column(0).to_numpy()).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(part.columns[2:], part.schema.names[2:]).take(pa.array(np.repeat(np.arange(len(times)), times)))
 
     return map_arrow(rows, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))

@@ -99,3 +99,19 @@ def test_pipeline(spark):
     for r in rows:
         lengths[r["sequence_id"]] = lengths.get(r["sequence_id"], 0) + r["length"]
     assert max(lengths.values()) <= packing.CAPACITY and sum(r["piece"] == 0 for r in rows) == len(kept[3])
+
+
+def test_pipeline_keeps_clean_documents_of_any_share(spark, docs_of, tmp_root):
+    import corpus_pipeline as P
+    r = random.Random(8)
+    common, own = [f"w{i}" for i in range(60)], {d: [f"{d}{i}" for i in range(30)] for d in ("high", "low", "toxic")}
+    domain = {i: "toxic" if i % 10 == 0 else "low" if i % 3 == 0 else "high" for i in range(600)}  # low: a third
+    rows = [(i, " ".join(r.choice(own[d] if r.random() < (0.5 if d == "toxic" else 0.15) else common) for _ in range(r.randint(15, 60)))) for i, d in domain.items()]
+    labels = [(i, int(d == "high"), int(d == "toxic")) for i, d in domain.items()]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_root}/labels.parquet")
+    copies = dict.fromkeys(domain, 0)
+    for x in P.mixed(spark, docs_of(rows), tmp_root).collect():
+        copies[x["doc_id"]] += 1
+    gone = [i for i, n in copies.items() if not n]
+    assert not [i for i in gone if domain[i] != "toxic"]
+    assert len(gone) >= 0.5 * sum(d == "toxic" for d in domain.values())
