@@ -7,7 +7,8 @@ with each automaton: the next phrase is the longest string that occurs in the re
 With c phrases over n symbols and a reference of N symbols, the cross-parsing entropy is
 c * log2(N) / n; the language with the lowest one wins (ties: first name).
 
-Symbols are lower-case letters; every run of other characters is one space. Whole texts
+Symbols are lower-case letters, all that the references hold; every run of other characters is one space.
+Transitions by the commonest letters are in a dense table, those by all others are sorted keys. Whole texts
 are parsed, in blocks of ``BLOCK`` symbols that each begin a new phrase, so that numpy
 steps through thousands of blocks at a time. The references travel in the task closure
 (a few tens of KB); each Python worker builds the automata once.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from strata.llm.util import map_arrow, slices
 
 BLOCK = 512
-MAX_LETTERS = 120
+DENSE, CELLS = 120, 40_000_000  # columns and cells of the dense table at most; what they are does not change results
 SPACE, UNKNOWN = 0, 1
 
 
@@ -85,17 +86,16 @@ def _squeeze(codes: np.ndarray) -> np.ndarray:
     return codes[keep]
 
 
-def suffix_automaton(codes, width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``: a row of ``width`` per state, 0 for
-    none; state 0 is the root."""
-    nxt, link, length, last = [[0] * width], [-1], [0], 0
+def suffix_automaton(codes) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of ``codes``: symbol -> next state, per state; state 0 is the root."""
+    nxt, link, length, last = [{}], [-1], [0], 0
     for c in codes:
         cur = len(nxt)
-        nxt.append([0] * width)
+        nxt.append({})
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p != -1 and not nxt[p][c]:
+        while p != -1 and c not in nxt[p]:
             nxt[p][c] = cur
             p = link[p]
         if p != -1:
@@ -104,46 +104,68 @@ def suffix_automaton(codes, width: int) -> np.ndarray:
                 link[cur] = q
             else:
                 clone = len(nxt)
-                nxt.append(nxt[q][:])
+                nxt.append(nxt[q].copy())
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p != -1 and nxt[p][c] == q:
+                while p != -1 and nxt[p].get(c) == q:
                     nxt[p][c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    return np.array(nxt, np.int32)
+    return nxt
 
 
 class Parser:
     """Cross-parses texts against several references at once.
 
-    ``flat[state * width + symbol]`` holds the next state, or its negative where the
-    symbol begins a new phrase. States of all languages share one numbering from 1."""
+    States of all languages share one numbering from 1. ``flat[state * width + symbol]`` holds the next state, or its
+    negative where the symbol begins a new phrase. Symbols from ``width`` on are looked up among ``keys``,
+    state * symbols + symbol; where there is none, ``first`` has the state after the language's root."""
 
     def __init__(self, refs: dict[str, str]):
         self.langs = sorted(refs)
-        letters = Counter(c for t in refs.values() for c in t.lower() if c.isalpha() and len(c) == 1)
-        known = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:MAX_LETTERS]]
-        self.lut = np.where(_letters(), UNKNOWN, SPACE).astype(np.uint8)
+        letters = Counter(c for t in refs.values() for c in t.lower() if c.isalpha())
+        known = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))]
+        self.lut = np.where(_letters(), UNKNOWN, SPACE).astype(np.int32)
         for i, c in enumerate(known):
             self.lut[ord(c)] = i + 2
-        self.width = len(known) + 2
-        parts, roots, base, self.bits = [], [], 1, []
-        for lang in self.langs:
+        self.symbols = len(known) + 2
+        roots, base, self.bits, edges = [], 1, [], []
+        self.first = np.zeros((len(self.langs), self.symbols), np.int32)
+        for j, lang in enumerate(self.langs):
             codes = _squeeze(self.lut[_points(refs[lang])])
-            t = suffix_automaton(codes.tolist(), self.width)
-            t[:, UNKNOWN] = 0
-            moved = np.where(t > 0, t + base, 0)
-            first = np.where(moved[0] > 0, moved[0], base)
-            moved = np.where(moved > 0, moved, -first[None, :])
-            moved[0] = -first
-            parts.append(moved)
+            t = suffix_automaton(codes.tolist())
+            e = np.array([(s, c, v) for s, row in enumerate(t) for c, v in row.items()], np.int64).reshape(-1, 3)
+            e[:, 0] += base
+            e[:, 2] += base
+            root = e[:, 0] == base
+            self.first[j] = base
+            self.first[j, e[root, 1]] = e[root, 2]
+            e[root, 2] *= -1
+            edges.append(e)
             roots.append(base)
             base += len(t)
             self.bits.append(math.log2(max(2, len(codes))))
-        self.flat = np.concatenate([np.zeros((1, self.width), np.int32), *parts]).astype(np.int32).ravel()
         self.roots = np.array(roots, np.int32)
+        self.width = min(self.symbols, 2 + max(0, min(DENSE, CELLS // base - 2)))
+        flat = np.zeros((base, self.width), np.int32)
+        for j, root in enumerate(roots):
+            flat[root:([*roots, base][j + 1])] = -self.first[j, :self.width]
+        edge = np.concatenate([np.zeros((0, 3), np.int64), *edges])
+        common = edge[:, 1] < self.width
+        flat[edge[common, 0], edge[common, 1]] = edge[common, 2]
+        self.flat = flat.ravel()
+        rare = edge[~common]
+        keys = rare[:, 0] * self.symbols + rare[:, 1]
+        order = np.argsort(keys)
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.next = np.append(rare[order, 2], 0).astype(np.int32)
+
+    def _rare(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """What ``flat`` would hold for symbols from ``width`` on."""
+        key = state.astype(np.int64) * self.symbols + codes
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.next[at], -self.first[:, codes])
 
     def phrases(self, docs: list[np.ndarray]) -> np.ndarray:
         """Phrases per document and language of squeezed code arrays."""
@@ -165,8 +187,14 @@ class Parser:
         state = np.repeat(self.roots[:, None], len(order), 1)
         count = np.zeros(state.shape, np.int32)
         live = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")
+        rare = codes >= self.width
+        some = rare.any(1)
+        dense = np.where(rare, UNKNOWN, codes)
         for k, n in enumerate(live):
-            v = self.flat.take(state[:, :n] * self.width + codes[k, :n])
+            v = self.flat.take(state[:, :n] * self.width + dense[k, :n])
+            if some[k]:
+                at = np.flatnonzero(rare[k, :n])
+                v[:, at] = self._rare(state[:, at], codes[k, at])
             count[:, :n] += v < 0
             np.abs(v, out=state[:, :n])
         doc = np.array(doc)[order]
@@ -178,7 +206,7 @@ class Parser:
         """(language, score, entropy in bits per symbol, entropy without the first phrase) of each text."""
         docs, n = [], []
         for t in texts:
-            codes = _squeeze(self.lut[_points(t)]) if t else np.zeros(0, np.uint8)
+            codes = _squeeze(self.lut[_points(t)]) if t else np.zeros(0, np.int32)
             ok = bool(len(codes)) and bool((codes != SPACE).any()) and bool(self.langs)
             docs.append(codes if ok else codes[:0])
             n.append(len(codes) if ok else 0)
@@ -225,11 +253,27 @@ def predict(docs: DataFrame, refs: dict[str, str], keep: tuple[str, ...] = ("doc
     return map_arrow(cols, run, schema)
 
 
+def own_limits(refs: dict[str, str], limit: float) -> dict[str, float]:
+    """``limit``, or more for a language whose own text takes more bits per symbol (a large alphabet): what the second half
+    of its reference takes by the first, and a quarter, but at most half way to a phrase a symbol."""
+    out = {}
+    for lang, ref in refs.items():
+        half = Parser({lang: ref[:len(ref) // 2]})
+        own = half.predict([ref[len(ref) // 2:]])[0][3]
+        out[lang] = limit if own is None else max(limit, min(1.25 * own, (own + half.bits[0]) / 2))
+    return out
+
+
 def known_language(docs: DataFrame, refs: dict[str, str], limit: float = 6.0) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text has a letter and reads like a learned language: beyond the
-    first phrase at most ``limit`` bits per symbol (its own language takes about 2.5, a foreign one about 7)."""
+    first phrase at most ``limit`` bits per symbol (of the given languages their own takes about 2.5, a foreign one about 7),
+    or more where the language itself takes more (``own_limits``)."""
     kept = predict(docs, refs, tuple(docs.columns))
-    return kept.where((F.col("lang_pred") != "und") & (F.col("excess") <= limit)).select(*docs.columns)
+    most = F.lit(limit)
+    for lang, x in sorted(own_limits(refs, limit).items()):
+        if x > limit:
+            most = F.when(F.col("lang_pred") == lang, F.lit(x)).otherwise(most)
+    return kept.where((F.col("lang_pred") != "und") & (F.col("excess") <= most)).select(*docs.columns)
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:

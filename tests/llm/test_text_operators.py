@@ -250,6 +250,31 @@ def test_cross_parsing_counts_longest_matches():
         assert p.phrases([p.lut[language_id._points(t)]])[0, 0] == count(t), t
 
 
+def test_languages_with_large_alphabets(docs_of, monkeypatch):
+    r = random.Random(4)
+
+    def speech(base, n):
+        vocab = ["".join(chr(base + min(int(r.expovariate(1 / 250)), 1999)) for _ in range(r.choice([1, 2, 2, 3]))) for _ in range(3000)]
+        return ["".join(vocab[min(int(r.expovariate(1 / 600)), 2999)] for _ in range(n)) for n in [14_000] + [60] * 20]
+
+    said = {"xx": speech(0x4E00, 20), "yy": speech(0xAC00, 20), "zz": [" ".join(_vocabulary(r, 3) * 40) for _ in range(21)]}
+    refs = {k: v[0][:24_000] for k, v in said.items()}
+    docs = docs_of([(i, t, k) for k, v in said.items() for i, t in enumerate(v[1:]) if k != "zz"])
+    got = language_id.predict(docs, refs, ("doc_id", "lang")).collect()
+    assert all(x["lang_pred"] == x["lang"] for x in got) and min(x["score"] for x in got) > 0.1
+    assert language_id.known_language(docs, refs).count() == len(got) == 40
+    foreign = docs_of([(1, "".join(chr(r.randrange(0x1200, 0x1248)) for _ in range(300))), (2, said["xx"][1])])
+    assert [x["doc_id"] for x in language_id.known_language(foreign, refs).collect()] == [2]
+    texts = [v[i] for v in said.values() for i in (1, 2)] + [said["xx"][1] + " " + said["yy"][1]]
+    want = language_id.Parser(refs).predict(texts)
+    for dense, cells in ((0, 10 ** 9), (30, 10 ** 9), (120, 10)):
+        monkeypatch.setattr(language_id, "DENSE", dense)
+        monkeypatch.setattr(language_id, "CELLS", cells)
+        p = language_id.Parser({"x": "abracadabra"})
+        assert p.phrases([p.lut[language_id._points("cadabraxbra")]])[0, 0] == 3
+        assert language_id.Parser(refs).predict(texts) == want
+
+
 def test_mixing(spark, docs_of):
     r = random.Random(5)
     own = {"a": _vocabulary(r, 40), "b": [w + "q" for w in _vocabulary(r, 40)]}
