@@ -64,7 +64,7 @@ class Tokens:
         self.plain = re.compile(r"[\x21-\x7e\xa1-\xac\xae-ſ]+").fullmatch
         self.find = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+").findall
         self.odd = re.compile(r"[\x1c-\x1f]|<\|").search
-        self.number = {c for c in map(chr, range(0x180)) if unicodedata.category(c)[0] == "N" and not c.isdigit()}
+        self.number = {c for c in map(chr, range(0x180)) if unicodedata.category(c)[0] == "N" and c not in "0123456789"}
 
     def _word(self, word: str) -> bytes:
         if len(self.words) > CACHE:

@@ -206,6 +206,13 @@ def test_packing(docs_of):
     assert packing.pack(docs_of([])).count() == 0
 
 
+def test_word_cache_matches_the_tokenizer():
+    tokens = packing.Tokens(packing.default_path())
+    for c in filter(tokens.plain, map(chr, range(0x180))):
+        for w in (c, f"m{c}", f"{c}m", f"x{c}y", f"2{c}y", f".{c}.", c + c, f"km{c}'s"):
+            assert tokens.encode(w).tolist() == tokens.tokenizer.encode(w, add_special_tokens=False).ids, w
+
+
 def test_packing_plans():
     for seed in range(12):
         r = random.Random(seed)
