@@ -12,8 +12,12 @@
    With ``falling`` only documents whose largest posterior is one of these domains' may go below 1: for all others the
    box begins at 1, whatever the targets, so each of them is there at least once.
 
+Iterations end when the totals are met within ``TOLERANCE`` of the budget, or when the projected gradient vanishes: a step moves
+the tokens' mean rate by ``TOLERANCE`` at most (at the latest after ``ITERATIONS``).
+
 An iteration is one aggregate over a slim stored table; a document's rate is a function of its posteriors and the
-list of past g's, so no state is shuffled or kept. The driver sees sums of domain size only.
+list of past g's, so no state is shuffled; every ``RENEW`` iterations the table is stored with the rates so far, to not
+repeat them. The driver sees sums of domain size only.
 
 Defined cases: null text has no tokens, the prior as posterior, and a rate like any other. Labels with a null id or
 domain are not used; an id labelled twice counts once per distinct label. With no usable label posteriors are uniform.
@@ -32,7 +36,7 @@ from strata.llm.util import cut, map_arrow, slices, text_or_empty
 from strata.llm.words import word_hashes
 
 BUCKETS, Z, LIMIT = 1 << 15, 4.0, 30.0
-ITERATIONS, TOLERANCE = 40, 5e-4
+ITERATIONS, TOLERANCE, RENEW = 400, 1e-5, 50
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:
@@ -152,15 +156,19 @@ def _least(p: np.ndarray, falling: list[int] | None) -> np.ndarray:
     return (p[:, rest].max(1, initial=0.0) >= p[:, falling].max(1, initial=0.0)).astype(np.float64)
 
 
-def _rates(p: np.ndarray, steps: list[np.ndarray], max_rate: float, ahead: bool = False,
-           falling: list[int] | None = None) -> np.ndarray:
-    """Rates after ``steps`` of accelerated projected gradient; ``ahead``: where the next gradient is taken."""
-    r = y = np.ones(len(p))
+def _rates(p: np.ndarray, steps: list[np.ndarray], max_rate: float, falling: list[int] | None = None,
+           state: tuple | None = None, at: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """After ``steps`` of accelerated projected gradient, of which ``state`` has the first ``at``: the rates, where the next
+    gradient is taken, and how far the last step went."""
+    r = y = moved = np.ones(len(p))
+    if state is not None:
+        r, y, moved = state
     least = _least(p, falling)
-    for k, g in enumerate(steps):
+    for k, g in enumerate(steps[at:], at):
         last, r = r, np.clip(y - p @ g, least, max_rate)
+        moved = np.abs(r - y)
         y = r + (k / (k + 3.0)) * (r - last)
-    return y if ahead else r
+    return r, y, moved
 
 
 def _p(batch) -> np.ndarray:
@@ -192,24 +200,38 @@ def fit_rates(members: DataFrame, weights: list[float], budget: float | None = N
     target = np.array(weights, np.float64) / sum(weights) * (g.sum() if budget is None else budget)
     inverse = np.linalg.inv(g + np.eye(k) * 1e-9 * np.trace(g))
     steps: list[np.ndarray] = []
-    for _ in range(iterations):
-        past = list(steps)
-
-        def totals(batches):
-            total = np.zeros(k)
+    done = 0
+
+    def rates(b, past, at):
+        p = _p(b)
+        state = tuple(b.column(b.schema.get_field_index(c)).to_numpy() for c in "rym") if at else None
+        return p, b.column(b.schema.get_field_index("tokens")).to_numpy().astype(np.float64), _rates(p, past, max_rate, falling, state, at)
+
+    for i in range(iterations + 1):
+        if i and i % RENEW == 0:
+            def renew(batches, past=tuple(steps), at=done):
+                for b in batches:
+                    _, _, state = rates(b, past, at)
+                    yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in ("tokens", "p")]
+                                                     + [pa.array(x, pa.float64()) for x in state], ["tokens", "p", "r", "y", "m"])
+
+            slim = cut(map_arrow(slim, renew, "tokens long, p array<double>, r double, y double, m double"), "rates")
+            done = i
+
+        def totals(batches, past=tuple(steps), at=done):
+            total = np.zeros(k + 1)
             for b in batches:
-                p, t = _p(b), b.column(b.schema.get_field_index("tokens")).to_numpy().astype(np.float64)
+                p, t, (_, y, moved) = rates(b, past, at)
                 if len(t):
-                    total += (_rates(p, past, max_rate, True, falling) * t) @ p
+                    total += np.append((y * t) @ p, moved @ t)
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["s"])
 
-        residual = sums(map_arrow(slim, totals, "s array<double>"), k) - target
-        step = inverse @ residual
-        close = TOLERANCE * target.sum()
-        if np.abs(residual).max() <= close or (steps and np.abs(residual - last).max() <= close / 4):
-            break  # met, or as near as nonnegative rates come
-        last = residual
-        steps.append(step)
+        *now, moved = sums(map_arrow(slim, totals, "s array<double>"), k + 1)
+        residual = np.array(now) - target
+        if np.abs(residual).max() <= TOLERANCE * target.sum() or (steps and moved <= TOLERANCE * g.sum()):
+            break  # met, or as near as rates within the bounds come
+        if i < iterations:
+            steps.append(inverse @ residual)
     return steps
 
 
@@ -217,7 +239,7 @@ def with_rates(members: DataFrame, steps: list[np.ndarray], max_rate: float = fl
     """Adds rate and copies (the rate rounded by a hash of the doc_id)."""
     def run(batches):
         for b in batches:
-            r = _rates(_p(b), steps, max_rate)
+            r = _rates(_p(b), steps, max_rate)[0]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r, pa.float64())], [*b.schema.names, "rate"])
 
     out = map_arrow(members, run, "doc_id long, tokens long, p array<double>, rate double")
@@ -244,7 +266,7 @@ def remix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
                 _, e = model.evidence(part.column(1).to_pylist())
-                times = np.floor(_rates(model.posteriors(e), steps, max_rate, falling=fall) + part.column(0).to_numpy()).astype(np.int64)
+                times = np.floor(_rates(model.posteriors(e), steps, max_rate, fall)[0] + part.column(0).to_numpy()).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(part.columns[2:], part.schema.names[2:]).take(pa.array(np.repeat(np.arange(len(times)), times)))
 
     return map_arrow(rows, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
@@ -259,3 +281,13 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     steps = fit_rates(members, [weights[d] for d in domains], budget, max_rate)
     rows = with_rates(members, steps, max_rate)
     return rows.select("doc_id", "tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(domains)], "rate", "copies")
+
+
+def reached(mixed: DataFrame, weights: dict[str, float], budget: float | None = None) -> DataFrame:
+    """domain, present, target, reached: expected tokens of each domain before and after ``mix``."""
+    domains = sorted(weights)
+    total = F.sum("tokens") if budget is None else F.lit(float(budget))
+    rows = [F.struct(F.lit(d).alias("domain"), F.sum(F.col("tokens") * F.col(f"p_{d}")).alias("present"),
+                     (total * F.lit(weights[d] / sum(weights.values()))).alias("target"),
+                     F.sum(F.col("rate") * F.col("tokens") * F.col(f"p_{d}")).alias("reached")) for d in domains]
+    return mixed.agg(F.array(*rows).alias("x")).select(F.inline("x"))

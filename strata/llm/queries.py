@@ -14,7 +14,7 @@ TARGETS = {"high": 0.7, "low": 0.28, "toxic": 0.02}
 
 def op1_mixing(spark, sf_dir):
     labels = mixing.quality_domains(table(spark, sf_dir, "labels"))
-    return mixing.mix(table(spark, sf_dir, "documents"), labels, TARGETS, max_rate=8.0)
+    return mixing.mix(table(spark, sf_dir, "documents"), labels, TARGETS)
 
 
 PII_KEY = "strata-demo-key"  # a deployment passes its own secret

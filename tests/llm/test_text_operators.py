@@ -299,3 +299,24 @@ def test_mixing(spark, docs_of):
     assert again.columns == docs_of([]).columns and again.count() == sum(x["copies"] for x in got)
     empty = mixing.mix(docs_of([]), labels.limit(0), {"a": 1.0, "b": 1.0})
     assert empty.count() == 0
+
+
+def test_registered_mixing_meets_its_targets(spark, docs_of, tmp_root, monkeypatch):
+    from strata.llm import queries
+    r = random.Random(9)
+    own = {d: [f"{d}{i}" for i in range(30)] for d in ("high", "low", "toxic")}
+    domain = {i: "toxic" if i % 10 == 0 else "low" if i % 10 == 1 else "high" for i in range(800)}
+    rows = [(i, " ".join(r.choice(own[d]) for _ in range(r.randint(6, 9) if d == "low" else r.randint(40, 60)))) for i, d in domain.items()]
+    docs_of(rows).write.parquet(f"{tmp_root}/documents.parquet")
+    spark.createDataFrame([(i, int(d == "high"), int(d == "toxic")) for i, d in domain.items()],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{tmp_root}/labels.parquet")
+    mixed = mixing.cut(queries.op1_mixing(spark, tmp_root), "test-mixed")
+    assert mixed.agg({"rate": "max"}).first()[0] > 8
+    for x in mixing.reached(mixed, queries.TARGETS).collect():
+        assert abs(x["reached"] / sum(len(t.split()) for _, t in rows) - queries.TARGETS[x["domain"]]) < 1e-3, x
+    g = np.random.default_rng(1)
+    members = spark.createDataFrame([(5, [float(a), 1 - float(a)]) for a in g.uniform(0.2, 0.7, 50)], "tokens long, p array<double>")
+    once = mixing.fit_rates(members, [0.75, 0.25], iterations=12)
+    monkeypatch.setattr(mixing, "RENEW", 5)  # stored rates change nothing
+    again = mixing.fit_rates(members, [0.75, 0.25], iterations=12)
+    assert len(once) == len(again) > 5 and np.allclose(once, again)
