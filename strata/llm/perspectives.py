@@ -8,8 +8,8 @@ code points, end exclusive, joined by ``;``), n_trained.
 
 Parts bound what meets in one row: part ``p`` holds the turns numbered p * TURNS_PER_PART up to the
 next multiple, so an endless conversation becomes many rows of bounded size, in order. Rows
-that share a turn number beyond that bound are dealt to further ``slice`` numbers by hash; all
-turns are rendered. Turns of a part are put together once, before speakers multiply
+beyond that bound (shared or missing turn numbers) go to further slices in the order of turn, role and text:
+``slice`` is floor(rank / TURNS_PER_PART). The query's SQL knows slice 0 only. All turns are rendered. Turns of a part are put together once, before speakers multiply
 the rows, and the roster of a conversation is a partial aggregate.
 
 Defined cases: null text is empty; a null role is the participant ``unknown``; rows without a
@@ -21,14 +21,35 @@ conversation of system turns only has no participant and gives no row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.util import cut
+
 TURNS_PER_PART = 256
 SYSTEM = "system"
 OPEN, SEP, CLOSE = "<|", "|>\n", "\n<|end|>\n"
 
 
+def _slices(rows: DataFrame, key: list[str], turn: list[str]) -> DataFrame:
+    """Oversized parts in ordered slices. Equal rows are counted first; what is left is numbered in sub-ranges, each with
+    the count of those before it, so neither a long part nor a repeated row meets in one task."""
+    rows = rows.groupBy(*key, *turn).agg(F.count("*").alias("n"))
+    rows = cut(rows.repartitionByRange(*key, *turn).withColumn("range", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(*key).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy(*key, "range").agg(F.sum("n").alias("m")).withColumn("offset", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    ranges = ranges.select(F.col("conv_id").alias("_c"), F.col("part").alias("_p"), F.col("range").alias("_g"), "offset")
+    rows = rows.join(ranges, rows["conv_id"].eqNullSafe(ranges["_c"]) & (rows["part"] == ranges["_p"]) & (rows["range"] == ranges["_g"]))
+    within = Window.partitionBy(*key, "range").orderBy(*turn).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("a", F.col("offset") + F.coalesce(F.sum("n").over(within), F.lit(0))).withColumn("b", F.col("a") + F.col("n"))
+    size = F.lit(TURNS_PER_PART)
+    rows = rows.withColumn("slice", F.explode(F.sequence(F.floor(F.col("a") / size), F.floor((F.col("b") - 1) / size))))
+    here = F.least("b", (F.col("slice") + 1) * size) - F.greatest("a", F.col("slice") * size)
+    lists = rows.groupBy(*key, F.col("slice").cast("int").alias("slice")).agg(
+        F.sort_array(F.collect_list(F.struct(*turn, here.cast("int").alias("n")))).alias("turns"))
+    return lists.withColumn("turns", F.flatten(F.transform("turns", lambda t: F.array_repeat(F.struct(*[t[c].alias(c) for c in turn]), t["n"]))))
+
+
 def rotate(turns: DataFrame) -> DataFrame:
     rows = turns.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"),
@@ -36,12 +57,13 @@ def rotate(turns: DataFrame) -> DataFrame:
         F.coalesce(F.floor(F.col("turn") / TURNS_PER_PART), F.lit(-1)).cast("long").alias("part"))
     key = ["conv_id", "part"]
     sizes = rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > TURNS_PER_PART)
-    sizes = sizes.select(F.col("conv_id").alias("_c"), F.col("part").alias("_p"), F.ceil(F.col("n") / TURNS_PER_PART).alias("pieces"))
-    rows = rows.join(sizes, rows["conv_id"].eqNullSafe(sizes["_c"]) & (rows["part"] == sizes["_p"]), "left")
-    rows = rows.withColumn("slice", F.coalesce(F.pmod(F.xxhash64("turn", "role", "text"), "pieces"), F.lit(0)).cast("int"))
+    sizes = sizes.select(F.col("conv_id").alias("_c"), F.col("part").alias("_p"))
+    over = rows["conv_id"].eqNullSafe(sizes["_c"]) & (rows["part"] == sizes["_p"])
     roster = rows.where(F.col("role") != SYSTEM).groupBy("conv_id").agg(F.collect_set("role").alias("roster"))
     roster = roster.select(F.col("conv_id").alias("_r"), "roster")
-    parts = rows.groupBy(*key, "slice").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    turn = ["turn", "role", "text"]
+    parts = rows.join(sizes, over, "left_anti").groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(*turn))).alias("turns"))
+    parts = parts.select(*key, F.lit(0).alias("slice"), "turns").unionByName(_slices(rows.join(sizes, over, "left_semi"), key, turn))
     seats = parts.join(roster, parts["conv_id"].eqNullSafe(roster["_r"])).select(
         *key, "slice", "turns", F.explode("roster").alias("speaker"))
 

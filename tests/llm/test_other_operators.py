@@ -115,3 +115,15 @@ def test_pipeline_keeps_clean_documents_of_any_share(spark, docs_of, tmp_root):
     gone = [i for i, n in copies.items() if not n]
     assert not [i for i in gone if domain[i] != "toxic"]
     assert len(gone) >= 0.5 * sum(d == "toxic" for d in domain.values())
+
+
+def test_rotation_cuts_large_parts_in_order(spark):
+    turns = [(t, "ann" if i % 2 else "bob", f"t{t}-{i}") for t in range(256) for i in range(4)] + [(3, "ann", "again")] * 900 + [(None, "bob", "?")]
+    df = spark.createDataFrame([(c, *t) for c in (1, None) for t in turns] + [(2, 0, "ann", "x")], "conv_id long, turn long, role string, text string")
+    got = [r for r in perspectives.rotate(df).collect() if r["speaker"] == "ann"]
+    for c in (1, None):
+        mine = sorted((r for r in got if r["conv_id"] == c and r["part"] == 0), key=lambda r: r["slice"])
+        assert [r["slice"] for r in mine] == list(range(8)) and [r["n_turns"] for r in mine] == [256] * 7 + [132]
+        assert "".join(r["text"] for r in mine) == "".join(
+            f"<|{'assistant' if role == 'ann' else 'user name=bob'}|>\n{text}\n<|end|>\n" for _, role, text in sorted(t for t in turns if t[0] is not None))
+    assert len(got) == 2 * 9 + 1
