@@ -7,7 +7,7 @@ from strata.schemas import FEEDS
 from strata.sources import store
 from strata.sources.lake import FixtureLake
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_run_daily(spark, tmp_root):

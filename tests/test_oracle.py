@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from strata.plans.catalog import oracle_statements, spark_queries
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from test_plans import FORBIDDEN
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]

@@ -11,7 +11,7 @@ from strata.operators import cdc, history
 from strata.plans.catalog import REGISTRY, _load_all, doubles
 from strata.sources.lake import FixtureLake, materialize
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"]

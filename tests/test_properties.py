@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strata.operators import cdc, gold, history, silver
 from strata.sources.lake import FixtureLake
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_gold_totals_equal_silver_totals(spark):

@@ -3,7 +3,7 @@ from strata.sources import store
 from strata.sources.lake import FixtureLake
 from strata.streaming.cdc_stream import CdcBatchWriter, read_state
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_foreach_batch_replay_is_idempotent(spark, tmp_root):
