@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import (exact_dedup, language_id, mixing, near_dedup, packing, perspectives,
-                        pseudonyms, substring_dedup, topk, warc)
+from strata.llm import (attention_quality, exact_dedup, hard_negatives, language_id, mixing, near_dedup, packing, perspectives,
+                        prefix_trie, pseudonyms, substring_dedup, topk, warc)
 from strata.llm.util import table
 
 
@@ -58,13 +58,29 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_components(table(spark, sf_dir, "documents"), words=2, threshold=0.8)
 
 
+def op11_attention_quality(spark, sf_dir):
+    return attention_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), is_anchor=F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_pii_pseudonyms, op3_exact_dedup, op4_suffix_array_dedup, op5_topk_search, op6_perspective_rotation, op7_warc,
-    op8_best_fit_packing, op9_language_id, op10_minhash_near_dedup)}
+    op8_best_fit_packing, op9_language_id, op10_minhash_near_dedup, op11_attention_quality, op12_prefix_trie, op13_hard_negatives)}
 
 ORACLES = {
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op5_topk_search": topk.ORACLE,
     "op6_perspective_rotation": perspectives.ORACLE,
     "op7_warc": warc.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }

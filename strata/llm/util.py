@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import io
 import os
 import shutil
 import tempfile
@@ -52,6 +53,18 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def dump(arrays: dict[str, np.ndarray]) -> bytes:
+    """Named arrays as one binary value."""
+    out = io.BytesIO()
+    np.savez(out, **arrays)
+    return out.getvalue()
+
+
+def load(data: bytes) -> dict[str, np.ndarray]:
+    with np.load(io.BytesIO(data)) as f:
+        return {k: f[k] for k in f.files}
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of frames nobody refers to any more
     (it acts on JVM garbage collection, which a small driver heap rarely triggers)."""
