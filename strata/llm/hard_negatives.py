@@ -92,7 +92,7 @@ def _split_points(x: np.ndarray) -> np.ndarray:
     return some[picked]
 
 
-def build(ids: np.ndarray, labels: np.ndarray, data: np.ndarray, radius: float) -> dict[str, np.ndarray]:
+def build(ids: np.ndarray, labels: np.ndarray, data: np.ndarray, radius: float, least: int = LEAF) -> dict[str, np.ndarray]:
     """The arrays of a tree: rows in leaf order, and per node its span, first child, fan, split points and ranges."""
     order = np.argsort(ids, kind="stable")
     lifted = _lift(data, radius)
@@ -102,7 +102,7 @@ def build(ids: np.ndarray, labels: np.ndarray, data: np.ndarray, radius: float)
     while todo:
         me = todo.pop()
         s, e = span[me]
-        if e - s <= LEAF or plain:
+        if e - s <= least or plain:
             continue
         rows = order[s:e]
         x = lifted[rows]
@@ -292,7 +292,7 @@ class Space:
         return _lift(self.pivots[dim], self.radius[dim])
 
 
-def index(rows: DataFrame) -> tuple[DataFrame, DataFrame, Space]:
+def index(rows: DataFrame, size: int = SHARD, block_size: int = BLOCK, leaf: int = LEAF) -> tuple[DataFrame, DataFrame, Space]:
     """Shards (dim, region, slot, tree) and anchor blocks (block, dim, payload) of prepared rows."""
     drawn = rows.select("dim", "data").orderBy(F.xxhash64("id", "data"), "id", "data").limit(PIVOTS).collect()
     pivots: dict[int, np.ndarray] = {}
@@ -305,14 +305,14 @@ def index(rows: DataFrame) -> tuple[DataFrame, DataFrame, Space]:
     for r in facts:
         radius[r["dim"]] = max(radius.get(r["dim"], 0.0), float(np.sqrt(r["norm2"])))
         pivots.setdefault(r["dim"], np.zeros((1, r["dim"])))
-    slots = {(r["dim"], r["region"]): (-(-r["n"] // SHARD) - 1) // SLOT + 1 for r in facts}
+    slots = {(r["dim"], r["region"]): (-(-r["n"] // size) - 1) // SLOT + 1 for r in facts}
 
     def shard(key, ids, labels, data):
         dim = key[0]
         d = _distances(_lift(data, radius[dim]), _lift(pivots[dim], radius[dim]))
-        return (dim, key[1], key[2] // SLOT, d.min(0).tolist(), d.max(0).tolist(), dump(build(ids, labels, data, radius[dim])))
+        return (dim, key[1], key[2] // SLOT, d.min(0).tolist(), d.max(0).tolist(), dump(build(ids, labels, data, radius[dim], leaf)))
 
-    shards = cut(_packed(_dealt(rows, SHARD), SHARD, shard, "dim int, region int, slot int, lo array<double>, hi array<double>, tree binary"),
+    shards = cut(_packed(_dealt(rows, size), size, shard, "dim int, region int, slot int, lo array<double>, hi array<double>, tree binary"),
                  "hn-shards")
     got = shards.select("dim", "region", F.posexplode(F.arrays_zip("lo", "hi")).alias("p", "x")).groupBy("dim", "region", "p").agg(
         F.min("x.lo").alias("lo"), F.max("x.hi").alias("hi")).collect()  # at most PIVOTS * PIVOTS rows a dimension
@@ -324,7 +324,7 @@ def index(rows: DataFrame) -> tuple[DataFrame, DataFrame, Space]:
         return (key[0], key[1], dump({"ids": ids, "labels": labels, "data": data}))
 
     anchors = rows.where("anchor = 1")
-    blocks = _packed(_dealt(anchors, BLOCK), BLOCK, block, "dim int, region int, queries binary")
+    blocks = _packed(_dealt(anchors, block_size), block_size, block, "dim int, region int, queries binary")
     blocks = cut(blocks.select(F.monotonically_increasing_id().alias("block"), "dim", F.col("region").alias("home"), "queries"), "hn-blocks")
     return shards, blocks, Space(pivots, radius, ranges, slots)
 
@@ -426,12 +426,12 @@ def _two_rounds(blocks: DataFrame, shards: DataFrame, space: Space, k: int, same
 
 
 def mine(vectors: DataFrame, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95, scale: float = 256.0, is_anchor=None,
-         id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+         id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", **sizes) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score for the rows where ``is_anchor`` holds (all by default)."""
     anchor = F.lit(True) if is_anchor is None else is_anchor
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
                           F.coalesce(anchor, F.lit(False)).cast("int").alias("anchor"), F.col(vector_col).alias("v"))
-    shards, blocks, space = index(cut(_usable(rows, scale), "hn-rows"))
+    shards, blocks, space = index(cut(_usable(rows, scale), "hn-rows"), **sizes)
     blocks = blocks.withColumn("windows", F.lit(None).cast("binary"))
     best = _two_rounds(blocks, shards, space, positives, True)
     lists = best.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("item", "x"))).alias("found"))

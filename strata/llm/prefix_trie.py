@@ -98,17 +98,17 @@ def rebuilt(turns: DataFrame, convs: DataFrame, modulus: int = 20, most: int = 3
 
 # --- classes and their keys ---
 
-def _segments(turns: DataFrame, lengths: DataFrame) -> DataFrame:
-    """(conv_id, seg, t, h1, h2, w): every ``SEG`` turns; the last segment has fewer, or none."""
-    turns = turns.withColumns({"seg": F.floor((F.col("pos") - 1) / SEG), "h1": F.xxhash64("pos", "id", F.lit(1)),
+def _segments(turns: DataFrame, lengths: DataFrame, size: int) -> DataFrame:
+    """(conv_id, seg, t, h1, h2, w): every ``size`` turns; the last segment has fewer, or none."""
+    turns = turns.withColumns({"seg": F.floor((F.col("pos") - 1) / size), "h1": F.xxhash64("pos", "id", F.lit(1)),
                                "h2": F.xxhash64("pos", "id", F.lit(2))})
     full = turns.groupBy("conv_id", "seg").agg(
         F.sort_array(F.collect_list(F.struct("pos", "id", "words"))).alias("t"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"),
         F.sum("words").alias("w"))
     full = full.withColumn("t", F.transform("t", lambda x: F.struct(x["id"].alias("id"), x["words"].alias("words"))))
     zero = F.lit(0).cast("long")
-    bare = lengths.where(F.col("n") % SEG == 0).select(
-        "conv_id", F.floor(F.col("n") / SEG).alias("seg"), F.array().cast("array<struct<id:string,words:int>>").alias("t"),
+    bare = lengths.where(F.col("n") % size == 0).select(
+        "conv_id", F.floor(F.col("n") / size).alias("seg"), F.array().cast("array<struct<id:string,words:int>>").alias("t"),
         zero.alias("h1"), zero.alias("h2"), zero.alias("w"))
     return full.unionByName(bare)
 
@@ -236,7 +236,7 @@ class Minima:
         return at
 
 
-def _shared(s: dict, other: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _shared(s: dict, size: int, other: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For each class of ``s`` but the first, by its neighbour before it: the turns they share and their words. With ``other`` (one class):
     for the first class of ``s``, by ``other`` before it."""
     begin = np.concatenate(([0], np.cumsum(s["size"])))
@@ -257,10 +257,10 @@ def _shared(s: dict, other: dict | None = None) -> tuple[np.ndarray, np.ndarray]
         offset = np.arange(n) - np.repeat(np.cumsum(common) - common, common)
         differ = np.flatnonzero((left[a[pair] + offset] != keys[b[pair] + offset]).any(1))
         np.minimum.at(k, pair[differ], offset[differ])
-    g = k // SEG
+    g = k // size
     words = np.concatenate(([0], np.cumsum(s["words"])))
     start = begin[who]
-    return (s["segs"][first[who] + g] * SEG + k % SEG, s["c0"][first[who] + g] + words[start + k] - words[start + g * SEG])
+    return (s["segs"][first[who] + g] * size + k % size, s["c0"][first[who] + g] + words[start + k] - words[start + g * size])
 
 
 SUMS = ["n", "x", "leaves", "conv"]
@@ -268,16 +268,16 @@ INSIDE, LEFT, RIGHT = 1, 0, 2  # a run within the shard, one that begins before
 NODE = "kind string, shard long, top long, depth long, n long, x long, leaves long, conv long, lcp long, low long, high long, c long"
 
 
-def _shard_rows(shard: int, s: dict, before: dict | None, after: dict | None) -> list[tuple]:
+def _shard_rows(shard: int, s: dict, before: dict | None, after: dict | None, size: int) -> list[tuple]:
     """NODE rows: ``node`` (a run within the shard), ``open`` (a depth whose run leaves it), ``class`` (a class, the depth it shares with
     the one before, and the node there, unless that is open), ``start`` and ``end`` (sums up to the shard's end for low < depth <= high), ``total``."""
     n = len(s["rep"])
     B, c = np.full(n + 1, -1), np.zeros(n, np.int64)
-    B[1:n], c[1:] = _shared(s)
+    B[1:n], c[1:] = _shared(s, size)
     if before is not None:
-        B[:1], c[:1] = _shared(s, before)
+        B[:1], c[:1] = _shared(s, size, before)
     if after is not None:
-        B[n:], _ = _shared(after, {"key": s["key"][len(s["key"]) - int(s["size"][-1]):], "size": s["size"][-1:]})
+        B[n:], _ = _shared(after, size, {"key": s["key"][len(s["key"]) - int(s["size"][-1]):], "size": s["size"][-1:]})
     low = Minima(B)
     smallest = Minima(s["rep"])
     leaf = B[1:] < s["L"]
@@ -363,9 +363,9 @@ def _across(found: DataFrame) -> DataFrame:
 
 # --- the trie ---
 
-def trie(turns: DataFrame, lengths: DataFrame, group: int = GROUP) -> DataFrame:
-    """The nodes of conversations given as (conv_id, pos, id, words) and (conv_id, n)."""
-    segs = cut(_segments(turns, lengths), "trie-segments")
+def trie(turns: DataFrame, lengths: DataFrame, group: int = GROUP, size: int = SEG) -> DataFrame:
+    """The nodes of conversations given as (conv_id, pos, id, words) and (conv_id, n); ``size``: turns of a segment."""
+    segs = cut(_segments(turns, lengths, size), "trie-segments")
     whole = cut(segs.groupBy("conv_id").agg(F.sum(F.size("t")).alias("L"), F.bit_xor("h1").alias("k1"), F.bit_xor("h2").alias("k2"),
                                             F.sum("w").alias("tokens")), "trie-whole")
     classes = whole.groupBy("L", "k1", "k2").agg(F.min("conv_id").alias("rep"), F.count("*").alias("n"), F.max("tokens").alias("tokens"))
@@ -381,7 +381,7 @@ def trie(turns: DataFrame, lengths: DataFrame, group: int = GROUP) -> DataFrame:
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                yield _node_batch(_shard_rows(r["shard"], load(r["data"]), *(None if r[k] is None else load(r[k]) for k in ("before", "after"))))
+                yield _node_batch(_shard_rows(r["shard"], load(r["data"]), *(None if r[k] is None else load(r[k]) for k in ("before", "after")), size))
 
     found = cut(map_arrow(shards.select("shard", "data").join(edges, "shard"), run, NODE), "trie-runs")
     across = cut(_across(found), "trie-across")
@@ -407,11 +407,11 @@ def trie(turns: DataFrame, lengths: DataFrame, group: int = GROUP) -> DataFrame:
 
     # Every depth between two of these nodes, by the segments of the first class.
     pieces = runs.where("depth > 0").withColumn("seg", F.explode(F.sequence(
-        F.floor(F.greatest("above", F.lit(0)) / SEG), F.floor((F.col("depth") - 1) / SEG))))
+        F.floor(F.greatest("above", F.lit(0)) / size), F.floor((F.col("depth") - 1) / size))))
     words = segs.select(F.col("rep").alias("top"), "seg", "c0", F.transform("t", lambda x: x["words"].cast("long")).alias("w"))
     rows = pieces.join(words, ["top", "seg"]).withColumn("d", F.explode(F.sequence(
-        F.greatest(F.col("above") + 1, F.col("seg") * SEG + 1), F.least("depth", (F.col("seg") + 1) * SEG))))
-    done = F.col("d") - F.col("seg") * SEG - 1
+        F.greatest(F.col("above") + 1, F.col("seg") * size + 1), F.least("depth", (F.col("seg") + 1) * size))))
+    done = F.col("d") - F.col("seg") * size - 1
     rows = rows.withColumn("prior", F.col("c0") + F.aggregate(F.slice("w", 1, done.cast("int")), zero, lambda a, x: a + x))
     top = runs.where("above < 0").withColumns({"d": zero, "prior": zero})
     cols = ["L", "depth", "n", "a", "leaves", "conv", "above", "p_conv", "children", "sha", "d", "prior"]
@@ -425,9 +425,9 @@ def trie(turns: DataFrame, lengths: DataFrame, group: int = GROUP) -> DataFrame:
         F.when(last & (F.col("L") == F.col("depth")), F.col("sha")).otherwise(F.lit(EMPTY)).alias("ends_sha256"))
 
 
-def prefix_nodes(conversations: DataFrame, group: int = GROUP) -> DataFrame:
+def prefix_nodes(conversations: DataFrame, group: int = GROUP, size: int = SEG) -> DataFrame:
     """conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 of the trie of the rebuilt conversations."""
-    return trie(*rebuilt(*numbered(conversations)), group=group)
+    return trie(*rebuilt(*numbered(conversations)), group=group, size=size)
 
 
 ORACLE = r"""

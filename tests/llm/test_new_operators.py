@@ -162,10 +162,9 @@ LONG = [(-7, i, "user", "a") for i in range(40)] + [(100, i, "user", "a") for i
     (_turns(3, 60, 9, ["a"]), 2, 3),
     (_turns(4, 30, 12, ["a", "b"]) + LONG, 1, 4),
     (_turns(5, 80, 5, ["a", "b", None]) + LONG, 1000, 64)])
-def test_prefix_trie_equals_brute_force(spark, monkeypatch, rows, group, seg):
-    monkeypatch.setattr(prefix_trie, "SEG", seg)
+def test_prefix_trie_equals_brute_force(spark, rows, group, seg):
     df = spark.createDataFrame([(*r, 1, 2, 3, "x", 4, 5) for r in rows], TURNS)
-    got = sorted((tuple(r[c] for c in TRIE) for r in prefix_trie.prefix_nodes(df, group).collect()), key=str)
+    got = sorted((tuple(r[c] for c in TRIE) for r in prefix_trie.prefix_nodes(df, group, seg).collect()), key=str)
     assert got == _trie_by_force(rows)
 
 
@@ -214,12 +213,11 @@ def _vectors():
 
 
 @pytest.mark.parametrize("name", ["empty", "one", "plain", "odd", "ties", "beyond 2^53"])
-def test_hard_negatives_equal_brute_force(spark, monkeypatch, name):
-    for constant, value in (("LEAF", 6), ("SHARD", 40), ("BLOCK", 9), ("SLOT", 2)):
-        monkeypatch.setattr(hard_negatives, constant, value)
+def test_hard_negatives_equal_brute_force(spark, name):
     rows = _vectors()[name]
     df = spark.createDataFrame([(*r, 1, 2, "x", 3, 4.0) for r in rows], VECTORS)
-    got = sorted(tuple(r[c] for c in MINED) for r in hard_negatives.mine(df, is_anchor=F.col("vec_id") % 5 == 0).collect())
+    mined = hard_negatives.mine(df, is_anchor=F.col("vec_id") % 5 == 0, size=20, block_size=9, leaf=4)
+    got = sorted(tuple(r[c] for c in MINED) for r in mined.collect())
     assert got == _mined_by_force(rows)
 
 
