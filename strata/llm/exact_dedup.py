@@ -78,9 +78,16 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns; of rows equal in doc_id and text one stays (of those that differ in
+    other columns, any one)."""
+    kept = exact_groups(docs).where("kept").groupBy("doc_id").agg(F.count("*").alias("c"), F.countDistinct("text_sha256").alias("d"))
+    kept = cut(kept.select(F.col("doc_id").alias("_kept_id"), (F.col("c") > F.col("d")).alias("repeated")), "kept-ids")
+    stay = lambda ids: docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+    repeated = kept.where("repeated")
+    if repeated.isEmpty():
+        return stay(kept)
+    # Repeats of one row are combined before they are shuffled.
+    return stay(kept.where("not repeated")).unionByName(stay(repeated).dropDuplicates(["doc_id", "text"]))
 
 
 ORACLE = r"""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.util import map_arrow, slices
+from strata.llm.util import map_arrow, runs, ship, slices
 
 BLOCK = 512
 DENSE, CELLS = 120, 40_000_000  # columns and cells of the dense table at most; what they are does not change results
@@ -45,16 +45,17 @@ def held_out(doc_id: str = "doc_id"):
 
 def fit(labelled: DataFrame, ref_chars: int = 24_000, docs_per_lang: int = 96, slice_chars: int = 1_500) -> dict[str, str]:
     """Reference text per language, from rows (doc_id, text, lang). What reaches the driver is
-    bounded: a hash of the row picks about 2 * docs_per_lang documents per language."""
+    bounded: a hash of id and text picks about 2 * docs_per_lang different documents per language, at most twice that in all."""
     rows = labelled.where("text is not null and lang is not null")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, 2.0 * docs_per_lang / n)])
-    draw = (F.xxhash64("doc_id", F.lit(9)) % 1_000_003 + 1_000_003) % 1_000_003
+    draw = (F.xxhash64("doc_id", "text", F.lit(9)) % 1_000_003 + 1_000_003) % 1_000_003
     picked = rows.where(draw / 1_000_003.0 < share[F.col("lang")])
     start = F.greatest(F.lit(1), F.floor((F.length("text") - slice_chars) * (draw / 1_000_003.0)).cast("int"))
-    sample = picked.select("lang", draw.alias("d"), F.substring(F.col("text"), start, F.lit(slice_chars)).alias("t")).collect()
+    sample = picked.select("lang", draw.alias("d"), F.substring(F.col("text"), start, F.lit(slice_chars)).alias("t"))
+    sample = sample.distinct().orderBy("d", "lang", "t").limit(4 * docs_per_lang * len(counts)).collect()
     out: dict[str, str] = {}
     for lang in sorted(counts):
         text, seen = [], set()
@@ -268,12 +269,16 @@ def known_language(docs: DataFrame, refs: dict[str, str], limit: float = 6.0) ->
     """The rows of ``docs``, with all their columns, whose text has a letter and reads like a learned language: beyond the
     first phrase at most ``limit`` bits per symbol (of the given languages their own takes about 2.5, a foreign one about 7),
     or more where the language itself takes more (``own_limits``)."""
-    kept = predict(docs, refs, tuple(docs.columns))
-    most = F.lit(limit)
-    for lang, x in sorted(own_limits(refs, limit).items()):
-        if x > limit:
-            most = F.when(F.col("lang_pred") == lang, F.lit(x)).otherwise(most)
-    return kept.where((F.col("lang_pred") != "und") & (F.col("excess") <= most)).select(*docs.columns)
+    most = own_limits(refs, limit)
+    ship(docs.sparkSession)
+
+    def run(texts: pa.Array) -> pa.Array:
+        parser = _parser(refs)
+        got = [g for some in runs(texts, 1 << 21) for g in parser.predict(some)]
+        return pa.array([g[0] != "und" and g[3] <= most[g[0]] for g in got], pa.bool_())
+
+    # Only the text goes to Python; the other columns stay where they are.
+    return docs.where(F.arrow_udf(run, "boolean")(F.col("text").cast("string")))
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:

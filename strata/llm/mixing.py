@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.util import cut, map_arrow, slices, text_or_empty
+from strata.llm.util import cut, map_arrow, runs, ship, slices, text_or_empty, unused
 from strata.llm.words import word_hashes
 
 BUCKETS, Z, LIMIT = 1 << 15, 4.0, 30.0
@@ -259,17 +259,17 @@ def remix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
     total = members.agg(F.sum("tokens")).first()[0] or 0
     steps = fit_rates(members, [weights[d] for d in domains], budget_share * total, max_rate, falling=fall)
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(17)), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    rows = docs.select(draw.alias("_draw"), text_or_empty().alias("_text"), *docs.columns)
+    ship(docs.sparkSession)
 
-    def run(batches):
-        for b in batches:
-            for i in range(0, b.num_rows, 512):
-                part = b.slice(i, 512)
-                _, e = model.evidence(part.column(1).to_pylist())
-                times = np.floor(_rates(model.posteriors(e), steps, max_rate, fall)[0] + part.column(0).to_numpy()).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(part.columns[2:], part.schema.names[2:]).take(pa.array(np.repeat(np.arange(len(times)), times)))
+    def run(texts: pa.Array, draws: pa.Array) -> pa.Array:
+        evidence = np.concatenate([np.zeros((0, len(domains))), *(model.evidence(some)[1] for some in runs(texts, 1 << 21))])
+        rates = _rates(model.posteriors(evidence), steps, max_rate, fall)[0]
+        return pa.array(np.floor(rates + draws.to_numpy(zero_copy_only=False)).astype(np.int32))
 
-    return map_arrow(rows, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
+    # Only the text goes to Python; the other columns stay where they are.
+    name = unused(docs, "_copies")
+    out = docs.withColumn(name, F.arrow_udf(run, "int")(text_or_empty(), draw)).where(F.col(name) > 0)
+    return out.withColumn(name, F.explode(F.array_repeat(F.lit(True), F.col(name)))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None,

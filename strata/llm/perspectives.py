@@ -9,7 +9,7 @@ code points, end exclusive, joined by ``;``), n_trained.
 Parts bound what meets in one row: part ``p`` holds the turns numbered p * TURNS_PER_PART up to the
 next multiple, so an endless conversation becomes many rows of bounded size, in order. Rows
 beyond that bound (shared or missing turn numbers) go to further slices in the order of turn, role and text:
-``slice`` is floor(rank / TURNS_PER_PART). The query's SQL knows slice 0 only. All turns are rendered. Turns of a part are put together once, before speakers multiply
+``slice`` is floor(rank / TURNS_PER_PART). All turns are rendered. Turns of a part are put together once, before speakers multiply
 the rows, and the roster of a conversation is a partial aggregate.
 
 Defined cases: null text is empty; a null role is the participant ``unknown``; rows without a
@@ -100,17 +100,17 @@ with r as (
          coalesce(cast(floor(turn / 256) as bigint), -1) as part from conversations),
 seat as (select distinct conv_id, role as speaker from r where role <> 'system'),
 p as (
-  select r.*, speaker, row_number() over (partition by r.conv_id, speaker, part order by turn nulls first, r.role, txt) as k,
+  select r.*, speaker, row_number() over (partition by r.conv_id, speaker, part order by turn nulls first, r.role, txt) - 1 as k,
          '<|' || case when r.role = 'system' then 'system' when r.role = speaker then 'assistant'
                       else 'user name=' || r.role end || '|>' || chr(10) as head,
          r.role = speaker as own
   from r join seat on r.conv_id is not distinct from seat.conv_id),
 o as (
-  select *, coalesce(sum(length(head) + length(txt) + 9) over (partition by conv_id, speaker, part order by k
+  select *, k // 256 as slice, coalesce(sum(length(head) + length(txt) + 9) over (partition by conv_id, speaker, part, k // 256 order by k
               rows between unbounded preceding and 1 preceding), 0) + length(head) as a from p)
-select conv_id, speaker, part, cast(0 as integer) as slice, cast(count(*) as integer) as n_turns,
+select conv_id, speaker, part, cast(slice as integer) as slice, cast(count(*) as integer) as n_turns,
        string_agg(head || txt || chr(10) || '<|end|>' || chr(10), '' order by k) as text,
        coalesce(string_agg(cast(a as bigint) || '-' || cast(a + length(txt) as bigint), ';' order by k) filter (where own), '') as spans,
        cast(count(*) filter (where own) as integer) as n_trained
-from o group by conv_id, speaker, part
+from o group by conv_id, speaker, part, slice
 """

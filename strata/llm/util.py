@@ -11,6 +11,7 @@ import time
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,18 +42,44 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``df.mapInArrow(fn, schema)`` whose workers can import this package wherever they run:
-    its source goes to the executors as a Python archive, once per application."""
-    sc = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package wherever they run: its source goes to the executors as a Python archive, once
+    per application."""
+    sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         base = os.path.join(tempfile.mkdtemp(prefix="strata-src-"), "strata-src")
         sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(root), os.path.basename(root)))
         _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` whose workers can import this package."""
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or longer where ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def runs(texts: pa.Array, max_bytes: int = 1 << 20):
+    """A column of texts as lists of about ``max_bytes``; a longer text is a list of its own."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t.as_py())
+        size += len(held[-1] or "")
+        if size >= max_bytes:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def dump(arrays: dict[str, np.ndarray]) -> bytes:
     """Named arrays as one binary value."""
     out = io.BytesIO()

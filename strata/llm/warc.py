@@ -12,12 +12,11 @@ request and metadata record to the response or revisit it is concurrent to, and
 response it refers to, giving one nested row per capture.
 
 Of captures with equal payloads (length and SHA-256) of at least ``REVISIT_FROM`` bytes, the one
-with the largest page_id is a response and the others revisit it; a hot payload costs a
-partial aggregate per task plus an equi-join that adaptive execution can split.
+with the largest page_id is a response and the others revisit it (rows that share that page_id are all responses, and the largest
+url of them is revisited); a hot payload costs a partial aggregate per task plus an equi-join that adaptive execution can split.
 
 Defined cases: null html is an empty payload, a null url is written as ``urn:none``. A null page_id is the
-smallest. Rows equal in page_id, url and html are one capture and give one row; rows that share
-page_id and html only are captures of their own. Line breaks in a url are percent-encoded. Payload may
+smallest. Rows equal in page_id, url and html are captures of their own, told apart by a number. Line breaks in a url are percent-encoded. Payload may
 hold anything, record separators and header look-alikes included. An empty table gives no record.
 """
 
@@ -31,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.util import map_arrow, shared_path, slices
+from strata.llm.util import cut, map_arrow, shared_path, slices
 
 REVISIT_FROM = 1000
 RECORDS_PER_FILE = 2000
+COPIES = 1000
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -46,8 +46,8 @@ def _urn(*parts) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(repr(parts).encode()).digest()[:16])}>"
 
 
-def response_id(page_id, url, sha256) -> str:
-    return _urn("response", page_id, url, sha256)
+def response_id(page_id, url, sha256, copy: int = 0) -> str:
+    return _urn("response", page_id, url, sha256, copy)
 
 
 def _record(kind: str, rid: str, fields: list[tuple[str, str]], block: str) -> str:
@@ -56,12 +56,12 @@ def _record(kind: str, rid: str, fields: list[tuple[str, str]], block: str) -> s
     return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n" + block
 
 
-def transaction(page_id, url: str, html: str, sha256: str, refers: tuple | None) -> list[str]:
-    """The three records of a capture; ``refers``: (page_id, url) of the response it revisits."""
+def transaction(page_id, url: str, html: str, sha256: str, refers: tuple | None, copy: int = 0) -> list[str]:
+    """The three records of a capture; ``refers``: (page_id, url) of the response it revisits; ``copy`` numbers equal captures."""
     uri = url.replace("\r", "%0D").replace("\n", "%0A")
     body = html.encode()
     digest = hashlib.sha1(body).hexdigest()
-    rid = response_id(page_id, url, sha256)
+    rid = response_id(page_id, url, sha256, copy)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n"
     fields = [("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"),
               ("Content-Type", "application/http; msgtype=response")]
@@ -79,33 +79,44 @@ def transaction(page_id, url: str, html: str, sha256: str, refers: tuple | None)
     return [request, main, meta]
 
 
-def _marked(pages: DataFrame) -> DataFrame:
-    """Pages with their payload's SHA-256 and, for revisits, the page they refer to."""
+def _rows(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("urn:none")).alias("url"),
                         F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("sha256", F.sha2("html", 256)).withColumn("n", F.octet_length("html"))
-    first = F.max(F.struct("page_id", "url")).alias("first")
-    shared = (rows.where(F.col("n") >= REVISIT_FROM).groupBy("sha256", "n").agg(first, F.count("*").alias("c"))
-              .where("c > 1").select("sha256", "n", "first"))
-    same = F.col("first").isNull() | (F.col("first.page_id").eqNullSafe(F.col("page_id")) & (F.col("first.url") == F.col("url")))
-    return rows.select("page_id", "url", "sha256", "n").join(shared, ["sha256", "n"]).where(~same).select(
-        F.col("page_id").alias("_id"), F.col("url").alias("_url"), F.col("sha256").alias("_sha"), "first").distinct()
+    return rows.withColumn("sha256", F.sha2("html", 256)).withColumn("n", F.octet_length("html"))
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """Of captures (page_id, url, payload) that are repeated or revisit another: how often they occur, and the capture they revisit."""
+    key = ["page_id", "url", "sha256", "n"]
+    found = rows.groupBy(*key).agg(F.count("*").alias("c"))
+    first = (found.where(F.col("n") >= REVISIT_FROM).groupBy("sha256", "n").agg(F.max(F.struct("page_id", "url")).alias("first"), F.count("*").alias("m"))
+             .where("m > 1").select("sha256", "n", "first"))
+    found = found.join(first, ["sha256", "n"], "left")
+    to = F.when(~F.col("first.page_id").eqNullSafe(F.col("page_id")), F.col("first"))
+    return found.withColumn("to", to).where("c > 1 or to is not null").select(
+        F.col("page_id").alias("_id"), F.col("url").alias("_url"), F.col("sha256").alias("_sha"), "c", "to")
 
 
 def write(pages: DataFrame, path: str) -> None:
     """Archives of ``pages`` under ``path``."""
-    marked = _marked(pages)
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("urn:none")).alias("url"),
-                        F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("sha256", F.sha2("html", 256))
+    rows = _rows(pages)
+    marked = cut(_marked(rows), "warc-marks")
     on = rows["page_id"].eqNullSafe(marked["_id"]) & (rows["url"] == marked["_url"]) & (rows["sha256"] == marked["_sha"])
     rows = rows.join(marked, on, "left").select(
-        "page_id", "url", "html", "sha256", F.col("first.page_id").alias("to_id"), F.col("first.url").alias("to_url"))
+        "page_id", "url", "html", "sha256", F.col("to.page_id").alias("to_id"), F.col("to.url").alias("to_url"), "c")
+    many = marked.where("c > 1")
+    if many.isEmpty():
+        rows = rows.drop("c").withColumn("copy", F.lit(0).cast("long"))
+    else:  # equal rows are combined on the map side, and numbered as they are dealt out again
+        some = rows.where("c > 1").dropDuplicates(["page_id", "url", "sha256"])
+        some = some.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("c") - 1) / COPIES)))).repartition("page_id", "url", "part")
+        some = some.withColumn("copy", F.explode(F.sequence(F.col("part") * COPIES, F.least("c", (F.col("part") + 1) * COPIES) - 1)))
+        rows = rows.where("c is null or c = 1").drop("c").withColumn("copy", F.lit(0).cast("long")).unionByName(some.drop("c", "part"))
 
     def run(batches):
-        for ids, urls, htmls, shas, to_ids, to_urls in slices(batches, 1 << 22, 2):
-            records = [r for p, u, h, s, ti, tu in zip(ids, urls, htmls, shas, to_ids, to_urls)
-                       for r in transaction(p, u, h, s, None if tu is None else (ti, tu))]
+        for ids, urls, htmls, shas, to_ids, to_urls, copies in slices(batches, 1 << 22, 2):
+            records = [r for p, u, h, s, ti, tu, k in zip(ids, urls, htmls, shas, to_ids, to_urls, copies)
+                       for r in transaction(p, u, h, s, None if tu is None else (ti, tu), k)]
             yield pa.RecordBatch.from_arrays([pa.array(records, pa.string())], ["value"])
 
     (map_arrow(rows, run, "value string").write.option("lineSep", END).option("compression", "gzip")
@@ -209,6 +220,6 @@ with t as (select page_id, coalesce(html, '') as h from pages),
 m as (select h, max(page_id) as top from t where strlen(h) >= 1000 group by h)
 select t.page_id, strlen(t.h) as payload_bytes, sha1(t.h) as payload_digest,
        case when top is null or top = t.page_id then 'response' else 'revisit' end as record_type,
-       case when top <> t.page_id then top end as refers_to
+       case when top is distinct from t.page_id then top end as refers_to
 from t left join m using (h)
 """

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in "documents embeddings pages conversations".split():
+    for t in "documents embeddings pages labels conversations".split():
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     cols = sorted(got.columns)
@@ -30,8 +30,9 @@ def test_warc(spark):
     rows = [(1, "http://a/x", big, 9), (2, "http://b", big, 9), (3, None, big, 9), (4, "http://a", None, 9), (5, "http://c\r\nX: y", "é", 9), (6, "http://a", "é", 9),
             (None, "http://n", big, 9), (1, "http://a/x", big, 9), (7, "http://z", "y" * 3_000_000, 9)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, type long")
-    got = {r["metadata"]["page_id"]: r for r in warc.captures(spark, pages).collect()}
-    assert set(got) == {1, 2, 3, 4, 5, 6, 7, None}  # equal rows are one capture
+    found = warc.captures(spark, pages).collect()
+    got = {r["metadata"]["page_id"]: r for r in found}
+    assert set(got) == {1, 2, 3, 4, 5, 6, 7, None} and len(found) == len(rows) == len({r["record_id"] for r in found})
     for p, _, h, _ in rows:
         r = got[p]
         b = (h or "").encode()
@@ -44,6 +45,21 @@ def test_warc(spark):
     assert warc.captures(spark, pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rows", [
+    [(1, "a", "x"), (1, "a", "x"), (2, "a", "x")],
+    [(1, "a", "y" * 1200)] * 2500 + [(2, "a", "y" * 1200), (2, "b", "y" * 1200), (2, "b", "y" * 1200), (None, "c", "y" * 1200), (3, "a", "x" * 2000)],
+    [(None, "a", "y" * 1200), (None, "b", "y" * 1200), (None, "b", "y" * 1200)]])
+def test_warc_matches_its_sql_on_repeated_rows(spark, rows, monkeypatch):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    monkeypatch.setattr(queries, "table", lambda *_: pages)
+    got = queries.op7_warc(spark, "")
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, ?, ?)", rows)
+    want = con.execute(queries.ORACLES["op7_warc"]).fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and len(want) == len(rows)
+
+
 def test_top_k(spark, monkeypatch):
     for name, size in (("SHARD", 40), ("BLOCK", 16), ("LEAF", 8)):
         monkeypatch.setattr(topk, name, size)

@@ -179,6 +179,90 @@ def test_pseudonyms(docs_of):
     assert pseudonyms.pseudonymise(docs_of([]), "key").count() == 0
 
 
+def test_pseudonyms_of_long_and_unusual_forms():
+    f = pseudonyms.Feistel(b"key")
+    for n in (1, 2, 40, 64, 300, 100_000):
+        mail = "a7Z" * n
+        mail = mail[:n]
+        new, spans = pseudonyms.mask(f, f"to {mail}@example.org.")
+        assert len(spans) == 1 and new != f"to {mail}@example.org." or n == 1
+        kinds = str.maketrans({**dict.fromkeys("0123456789", "0"), **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A"), **dict.fromkeys("bcdefghijklmnopqrstuvwxyz", "a")})
+        assert new[3:3 + n].translate(kinds) == mail.translate(kinds)
+        assert pseudonyms.mask(f, new, back=True)[0] == f"to {mail}@example.org."
+    hostile = "a." * 50_000 + " " + "x" * 100_000 + " @ " + "1" * 50_000 + " " + "1.2" * 20_000 + " a@b@c.de"
+    new, spans = pseudonyms.mask(f, hostile)
+    assert [s[2] for s in spans] == ["email"] and pseudonyms.mask(f, new, back=True)[0] == hostile
+    for text, kind in [("212 555 0123", "phone"), ("(212) 555 0123", "phone"), ("(212)555-0123", "phone"), ("212\u00a0555\u00a00123", "phone"),
+                       ("12/25/2024", "date"), ("25-12-2024", "date"), ("25/12/2024", "date"), ("4111\u00a01111\u00a01111\u00a01111", "card"),
+                       ("GB82\u00a0WEST\u00a01234\u00a05698\u00a07654\u00a032", "iban")]:
+        new, spans = pseudonyms.mask(f, f"x {text}, y")
+        assert [s[2] for s in spans] == [kind] and new != f"x {text}, y", text
+        assert re.sub("[0-9A-Z]", "0", new[2:-3]) == re.sub("[0-9A-Z]", "0", text)
+        assert pseudonyms.mask(f, new, back=True)[0] == f"x {text}, y"
+    for text in ("1700000000000", "4111111111111112", "13/13/2024", "2024-13-01", "2125550123", "999.1.1.1", "GB82 WEST 1234 5698 7654 33"):
+        assert pseudonyms.mask(f, text) == (text, [])
+
+
+def _scan(text):
+    """A naive scanner: at every place, the longest stretch that is a valid value of some kind by plain rules of its own."""
+    out, at = [], 0
+    def edge(i, chars):
+        return not 0 <= i < len(text) or text[i] not in chars
+    digits = "0123456789"
+    while at < len(text):
+        hit = None
+        for end in range(min(len(text), at + 40), at, -1):
+            t = text[at:end]
+            d = "".join(c for c in t if c in digits)
+            bare = t == d and 13 <= len(d) <= 19
+            groups = len(t) == 19 and t[4] == t[9] == t[14] and t[4] in " -" and len(d) == 16
+            if (bare or groups) and edge(at - 1, digits + "-") and edge(end, digits + "-") and len(set(d)) > 1:
+                total = sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(int(c) for c in reversed(d)))
+                if total % 10 == 0:
+                    hit = ("card", end)
+            if len(t) == 11 and t[3] == t[6] == "-" and len(d) == 9 and edge(at - 1, digits + "-") and edge(end, digits + "-"):
+                if d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000":
+                    hit = ("ssn", end)
+            p = t.split(".")
+            if len(p) == 4 and all(x and x.isdigit() and str(int(x)) == x and int(x) < 256 for x in p) and edge(at - 1, digits + "."):
+                if edge(end, digits) and not (text[end:end + 1] == "." and text[end + 1:end + 2].isdigit()):
+                    hit = ("ipv4", end)
+            if hit:
+                break
+        if hit:
+            out.append((at, hit[1], hit[0]))
+            at = hit[1]
+        else:
+            at += 1
+    return out
+
+
+def test_pseudonyms_find_what_a_naive_scanner_finds():
+    r, f = random.Random(6), pseudonyms.Feistel(b"key")
+
+    def luhn(n, good):
+        body = "".join(r.choice("0123456789") for _ in range(n - 1))
+        return body + str((pseudonyms.luhn_digit(body) + (not good)) % 10)
+
+    def piece():
+        k = r.randrange(7)
+        if k == 0:
+            return luhn(r.randint(13, 19), r.random() < 0.6)
+        if k == 1:
+            c, sep = luhn(16, r.random() < 0.7), r.choice(" -")
+            return sep.join(c[i:i + 4] for i in range(0, 16, 4))
+        if k == 2:
+            return f"{r.randint(0, 999):03}-{r.randint(0, 12):02}-{r.randint(0, 9999):04}"
+        if k == 3:
+            return ".".join(str(r.randint(0, 300)) for _ in range(4))
+        return r.choice(["word", "v1.2.3", "7", "x9", "2.5"])
+    for _ in range(300):
+        text = r.choice([", ", "; ", "a "]).join(piece() for _ in range(8))
+        new, spans = pseudonyms.mask(f, text)
+        spans = [s for s in spans if s[2] in ("card", "ssn", "ipv4")]
+        assert [(text[a:b], k) for a, b, k in _scan(text)] == [(pseudonyms.mask(f, new[a:b], back=True)[0], k) for a, b, k in spans]
+
+
 def test_packing(docs_of):
     from tokenizers import Tokenizer
     tk = Tokenizer.from_file(packing.default_path())
