@@ -5,8 +5,8 @@ text of fewer words is one shingle; a text without words is empty and linked wit
 the Jaccard similarity of their whole sets reaches the threshold.
 
 1. One pass over the whole texts gives each document its set's size, a 128-bit digest of the set, ``ROWS * BANDS`` minimum
-   hashes, one 64-bit key per band, and one byte of every hash for verification. Equal sets are one class, known by
-   its smallest doc_id, before anything is paired; copies never meet each other.
+   hashes, one 64-bit key per band, and one byte of every hash for verification. Equal sets are one class, numbered
+   before anything is paired; copies never meet each other.
 2. Band keys that several classes share are buckets. Each class is compared with the hub (smallest member) of its
    buckets, never with all members: first with its smallest hub, then, where that did not connect them, with the others.
    Members of buckets that still hold several components then meet in their families (what such buckets connect): those
@@ -25,8 +25,8 @@ Skew: classes and hubs are partial aggregates; joins that meet a large group are
 can split. Nothing is capped or sampled. Intermediate tables are written to the shared folder, so a lost executor costs the
 running stage only.
 
-Defined cases: null text is empty. Rows that share a doc_id count as one document. A row without doc_id is linked with
-nothing: component_id null, kept. Ties cannot occur: the component's smallest doc_id names and represents it.
+Defined cases: null text is empty. Rows that share a doc_id count as one document, so their classes are linked whatever their texts;
+a row without words is a component of its own. A row without doc_id is linked with nothing: component_id null, kept. Ties cannot occur: the component's smallest doc_id names and represents it.
 Other columns take no part; an empty table gives no row.
 """
 
@@ -79,17 +79,14 @@ def features(docs: DataFrame, words: int) -> DataFrame:
             n = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(n)
             sig = np.array([signature(sets[i]) for i in full], np.uint32).reshape(-1, HASHES)
-            k1, k2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-            for i in full:
-                k1[i] = np.bitwise_xor.reduce(mix(sets[i] + np.uint64(1)))
-                k2[i] = np.add.reduce(mix(sets[i] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+            k1, k2 = (np.array(k, np.int64) for k in zip(*map(_digests, sets)))
             has = n > 0
             keys = _scramble(sig).view(np.int64).ravel()
             offsets = np.concatenate(([0], np.cumsum(has) * BANDS)).astype(np.int32)
             low = (sig ^ (sig >> np.uint32(16)) ^ (sig >> np.uint32(8))).astype(np.uint8)
             it = iter(low)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
+                [pa.array(ids, pa.int64()), pa.array(n), pa.array(k1), pa.array(k2),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
                  pa.array([next(it).tobytes() if x else None for x in has], pa.binary())],
                 ["doc_id", "n", "k1", "k2", "bands", "bytes"])
@@ -186,6 +183,22 @@ def _cross_links(left: list[dict], right: list[dict], percent: int) -> list[tupl
     return out
 
 
+def _may_link(left: list[dict], right: list[dict], percent: int) -> bool:
+    """Whether sizes and signature bytes allow a link between members (component, n, bytes) of different components."""
+    need = least_matches(percent)
+    a, b = (np.frombuffer(b"".join(m["bytes"] for m in side), np.uint8).reshape(-1, HASHES) for side in (left, right))
+    n, comp = (np.array([m[c] for m in right]) for c in ("n", "component"))
+    for i, u in enumerate(left):
+        live = np.flatnonzero((comp != u["component"]) & (np.minimum(n, u["n"]) * 100 >= np.maximum(n, u["n"]) * percent))
+        hits = np.zeros(len(right), np.int32)
+        for k, m in need:
+            hits[live] += (b[live, k - BATCH:k] == a[i, k - BATCH:k]).sum(1, dtype=np.int32)
+            live = live[hits[live] >= m]
+        if len(live):
+            return True
+    return False
+
+
 def _family_links(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components that still meet in a bucket. A family is what such buckets connect; its members
     outside its largest component meet all of its members, in blocks of about ``BLOCK`` shingles."""
@@ -202,10 +215,23 @@ def _family_links(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, se
     members = members.join(facts, "family").select(
         "family", "component", "rep", "n", "bytes", (F.col("component") == F.col("main")).alias("in_main"),
         F.pmod(F.xxhash64("rep"), F.ceil(F.col("w") / BLOCK)).alias("block"))
-    members = cut(members.join(sets, "rep"), "family-members")
+    members = cut(members, "family-members")
+    sketch = F.collect_list(F.struct("component", "n", "bytes"))
+    left = members.where("not in_main").groupBy("family", F.col("block").alias("lb")).agg(sketch.alias("l"))
+    right = members.groupBy("family", F.col("block").alias("rb")).agg(sketch.alias("r"))
+
+    def may_link(batches):
+        for batch in batches:
+            keep = [_may_link(batch.column(3)[i].as_py(), batch.column(4)[i].as_py(), percent) for i in range(batch.num_rows)]
+            yield batch.select(["family", "lb", "rb"]).filter(pa.array(keep, pa.bool_()))
+
+    # Which blocks meet is settled on sketches alone; sets move for those that may hold a link.
+    meet = cut(map_arrow(left.join(right, "family").select("family", "lb", "rb", "l", "r"), may_link, "family long, lb long, rb long"), "family-blocks")
+    full = members.join(sets, "rep")
     item = F.collect_list(F.struct("rep", "component", "n", "bytes", "shingles"))
-    left = members.where("not in_main").groupBy("family", F.col("block").alias("lb")).agg(item.alias("l"))
-    right = members.groupBy("family", F.col("block").alias("rb")).agg(item.alias("r"))
+    ends = lambda c: meet.select("family", F.col(c).alias("block")).distinct()
+    left = full.where("not in_main").join(ends("lb"), ["family", "block"], "left_semi").groupBy("family", F.col("block").alias("lb")).agg(item.alias("l"))
+    right = full.join(ends("rb"), ["family", "block"], "left_semi").groupBy("family", F.col("block").alias("rb")).agg(item.alias("r"))
 
     def run(batches):
         for batch in batches:
@@ -215,19 +241,28 @@ def _family_links(buckets: DataFrame, labels: DataFrame, sketches: DataFrame, se
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
                                                       pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    return map_arrow(left.join(right, "family").select("l", "r"), run, "a long, b long")
+    return map_arrow(meet.join(left, ["family", "lb"]).join(right, ["family", "rb"]).select("l", "r"), run, "a long, b long")
 
 
-def _sets(docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
-    """(rep, shingles) of the documents whose id is in ``reps`` (one text per id)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_or_empty().alias("text"))
-    texts = texts.join(reps, "rep", "left_semi")
+def _digests(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit digests of a set of hashes, as signed numbers."""
+    if not len(s):
+        return 0, 0
+    k = np.array([np.bitwise_xor.reduce(mix(s + np.uint64(1))), np.add.reduce(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)))], np.uint64)
+    return tuple(k.view(np.int64).tolist())
+
+
+def _sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(rep, shingles) of ``classes`` (rep, doc_id, k1, k2): the set of the text of that document that has these digests."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    texts = texts.join(classes, "doc_id").select("rep", "text", "k1", "k2")
 
     def run(batches):
-        for ids, rows in slices(batches, 1 << 20):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([shingles(h, words).tobytes() for h in word_hashes(rows)], pa.binary())],
-                ["rep", "shingles"])
+        for reps, rows, k1, k2 in slices(batches, 1 << 20):
+            sets = [shingles(h, words) for h in word_hashes(rows)]
+            keep = [i for i, s in enumerate(sets) if _digests(s) == (k1[i], k2[i])]
+            yield pa.RecordBatch.from_arrays([pa.array([reps[i] for i in keep], pa.int64()), pa.array([sets[i].tobytes() for i in keep], pa.binary())],
+                                             ["rep", "shingles"])
 
     return map_arrow(texts, run, "rep long, shingles binary")
 
@@ -237,8 +272,10 @@ def near_components(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     spark, percent = docs.sparkSession, math.ceil(threshold * 100 - 1e-9)
     rows = cut(features(docs, words), "signatures")
     named = rows.where("n > 0 and doc_id is not null")
-    classes = cut(named.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = named.join(classes, ["k1", "k2", "n"]).where("doc_id = rep").select("rep", "n", "bands", "bytes").dropDuplicates(["rep"])
+    key = ["k1", "k2", "n"]
+    classes = named.groupBy(*key).agg(F.min("doc_id").alias("first"))
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")  # numbered once, as it is written
+    reps = named.join(classes, key).where("doc_id = first").select("rep", "doc_id", "k1", "k2", "n", "bands", "bytes").dropDuplicates(["rep"])
     reps = cut(reps, "representatives")
 
     members = reps.select("rep", F.explode("bands").alias("bucket"))
@@ -246,17 +283,23 @@ def near_components(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     buckets = cut(members.join(hubs, "bucket"), "buckets")
     release(spark)
     candidates = buckets.select("rep").distinct()
-    sketches = cut(reps.join(candidates, "rep", "left_semi").select("rep", "n", "bytes"), "sketches")
-    sets = cut(_sets(docs, candidates, words).dropDuplicates(["rep"]), "sets")
+    chosen = reps.join(candidates, "rep", "left_semi")
+    sketches = cut(chosen.select("rep", "n", "bytes"), "sketches")
+    sets = cut(_sets(docs, chosen.select("rep", "doc_id", "k1", "k2"), words).dropDuplicates(["rep"]), "sets")
     release(spark)
 
     def verified(pairs, name):
         survivors = cut(_pruned(pairs, sketches, percent), f"survivors-{name}")
         return cut(_verified(survivors, sets, percent), f"links-{name}")
 
+    # Classes that share a document are one: rows of one doc_id may hold different texts.
+    owners = named.select("doc_id", *key).join(classes, key).groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
+    owners = cut(owners.select("doc_id", "a"), "shared-ids")
+    shared = named.select("doc_id", *key).join(owners, "doc_id").join(classes, key).where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
     stars = buckets.where("rep <> hub")
     first = verified(stars.groupBy(F.col("rep").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"), "first")
-    labels = components(first)
+    labels = components(first.unionByName(shared))
     own = buckets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = own.join(labels.select(F.col("id").alias("hub"), F.col("component").alias("hub_component")), "hub", "left")
     mixed = mixed.where(F.col("component") != F.coalesce("hub_component", "hub"))
@@ -264,14 +307,25 @@ def near_components(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     labels = components(more, labels)
     more = cut(_family_links(buckets, labels, sketches, sets, percent), "links-families")
     labels = components(more, labels)
-    out = rows.join(classes, ["k1", "k2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), "rep")
-    out = out.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+    of = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    of = cut(of, "class-components")
+    smallest = of.groupBy("component").agg(F.min("first").alias("least"))
+    of = of.join(smallest, "component").select(*key, "least")
+    out = rows.join(of, key, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that represent their component, with all their columns."""
-    kept = near_components(docs, words, threshold).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """Of each component one row of ``docs``, with all its columns: of the document that represents it, the row with the longest text
+    (of equal ones any). Rows without words stay, one of each doc_id; rows without a doc_id all stay."""
+    kept = near_components(docs, words, threshold).where("kept").groupBy("doc_id").agg(F.count("*").alias("c"))
+    kept = cut(kept.select(F.col("doc_id").alias("_kept_id"), (F.col("c") > 1).alias("repeated")), "kept-ids")
+    once = kept.where("not repeated or _kept_id is null")
+    stay = lambda ids: docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+    repeated = kept.where("repeated and _kept_id is not null")
+    if repeated.isEmpty():
+        return stay(once)
+    best = stay(repeated).groupBy("doc_id").agg(F.max_by(F.struct(*docs.columns), F.struct(F.length(text_or_empty()), "text")).alias("row"))
+    return stay(once).unionByName(best.select("row.*").select(*docs.columns))

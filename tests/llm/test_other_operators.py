@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import perspectives, queries, topk, warc
 
@@ -143,3 +144,29 @@ def test_rotation_cuts_large_parts_in_order(spark):
         assert "".join(r["text"] for r in mine) == "".join(
             f"<|{'assistant' if role == 'ann' else 'user name=bob'}|>\n{text}\n<|end|>\n" for _, role, text in sorted(t for t in turns if t[0] is not None))
     assert len(got) == 2 * 9 + 1
+
+
+def test_pipeline_on_odd_rows_and_clashing_columns(spark, tmp_root):
+    import corpus_pipeline as P
+    from strata.llm.util import table
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    odd = spark.createDataFrame([(None, None, None, None, None), (100_001, None, "en", "s", 0), (100_002, "", "en", None, 0), (100_003, " \n", None, "s", 2),
+                                 (None, "the of and to in " * 30, "en", "s", 10), (None, "the of and to in " * 30, "en", "s", 10)], docs.schema)
+    extra = {c: F.lit(1) for c in ("lang_pred", "score", "entropy", "excess", "_copies", "_draw", "_text", "rep", "kept", "n", "_kept_id", "tokens", "p")}
+    rows = docs.unionByName(odd).unionByName(docs.limit(20)).withColumns(extra)
+    rows.write.parquet(f"{tmp_root}/documents.parquet")
+    labels.write.parquet(f"{tmp_root}/labels.parquet")
+    docs = table(spark, tmp_root, "documents")
+    for name, stage in P.STAGES[:-1]:
+        docs = P.cut(stage(spark, docs, tmp_root), f"odd-{name}")
+        assert docs.columns == rows.columns
+        if name == "exact_dedup":  # equal rows are copies
+            assert docs.groupBy("doc_id", "text").count().where("count > 1").isEmpty()
+        if name == "near_dedup":
+            assert docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+    packed = P.STAGES[-1][1](spark, docs, tmp_root)
+    assert packed.where("piece = 0").count() == docs.count() and "ids" in packed.columns
+    empty = f"{tmp_root}/empty"
+    rows.limit(0).write.parquet(f"{empty}/documents.parquet")
+    labels.limit(0).write.parquet(f"{empty}/labels.parquet")
+    assert P.run(spark, empty).count() == 0

@@ -404,3 +404,25 @@ def test_registered_mixing_meets_its_targets(spark, docs_of, tmp_root, monkeypat
     monkeypatch.setattr(mixing, "RENEW", 5)  # stored rates change nothing
     again = mixing.fit_rates(members, [0.75, 0.25], iterations=12)
     assert len(once) == len(again) > 5 and np.allclose(once, again)
+
+
+def test_near_components_link_all_texts_of_an_id(docs_of):
+    r = random.Random(12)
+    vocab = _vocabulary(r)
+    a, b, c = (" ".join(r.choice(vocab) for _ in range(200)) for _ in range(3))
+    rows = [(5, a), (5, b), (7, a + " more"), (8, b + " more"), (9, c), (9, c), (4, c + " more"), (10, None), (10, ""), (11, a), (11, None)]
+    got = near_dedup.near_components(docs_of(rows), 2).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for x in got:
+        by.setdefault((x["doc_id"], x["n_shingles"] > 0), set()).add((x["component_id"], x["kept"]))
+    assert by == {(5, True): {(5, True)}, (7, True): {(5, False)}, (8, True): {(5, False)}, (9, True): {(4, False)}, (4, True): {(4, True)},
+                  (10, False): {(10, True)}, (11, True): {(5, False)}, (11, False): {(11, True)}}
+    kept = [(x["doc_id"], x["text"]) for x in near_dedup.drop_near_copies(docs_of(rows), 2).collect()]
+    assert len(kept) == len(set(kept)) and {d for d, _ in kept} == {5, 4, 10, 11} and sum(d == 5 for d, _ in kept) == 1
+
+
+def test_exact_copies_of_a_row_go(docs_of):
+    rows = [(5, "a b"), (5, "ab"), (5, "a b"), (6, "ab"), (7, "c"), (7, "d"), (None, "e"), (None, "e"), (8, None), (9, "")]
+    got = sorted(((x["doc_id"], x["text"]) for x in exact_dedup.drop_copies(docs_of(rows)).collect()), key=str)
+    assert got in [sorted(x, key=str) for x in ([(5, "a b"), (7, "c"), (7, "d"), (None, "e"), (8, None)], [(5, "a b"), (5, "ab"), (7, "c"), (7, "d"), (None, "e"), (8, None)])]
