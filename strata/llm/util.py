@@ -40,11 +40,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = 16 << 20  # of an Arrow batch: the JVM and each Python worker hold a few at a time
 
 
 def ship(spark: SparkSession) -> None:
     """Lets Python workers import this package wherever they run: its source goes to the executors as a Python archive, once
-    per application."""
+    per application. Arrow batches of the session are bounded by ``BATCH_BYTES`` from then on."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
