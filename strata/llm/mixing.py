@@ -268,8 +268,9 @@ def remix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
 
     # Only the text goes to Python; the other columns stay where they are.
     name = unused(docs, "_copies")
-    out = docs.withColumn(name, F.arrow_udf(run, "int")(text_or_empty(), draw)).where(F.col(name) > 0)
-    return out.withColumn(name, F.explode(F.array_repeat(F.lit(True), F.col(name)))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # No filter on the result: pushed below this projection it would run the function a second time, in further workers.
+    copies = F.arrow_udf(run, "int")(text_or_empty(), draw)
+    return docs.withColumn(name, F.explode(F.array_repeat(F.lit(True), copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float | None = None,
