@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.util import map_arrow, runs, ship, slices
+from strata.llm.util import map_arrow, runs, ship, slices, trim
 
 BLOCK = 512
 DENSE, CELLS = 120, 40_000_000  # columns and cells of the dense table at most; what they are does not change results
@@ -274,7 +274,8 @@ def known_language(docs: DataFrame, refs: dict[str, str], limit: float = 6.0) ->
 
     def run(texts: pa.Array) -> pa.Array:
         parser = _parser(refs)
-        got = [g for some in runs(texts, 1 << 21) for g in parser.predict(some)]
+        got = [g for some in runs(texts) for g in parser.predict(some)]
+        trim()
         return pa.array([g[0] != "und" and g[3] <= most[g[0]] for g in got], pa.bool_())
 
     # Only the text goes to Python; the other columns stay where they are.

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.util import cut, map_arrow, runs, ship, slices, text_or_empty, unused
+from strata.llm.util import cut, map_arrow, runs, ship, slices, text_or_empty, trim, unused
 from strata.llm.words import word_hashes
 
 BUCKETS, Z, LIMIT = 1 << 15, 4.0, 30.0
@@ -262,7 +262,8 @@ def remix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budge
     ship(docs.sparkSession)
 
     def run(texts: pa.Array, draws: pa.Array) -> pa.Array:
-        evidence = np.concatenate([np.zeros((0, len(domains))), *(model.evidence(some)[1] for some in runs(texts, 1 << 21))])
+        evidence = np.concatenate([np.zeros((0, len(domains))), *(model.evidence(some)[1] for some in runs(texts))])
+        trim()
         rates = _rates(model.posteriors(evidence), steps, max_rate, fall)[0]
         return pa.array(np.floor(rates + draws.to_numpy(zero_copy_only=False)).astype(np.int32))
 

@@ -45,7 +45,7 @@ from strata.llm.util import cut, map_arrow, slices, text_or_empty
 CAPACITY, END_ID = 4096, 1
 SCHEMES = ((4, 16), (3, 16), (2, 16), (8, 16), (4, 64))  # (large: over capacity / this, groups); the best plan counts
 SHARDS = 64
-CACHE = 600_000
+CACHE = 250_000  # words; half as many word pieces
 
 
 class Tokens:
@@ -76,7 +76,7 @@ class Tokens:
             for p in self.find(word.lower()):
                 got = self.pieces.get(p)
                 if got is None:
-                    if len(self.pieces) > CACHE:
+                    if len(self.pieces) > CACHE // 2:
                         self.pieces.clear()
                     spelled = "".join(map(self.bytes.__getitem__, p.encode()))
                     got = self.pieces[p] = [t.id for t in self.tokenizer.model.tokenize(spelled)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import io
 import os
@@ -55,10 +56,27 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(sc.applicationId)
 
 
+def trim() -> None:
+    """Gives memory that a Python worker no longer uses back to the system; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it keeps
+        pass
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``df.mapInArrow(fn, schema)`` whose workers can import this package."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            trim()
+
+    return df.mapInArrow(run, schema)
 
 
 def unused(df: DataFrame, name: str) -> str:
