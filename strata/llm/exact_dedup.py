@@ -82,7 +82,8 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     other columns, any one)."""
     kept = exact_groups(docs).where("kept").groupBy("doc_id").agg(F.count("*").alias("c"), F.countDistinct("text_sha256").alias("d"))
     kept = cut(kept.select(F.col("doc_id").alias("_kept_id"), (F.col("c") > F.col("d")).alias("repeated")), "kept-ids")
-    stay = lambda ids: docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+    # The ids grow with the input: never broadcast, whatever the size.
+    stay = lambda ids: docs.join(ids.hint("merge"), docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
     repeated = kept.where("repeated")
     if repeated.isEmpty():
         return stay(kept)

@@ -323,7 +323,8 @@ def drop_near_copies(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     kept = near_components(docs, words, threshold).where("kept").groupBy("doc_id").agg(F.count("*").alias("c"))
     kept = cut(kept.select(F.col("doc_id").alias("_kept_id"), (F.col("c") > 1).alias("repeated")), "kept-ids")
     once = kept.where("not repeated or _kept_id is null")
-    stay = lambda ids: docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
+    # The ids grow with the input: never broadcast, whatever the size.
+    stay = lambda ids: docs.join(ids.hint("merge"), docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi")
     repeated = kept.where("repeated and _kept_id is not null")
     if repeated.isEmpty():
         return stay(once)
