@@ -37,24 +37,28 @@ def _json_text(c: Column) -> Column:
     return F.when(c.isNull() | (F.trim(c) == "null"), F.lit(None)).otherwise(c)
 
 
-def parse_envelope(messages: DataFrame, consumed_at: str | None = None) -> DataFrame:
+def parse_envelope(messages: DataFrame, consumed_at: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Kafka-shaped rows -> candidate event-log rows plus a ``reject_reason``.
 
     Input columns: ``topic, partition, offset, value`` (+ optional ``timestamp``).
     Accepts the full Debezium envelope (op/before/after/ts_ms) and the
     flattened record (row columns + ``__op``/``__ts_ms``): a row is flattened
-    when it has ``__op`` and no ``op``. Tombstones (NULL value) are dropped.
+    when it has ``__op`` and no ``op``; its image is the record without the
+    fields that begin with ``__``. Tombstones (NULL value) are dropped.
+    ``keep`` names further input columns to carry.
     """
+    from strata.operators.images import strip_metadata
+    keep = keep or []
     v = F.col("value").cast("string")
     m = messages.filter(F.col("value").isNotNull())
     env = F.from_json(v, _ENVELOPE, _ENVELOPE_OPTIONS)  # one parse; bad documents land in _corrupt
-    m = m.select("topic", "partition", "offset", v.alias("value"), env.alias("e"),
+    m = m.select("topic", "partition", "offset", *keep, v.alias("value"), env.alias("e"),
                  topic_parts("topic").alias("t"))
     flat = F.col("e.op").isNull() & F.col("e.__op").isNotNull()
     op = F.when(flat, F.col("e.__op")).otherwise(F.col("e.op"))
     is_del = op == "d"
-    after = F.when(flat, F.when(~is_del, v)).otherwise(_json_text(F.col("e.after")))
-    before = F.when(flat, F.when(is_del, v)).otherwise(_json_text(F.col("e.before")))
+    after = F.when(flat, F.when(~is_del, strip_metadata(F.col("value")))).otherwise(_json_text(F.col("e.after")))
+    before = F.when(flat, F.when(is_del, strip_metadata(F.col("value")))).otherwise(_json_text(F.col("e.before")))
     ts_ms = F.when(flat, F.col("e.__ts_ms")).otherwise(F.col("e.ts_ms"))
     valid_json = F.col("e._corrupt").isNull()
     known = F.concat_ws(".", F.col("t.source_dept"), F.col("t.source_table")).isin(
@@ -74,7 +78,7 @@ def parse_envelope(messages: DataFrame, consumed_at: str | None = None) -> DataF
         before.alias("before_state"), after.alias("after_state"),
         epoch_ms_to_ts(ts_ms).alias("event_ts"),
         consumed.alias("consumed_at"), F.lit(False).alias("is_processed"),
-        reason.alias("reject_reason"), F.col("value").alias("raw_value"))
+        reason.alias("reject_reason"), F.col("value").alias("raw_value"), *keep)
 
 
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,6 +89,14 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
+def position() -> Column:
+    """Where a log row stands among all changes of its record: (commit time, topic, partition, offset). Within a topic-partition the
+    commit time follows the offset; a record captured on several topics has offsets that say nothing about each other,
+    and there the commit time decides."""
+    return F.struct(F.coalesce(F.col("event_ts"), F.lit("1970-01-01").cast("timestamp_ntz")).alias("t"), F.col("kafka_topic").alias("p"),
+                    F.col("kafka_partition").alias("q"), F.col("kafka_offset").alias("o"))
+
+
 def append_cdc_log(log: DataFrame | None, batch: DataFrame) -> DataFrame:
     """M1: the rows of ``batch`` to append — new (topic, partition, offset) only.
 
@@ -109,7 +121,7 @@ def append_cdc_log(log: DataFrame | None, batch: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 _PROTECTED = {"id", "subsidiary_id", "ingested_at"}
 STATE_EXTRA = [("cdc_operation", T.StringType()), ("cdc_event_ts", T.TimestampNTZType()),
-               ("cdc_offset", T.LongType())]
+               ("cdc_topic", T.StringType()), ("cdc_partition", T.IntegerType()), ("cdc_offset", T.LongType())]
 
 
 def _typed(text: Column, dtype: T.DataType, epoch: bool = True) -> Column:
@@ -154,12 +166,12 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
       the content; a delete of an unknown key is a no-op.
     * An upsert after a delete clears the flag unless its image says
       ``is_deleted: true`` (decision M4).
-    * Order within a key is the Kafka offset (a key stays in one partition),
-      ties broken by event time; the state row ranks before every change it
-      has not yet seen, and replayed old changes lose against it.
+    * Order within a key is ``position``: commit time, topic, partition,
+      offset. The state row stands where its last change stood, so replayed
+      old changes lose against it.
 
-    ``state`` has the bronze columns plus ``cdc_operation, cdc_event_ts,
-    cdc_offset``; the result has the same shape.
+    ``state`` has the bronze columns plus ``STATE_EXTRA``; the result has the
+    same shape.
     """
     fields = data_columns(table)
     names = [f.name for f in fields]
@@ -170,7 +182,7 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
                                                                                     "deleted_at"]])
     parsed = F.from_json(F.col("after_state"), text_schema)
     keys = F.coalesce(F.json_object_keys(F.col("after_state")), F.array().cast("array<string>"))
-    ordv = F.struct(F.col("kafka_offset").alias("o"), F.col("event_ts").alias("t"))
+    ordv = position()
     up = ~is_del & F.col("after_state").isNotNull()
     cols = [F.col("subsidiary_id"),
             F.get_json_object(img, "$.id").try_cast("bigint").alias("id"),
@@ -201,8 +213,8 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
         touched = events.select("subsidiary_id", "id").distinct()
         untouched = state.join(touched, ["subsidiary_id", "id"], "left_anti")
         state = state.join(touched, ["subsidiary_id", "id"], "left_semi")
-        s_ord = F.struct(F.coalesce(F.col("cdc_offset"), F.lit(-1).cast("long")).alias("o"),
-                         F.col("cdc_event_ts").alias("t"))
+        s_ord = F.struct(F.coalesce(F.col("cdc_event_ts"), F.lit("1970-01-01").cast("timestamp_ntz")).alias("t"), F.col("cdc_topic").alias("p"),
+                         F.col("cdc_partition").alias("q"), F.coalesce(F.col("cdc_offset"), F.lit(-1).cast("long")).alias("o"))
         scols = [F.col("subsidiary_id"), F.col("id").cast("bigint").alias("id"),
                  s_ord.alias("_ord"), s_ord.alias("_content_ord"),
                  F.col("cdc_operation").alias("_op")]
@@ -232,8 +244,8 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
         else:
             e = F.col(c.name)
         final.append(e.cast(c.dtype).alias(c.name))
-    out = merged.select(*final, "cdc_operation", F.col("_last.t").alias("cdc_event_ts"),
-                        F.col("_last.o").alias("cdc_offset"))
+    out = merged.select(*final, "cdc_operation", F.col("_last.t").alias("cdc_event_ts"), F.col("_last.p").alias("cdc_topic"),
+                        F.col("_last.q").alias("cdc_partition"), F.col("_last.o").alias("cdc_offset"))
     if untouched is not None:
         out = out.unionByName(untouched.select(*out.columns))
     return out
@@ -268,7 +280,7 @@ def record_state(log: DataFrame) -> DataFrame:
     """
     is_del = F.col("operation") == "DELETE"
     up = ~is_del & F.col("after_state").isNotNull()
-    ordv = F.struct("kafka_offset", "event_ts")
+    ordv = position()
     g = (log.groupBy("source_table", "subsidiary_id", "record_id")
             .agg(F.max_by(F.when(up, F.col("after_state")), F.when(up, ordv)).alias("after_state"),
                  F.max_by(F.when(up, F.col("operation")), F.when(up, ordv)).alias("cdc_operation"),

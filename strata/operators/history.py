@@ -141,6 +141,27 @@ def scd2(log: DataFrame, keys: list[str] | None = None, table: str | None = None
         F.col("kafka_offset").alias("version_offset"))
 
 
+def scd2_merge(stored: DataFrame | None, changes: DataFrame) -> DataFrame:
+    """The history after ``changes``, the log rows that came since ``stored`` (an earlier result of ``scd2`` or of this
+    function, over a log that ends before them).
+
+    The open version of a key that changes is carried into the scan as its first event, so it ends, goes on or stays as it would in one scan of the whole
+    log; closed versions and keys without changes pass through. Only the changes and the open versions of their keys are sorted.
+    """
+    if stored is None:
+        return scd2(changes)
+    keys = ["source_table", "subsidiary_id", "record_id"]
+    touched = changes.select(*keys).distinct()
+    carried = stored.filter("is_current").join(touched, keys, "left_semi")
+    none = F.lit(None)
+    first = carried.select(
+        *keys, none.cast("string").alias("kafka_topic"), none.cast("int").alias("kafka_partition"), F.col("version_offset").alias("kafka_offset"),
+        F.col("valid_from").alias("event_ts"), F.lit("SNAPSHOT").alias("operation"), "after_state")
+    new = scd2(first.unionByName(changes.select(*first.columns)))
+    rest = stored.filter("not is_current").unionByName(stored.filter("is_current").join(touched, keys, "left_anti"))
+    return rest.unionByName(new.select(*rest.columns))
+
+
 def close_to_100(df: DataFrame, group: str = "subsidiary_id", holder: str = "stockholder_id",
                  shares: str = "ownership_pct", out: str = "ownership_pct") -> DataFrame:
     """Ownership percentages that sum to exactly 100 per group.

@@ -43,6 +43,44 @@ def row_diff(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return a.unionByName(b)
 
 
+def row_diff_values(left: DataFrame, right: DataFrame, keys: list[str], buckets: int = 4096) -> DataFrame:
+    """Rows that differ, by content: keys, ``side`` ('missing_in_right', 'missing_in_left', 'changed') and ``columns``, the
+    comma-joined names of the columns that differ in a changed row.
+
+    Each side is first reduced to one digest per bucket of keys (an exclusive or of row hashes and the count, both map-side combined), so equal
+    buckets cost a few bytes; only rows of unequal buckets are compared. Rows that repeat a key are compared as the set of their
+    contents: a key is equal when its rows hash to the same sum on both sides.
+    """
+    values = [c for c in left.columns if c not in keys]
+    # xxhash64 passes over nulls, so which values are null is hashed too.
+    row = F.xxhash64(*keys, *values, *[F.col(c).isNull() for c in keys + values])
+
+    def hashed(df):
+        return df.select(*keys, *values).withColumns({"_h": row, "_b": F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))})
+
+    def digests(df):
+        return df.groupBy("_b").agg(F.bit_xor("_h").alias("x"), F.count(F.lit(1)).alias("n"))
+
+    a, b = hashed(left), hashed(right)
+    da, db = digests(a), digests(b).withColumnsRenamed({"x": "y", "n": "m"})
+    unequal = da.join(db, "_b", "full").filter(~(F.col("x").eqNullSafe(F.col("y")) & F.col("n").eqNullSafe(F.col("m")))).select("_b")
+
+    def opened(df, side):
+        some = df.join(unequal, "_b", "left_semi").groupBy(*keys)
+        per = {c: F.max(F.struct("_h", c))[c].alias(c) for c in values}  # of repeated keys the columns of one row stand for all
+        return some.agg(F.bit_xor("_h").alias("_x"), F.count(F.lit(1)).alias("_n"), *per.values()).select(
+            *[F.col(k).alias(f"{side}_{k}") for k in keys], F.struct("_x", "_n", *values).alias(side))
+
+    l, r = opened(a, "l"), opened(b, "r")
+    on = reduce(lambda p, q: p & q, [F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}")) for k in keys])
+    j = l.join(r, on, "full")
+    differ = F.concat_ws(",", *[F.when(~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")), F.lit(c)) for c in values])
+    same = (F.col("l._x") == F.col("r._x")) & (F.col("l._n") == F.col("r._n"))
+    side = F.when(F.col("r").isNull(), "missing_in_right").when(F.col("l").isNull(), "missing_in_left").otherwise("changed")
+    return j.filter(F.col("l").isNull() | F.col("r").isNull() | ~same).select(
+        *[F.coalesce(f"l_{k}", f"r_{k}").alias(k) for k in keys], side.alias("side"), F.when(side == "changed", differ).alias("columns"))
+
+
 def gold_quality(marts: dict[str, DataFrame], year: int) -> DataFrame:
     """Rows per mart in ``year``; FAILED when a mart has none."""
     rows = [m.filter(F.col("fiscal_year") == year).agg(F.count(F.lit(1)).alias("row_count"))
@@ -59,6 +97,11 @@ def table_metrics(df: DataFrame, date_col: str | None, name: str) -> DataFrame:
               .select(F.lit(name).alias("table_name"), "subsidiary_id", "row_count", "last_date"))
 
 
+def all_row_counts(frames: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """U3 for every department: ``frames`` maps a department to its tables."""
+    return reduce(DataFrame.unionByName, [dept_row_counts(tables, dept) for dept, tables in frames.items()])
+
+
 def dept_row_counts(frames: dict[str, DataFrame], dept: str) -> DataFrame:
     """Rows per captured table of a department, plus the department total."""
     rows = [df.agg(F.count(F.lit(1)).alias("row_count")).select(

@@ -53,7 +53,7 @@ def doubles(df: DataFrame) -> DataFrame:
 
 def _load_all():
     # Importing the query modules fills REGISTRY.
-    from strata.plans import (queries_cdc, queries_models, queries_quality, queries_reports,  # noqa: F401
+    from strata.plans import (queries_cdc, queries_feeds, queries_models, queries_quality, queries_reports,  # noqa: F401
                               queries_stream)
 
 

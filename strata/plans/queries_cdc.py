@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from strata.operators import cdc, history, monitor
@@ -52,16 +54,6 @@ def cdc_parse(lake):
     return parse_messages(lake)
 
 
-@query("cdc_quarantine", """
-select kafka_topic, kafka_partition, kafka_offset, value as raw_value, 'x' as reject_reason
-from (select topic as kafka_topic, "partition" as kafka_partition, "offset" as kafka_offset, value
-      from fx_cdc_raw) where false""")
-def cdc_quarantine(lake):
-    """T5: rejected messages with their reason (none in a clean feed)."""
-    _ok, bad = cdc.split_valid(cdc.parse_envelope(lake.cdc_messages(), consumed_at=CONSUMED_AT))
-    return bad
-
-
 @query("cdc_log_dedup", "select * from ox_cdc_log")
 def cdc_log_dedup(lake):
     """M1: re-delivered and doubled messages append once.
@@ -97,7 +89,11 @@ def _typed_sql(col: str, kind_sql: str) -> str:
     return f"cast(json_extract_string(after_state, '$.{col}') as {t})"
 
 
-def _typed_state_sql(table: str) -> str:
+# A change's place among all changes of its record.
+POS = "(event_ts, kafka_topic, kafka_partition, kafka_offset)"
+
+
+def _typed_state_sql(table: str, log: str = "ox_cdc_log") -> str:
     from strata.schemas import SQL_TYPES
     t = TABLES[table]
     fields = [c for c in t.columns if c.name not in ("id", "subsidiary_id", "ingested_at",
@@ -111,12 +107,12 @@ def _typed_state_sql(table: str) -> str:
         elif c.name == "ingested_at":
             cols.append("min(event_ts) as ingested_at")
         elif c.name == "is_deleted":
-            cols.append("arg_max(is_del, kafka_offset) as is_deleted")
+            cols.append(f"arg_max(is_del, {POS}) as is_deleted")
         elif c.name == "deleted_at":
-            cols.append("case when arg_max(is_del, kafka_offset) then max(event_ts) filter (where is_del) "
+            cols.append(f"case when arg_max(is_del, {POS}) then max(event_ts) filter (where is_del) "
                         "end as deleted_at")
         else:
-            val = (f"arg_max({_typed_sql(c.name, SQL_TYPES[c.kind])}, kafka_offset) filter "
+            val = (f"arg_max({_typed_sql(c.name, SQL_TYPES[c.kind])}, {POS}) filter "
                    f"(where up and list_contains(json_keys(after_state), '{c.name}'))")
             if c.not_null and c.default is not None and c.default != "now":
                 val = f"coalesce({val}, {c.default})"
@@ -127,10 +123,11 @@ with r as (select *, operation = 'DELETE' as is_del,
     operation <> 'DELETE' and after_state is not null as up,
     cast(json_extract_string(case when operation = 'DELETE' then before_state else after_state end, '$.id')
       as integer) as id
-  from ox_cdc_log where source_table = '{table}')
+  from {log} where source_table = '{table}')
 select {', '.join(cols)},
-  arg_max(operation, kafka_offset) filter (where up) as cdc_operation,
-  arg_max(event_ts, kafka_offset) as cdc_event_ts, max(kafka_offset) as cdc_offset
+  arg_max(operation, {POS}) filter (where up) as cdc_operation,
+  max(event_ts) as cdc_event_ts, arg_max(kafka_topic, {POS}) as cdc_topic, arg_max(kafka_partition, {POS}) as cdc_partition,
+  arg_max(kafka_offset, {POS}) as cdc_offset
 from r where id is not null group by subsidiary_id, id
 having count(*) filter (where up) > 0"""
 
@@ -146,14 +143,42 @@ for _t in ("employees", "customers"):
     query(f"cdc_state_{_t}", _typed_state_sql(_t))(_typed_state(_t))
 
 
-@query("cdc_state_incremental", _typed_state_sql("employees"))
+FED = ("customers", "employees")  # the tables the change feed carries
+STATE_COLS = ["subsidiary_id", "id", "source_dept", "is_deleted", "deleted_at", "cdc_operation", "cdc_event_ts", "cdc_topic", "cdc_partition", "cdc_offset"]
+
+
+def fed_state_sql() -> str:
+    """The states of all fed tables: a row's data columns as text, one after another."""
+    parts = []
+    for t in FED:
+        data = [c.name for c in TABLES[t].columns if c.name not in STATE_COLS + ["ingested_at"]]
+        text = " || '|' || ".join(f"coalesce(cast({c} as varchar), '')" for c in data)
+        parts.append(f"select '{t}' as table_name, {', '.join(STATE_COLS)}, {text} as content from ({_typed_state_sql(t)}) s_{t}")
+    return " union all ".join(parts)
+
+
+def fed_state(states: dict):
+    """One frame of the states of all fed tables; see ``fed_state_sql``."""
+    parts = []
+    for t, df in states.items():
+        data = [c.name for c in TABLES[t].columns if c.name not in STATE_COLS + ["ingested_at"]]
+        text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in data]
+        parts.append(df.select(F.lit(t).alias("table_name"), *STATE_COLS, F.concat_ws("|", *text).alias("content")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("cdc_state_incremental", fed_state_sql())
 def cdc_state_incremental(lake):
-    """M2-M5 applied in two batches (state after the first, then the rest) —
+    """M2-M5 applied in two batches (state after the first, then the rest) to every fed table —
     must equal the one-shot merge: merge is associative over batches."""
     log = parsed_log(lake)
     cut = F.lit(LOG_CUTOFF).cast("timestamp_ntz")
-    s1 = cdc.merge_changes(None, log.filter(F.col("event_ts") < cut), "employees")
-    return cdc.merge_changes(s1, log.filter(F.col("event_ts") >= cut), "employees")
+
+    def merged(table):
+        s1 = cdc.merge_changes(None, log.filter(F.col("event_ts") < cut), table)
+        return cdc.merge_changes(s1, log.filter(F.col("event_ts") >= cut), table)
+
+    return fed_state({t: merged(t) for t in FED})
 
 
 @query("scd2_history", """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from strata.operators import changes, filters, gold, quality, recon, reports, silver
 from strata.operators.staging import stage
 from strata.plans.catalog import query
-from strata.schemas import CAMPAIGN_STATUSES, CAMPAIGN_TYPES, CDC_TABLES, TABLES
+from strata.schemas import CAMPAIGN_STATUSES, CAMPAIGN_TYPES, TABLES
 from strata.sources.landing import form_codes
 
 # Catalogue dates.
@@ -301,16 +301,6 @@ def table_metrics(lake):
     return recon.table_metrics(lake.bronze("ar_ledger"), "invoice_date", "ar_ledger")
 
 
-@query("dept_row_counts", """
-with c as (select 'finance' as dept, 'journal_entries' as table_name, count(*) as row_count from br_journal_entries
-  union all select 'finance', 'ap_invoices', count(*) from br_ap_invoices
-  union all select 'finance', 'ar_ledger', count(*) from br_ar_ledger)
-select * from c union all select 'finance', '*total*', cast(sum(row_count) as bigint) from c""")
-def dept_row_counts(lake):
-    """Rows per feed of a department and the department total."""
-    return recon.dept_row_counts({t: lake.bronze(t) for t in CDC_TABLES["finance"]}, "finance")
-
-
 @query("serve_top", """
 select * from sv_fact_sales order by net_amount desc, subsidiary_id, invoice_number limit 5000""")
 def serve_top(lake):

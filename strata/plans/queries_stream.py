@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import cdc
 from strata.plans.catalog import query
-from strata.plans.queries_cdc import _typed_state_sql
+from strata.plans.queries_cdc import FED, fed_state, fed_state_sql
 from strata.session import scratch_path
 from strata.streaming import cdc_stream
 
@@ -30,17 +30,17 @@ def _land(lake):
     return spark, root, src
 
 
-@query("stream_cdc_state", _typed_state_sql("employees"))
+@query("stream_cdc_state", fed_state_sql())
 def stream_cdc_state(lake):
     """The change stream applied micro-batch by micro-batch (foreachBatch,
     availableNow; log appended per batch, state compacted every 3 batches and
-    merged on read) gives the same employees state as the one-shot merge."""
+    merged on read) gives the same states as the one-shot merge, for every fed table."""
     spark, root, src = _land(lake)
     stream = cdc_stream.read_cdc_stream(spark, "files", src, max_per_trigger=1)
-    q = cdc_stream.run_cdc_stream(spark, stream, f"{root}/out", f"{root}/ckpt", tables=["employees"],
+    q = cdc_stream.run_cdc_stream(spark, stream, f"{root}/out", f"{root}/ckpt", tables=list(FED),
                                   compact_every=3)
     q.awaitTermination()
-    return cdc_stream.read_state(spark, f"{root}/out", "employees")
+    return fed_state({t: cdc_stream.read_state(spark, f"{root}/out", t) for t in FED})
 
 
 def _parsed_stream(lake):

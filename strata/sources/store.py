@@ -42,6 +42,15 @@ def committed_versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(out)
 
 
+def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers n of the folders ``<path>/<prefix>n``, ascending."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+
+
 def write_version(df: DataFrame, base: str, version: int, partition_by: list[str] | None = None) -> str:
     path = f"{base.rstrip('/')}/v={version}"
     w = df.write.mode("overwrite")
