@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import safe_identifier
 from strata.operators import cdc
-from strata.schemas import CDC_TABLES, TABLES
+from strata.schemas import CDC_TABLES
 
 _META = r'"__\w+"\s*:\s*(?:"(?:[^"\\]|\\.)*"|[^,}\s]+)'
 
@@ -32,15 +32,20 @@ def strip_metadata(json: Column) -> Column:
 
 
 def _bad_values(image: Column, source_table: Column) -> Column:
-    """Comma-joined names of the columns whose value does not parse, by table; null where all do."""
-    out = F.lit(None).cast("string")
-    for name in sorted({t for ts in CDC_TABLES.values() for t in ts}):
-        bad = [F.when(image[f.name].isNotNull() & cdc._typed(image[f.name], f.dataType).isNull(), F.lit(f.name))
-               for f in cdc.data_columns(name) if f.dataType.simpleString() != "string"]
-        if bad:
-            found = F.concat_ws(",", *bad)
-            out = F.when(source_table == name, F.when(found != "", found)).otherwise(out)
-    return out
+    """Comma-joined names of the fields whose value does not parse as their column's type; null where all do."""
+    types = {f"{t}.{f.name}": f.dataType for t in sorted({t for ts in CDC_TABLES.values() for t in ts}) for f in cdc.data_columns(t)
+             if f.dataType.simpleString() != "string"}
+    kinds = F.create_map(*[F.lit(x) for name, t in types.items() for x in (name, t.simpleString())])
+
+    def bad(e: Column) -> Column:
+        kind = F.try_element_at(kinds, F.concat(source_table, F.lit("."), e["key"]))
+        out = F.lit(False)
+        for t in {t.simpleString(): t for t in types.values()}.values():
+            out = F.when(kind == t.simpleString(), cdc._typed(e["value"], t).isNull()).otherwise(out)
+        return e["value"].isNotNull() & out
+
+    found = F.array_join(F.transform(F.filter(F.map_entries(image), bad), lambda e: e["key"]), ",")
+    return F.when(found != "", found)
 
 
 def image_fault(image: Column, source_table: Column) -> Column:
@@ -81,6 +86,3 @@ def replay(dead: DataFrame, log: DataFrame | None, repair: Callable[[DataFrame],
     parsed = with_faults(cdc.parse_envelope(messages, consumed_at=consumed_at, keep=["attempts"]))
     ok = parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "raw_value", "attempts")
     return cdc.append_cdc_log(log, ok), dead_letters(parsed)
-
-
-__all__ = ["strip_metadata", "image_fault", "with_faults", "dead_letters", "replay", "TABLES"]

@@ -12,7 +12,7 @@ from strata.plans.catalog import REGISTRY, query
 from strata.plans.oracle import EXTRA_CTES
 from strata.plans.queries_cdc import CONSUMED_AT, LOG_CUTOFF, _typed_state_sql, parsed_log
 from strata.schemas import CDC_TABLES
-from strata.session import scratch_path
+from strata.session import scratch_path, shared_dir
 from strata.sources import changefeed
 from strata.streaming import cdc_stream, marts
 
@@ -112,9 +112,10 @@ select kafka_topic, kafka_partition, kafka_offset, case when r in (6, 7) then 'a
 from ox_faulty where reject_reason is not null""")
 def cdc_replay(lake):
     """T5: dead letters read again twice through a repair; what became valid is appended once, the rest counts its attempts."""
-    parsed = _faulty(lake)
+    shared_dir(lake.spark)
+    parsed = _faulty(lake).checkpoint()  # log and dead letters are stored tables in production
     log, dead = cdc.split_valid(parsed)[0], images.dead_letters(parsed)
-    new, still = images.replay(dead, log, _repair, CONSUMED_AT)
+    new, still = (df.checkpoint() for df in images.replay(dead, log, _repair, CONSUMED_AT))
     again, left = images.replay(dead.unionByName(still), log.unionByName(new), _repair, CONSUMED_AT)
     appended = new.unionByName(again).select(*cdc.LOG_KEYS, F.lit("appended").alias("outcome"), F.lit(None).cast("int").alias("attempts"))
     return appended.unionByName(left.select(*cdc.LOG_KEYS, F.col("reject_reason").alias("outcome"), "attempts"))
@@ -170,7 +171,9 @@ def scd2_incremental(lake):
     """The history of the first part of the log, then only the changes since merged into it."""
     log = parsed_log(lake)
     cut = F.lit(LOG_CUTOFF).cast("timestamp_ntz")
-    return history.scd2_merge(history.scd2(log.filter(F.col("event_ts") < cut)), log.filter(F.col("event_ts") >= cut))
+    shared_dir(lake.spark)
+    stored = history.scd2(log.filter(F.col("event_ts") < cut)).checkpoint()  # a stored table in production
+    return history.scd2_merge(stored, log.filter(F.col("event_ts") >= cut))
 
 
 # ---------------------------------------------------------------------------

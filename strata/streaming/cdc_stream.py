@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import cdc
+from strata.operators import cdc, images
 from strata.schemas import TOPIC_PATTERN
 from strata.sources import store
 
@@ -81,11 +81,11 @@ class CdcBatchWriter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = cdc.parse_envelope(batch).withColumn(
+        parsed = images.with_faults(cdc.parse_envelope(batch)).withColumn(
             "consumed_at", F.current_timestamp().cast("timestamp_ntz"))
         parsed = parsed.persist()
         try:
-            ok, bad = cdc.split_valid(parsed)
+            ok, bad = cdc.split_valid(parsed)[0], images.dead_letters(parsed)
             bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/_batch={batch_id}")
             log = self.log(spark)
             if log is not None:
