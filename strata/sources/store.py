@@ -52,8 +52,10 @@ def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 
 def write_version(df: DataFrame, base: str, version: int, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as a whole version. Static overwrite, whatever the session says: a dynamic one leaves partitions of an attempt
+    that failed, and no ``_SUCCESS`` at the version's root, so the version would never count as committed."""
     path = f"{base.rstrip('/')}/v={version}"
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -121,6 +121,23 @@ def test_marts_from_deltas_survive_replay_and_compaction(spark, tmp_root):
     assert store.committed_versions(spark, f"{tmp_root}/base/ar_monthly") == [1]
 
 
+def test_partitioned_versions_commit_under_dynamic_overwrite(spark, tmp_root):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "dynamic")  # what get_spark sets
+    try:
+        df = spark.range(6).withColumn("p", F.col("id") % 3)
+        store.write_version(df, tmp_root, 0, ["p"])
+        assert store.committed_versions(spark, tmp_root) == [0]
+        store.write_version(df.filter("p = 1"), tmp_root, 0, ["p"])  # a repeated attempt replaces the whole version
+        assert {r["id"] for r in store.read_latest(spark, tmp_root).collect()} == {1, 4}
+        state = marts.BucketedState(f"{tmp_root}/ar", "ar_ledger", buckets=2)
+        waves = _ledger(spark)
+        state.apply(waves[0], 0)
+        assert state.apply(waves[1], 1).filter("sign = -1").count() == waves[1].count()
+    finally:
+        spark.conf.unset(mode)
+
+
 def test_history_merged_in_parts_equals_one_scan(spark):
     lake = FixtureLake(spark, SF_SMALL)
     log = cdc.split_valid(cdc.parse_envelope(lake.cdc_messages()))[0].persist()
