@@ -172,6 +172,24 @@ def arithmetic_rules() -> dict[str, tuple[str, Column]]:
     }
 
 
+def report_rules() -> dict[str, tuple[str, Column]]:
+    """rule id -> (table or report, predicate that must be true): single journal lines, and totals against their buckets."""
+    buckets = F.col("current") + F.col("aging_31_60") + F.col("aging_61_90") + F.col("aging_over_90")
+    adds_up = _eq(F.col("total_outstanding"), buckets)
+    return {
+        "R1_line": ("journal_entries", _eq(F.col("debit_amount"), F.col("credit_amount"))),
+        "R10_ap_total": ("ap_aging_detail", adds_up),
+        "R10_ar_total": ("ar_aging", adds_up),
+    }
+
+
+def check_shares(df: DataFrame, model: str, group: str = "subsidiary_id", shares: str = "ownership_pct") -> DataFrame:
+    """How many groups have shares that do not sum to 100 (a null share counts as 0, an empty table has no group). The groups
+    are aggregated with map-side partials; no group is collected."""
+    total = df.groupBy(group).agg(F.coalesce(F.sum(shares), F.lit(0)).alias("_total"))
+    return _unpivot(total.agg(F.count_if(F.col("_total") != 100).alias("R11_shares")), model, "arithmetic", ["R11_shares"])
+
+
 def journal_balanced(journal: DataFrame) -> DataFrame:
     """R1 (per document): debits equal credits for every source document."""
     return (journal.groupBy("subsidiary_id", "reference_doc")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from strata.operators import history, reports, silver
+from functools import reduce
+
+from strata.operators import history, quality, reports, silver
 from strata.operators.staging import stage
 from strata.plans.catalog import query
 from strata.plans.oracle import EXTRA_CTES
@@ -254,3 +256,32 @@ from stg_legal__sec_filings group by 1, 2, 3""")
 def filing_timeliness(lake):
     """B15."""
     return reports.filing_timeliness(stage(lake, "stg_legal__sec_filings"))
+
+
+def _report_check_sql() -> str:
+    def row(model, rule, n, src):
+        return (f"select '{model}' as model, 'arithmetic' as check_name, '{rule}' as column_name, {n} as failures, "
+                f"case when {n} = 0 then 'pass' else 'fail' end as status from {src}")
+    adds = ('cast("current" + aging_31_60 + aging_61_90 + aging_over_90 as decimal(18,2)) = cast(total_outstanding as decimal(18,2))')
+    parts = [row("journal_entries", "R1_line", "count(*) filter (where not coalesce(debit_amount = credit_amount, false))", "br_journal_entries")]
+    for model, rule, src, party, paid, closed in (
+            ("ap_aging_detail", "R10_ap_total", "sv_fact_ap_invoices", "vendor_id", "payment_amount", "paid"),
+            ("ar_aging", "R10_ar_total", "sv_fact_ar_ledger", "customer_id", "collected_amount", "collected")):
+        parts.append(row(model, rule, f"count(*) filter (where not coalesce({adds}, false))", f"({_aging_sql(src, party, paid, closed)}) t"))
+    for model, src in (("stockholders", "br_stockholders"), ("ownership_closed", "ox_ownership")):
+        parts.append(row(model, "R11_shares", "count(*) filter (where total <> 100)",
+                         f"(select coalesce(sum(ownership_pct), 0) as total from {src} group by subsidiary_id) t"))
+    return "\nunion all\n".join(parts)
+
+
+@query("report_checks", _report_check_sql())
+def report_checks(lake):
+    """R1 of single lines, R10 (aging totals equal their buckets) and R11 (shares sum to 100, before and after closing): violations per rule."""
+    rules = quality.report_rules()
+    holders = lake.bronze("stockholders").select("subsidiary_id", "stockholder_id", "name", "is_foreign", "ownership_pct")
+    parts = [quality.check_arithmetic(lake.bronze("journal_entries"), "journal_entries", rules),
+             quality.check_arithmetic(ap_aging_detail(lake), "ap_aging_detail", rules),
+             quality.check_arithmetic(ar_aging(lake), "ar_aging", rules),
+             quality.check_shares(holders, "stockholders"),
+             quality.check_shares(history.close_to_100(holders), "ownership_closed")]
+    return reduce(lambda a, b: a.unionByName(b), parts)

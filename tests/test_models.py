@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from strata.operators import gold, monitor, recon
+from strata.operators import gold, monitor, quality, recon
 
 AP = "subsidiary_id string, fiscal_year int, fiscal_month int, total_ap_gross double"
 AR = "subsidiary_id string, fiscal_year int, fiscal_month int, total_ar_gross double"
@@ -51,3 +51,14 @@ def test_row_count_audit_and_diff(spark):
     assert (audit.bronze_count, audit.silver_count, audit.diff) == (3, 2, 1)
     got = sorted((r.k, r.side) for r in recon.row_diff(b, s, ["k"]).collect())
     assert got == [(3, "missing_in_right"), (4, "missing_in_left")]
+
+
+def test_report_rules_count_faults(spark):
+    aging = spark.sql("""select * from values (1, 10.00, 2.50, 0.00, 1.00, 13.50), (2, 10.00, 2.50, 0.00, 1.00, 13.49),
+        (3, 10.00, null, 0.00, 1.00, 11.00) t(vendor_id, `current`, aging_31_60, aging_61_90, aging_over_90, total_outstanding)""")
+    got = {r["column_name"]: (r["failures"], r["status"]) for r in quality.check_arithmetic(aging, "ap_aging_detail", quality.report_rules()).collect()}
+    assert got == {"R10_ap_total": (2, "fail")}  # a null bucket is a fault
+    shares = spark.sql("""select * from values ('A', 60.00), ('A', 40.00), ('B', 99.99), ('C', cast(null as decimal(6,2))), (null, 100.00)
+        t(subsidiary_id, ownership_pct)""")
+    assert [(r["failures"], r["status"]) for r in quality.check_shares(shares, "s").collect()] == [(2, "fail")]
+    assert [(r["failures"], r["status"]) for r in quality.check_shares(shares.limit(0), "s").collect()] == [(0, "pass")]
