@@ -43,6 +43,21 @@ def stream_cdc_state(lake):
     return fed_state({t: cdc_stream.read_state(spark, f"{root}/out", t) for t in FED})
 
 
+@query("stream_log_dedup", "select * exclude (consumed_at) replace (true as is_processed) from ox_cdc_log")
+def stream_log_dedup(lake):
+    """Every message lands twice in its file and the whole feed lands again; state in the stream drops what comes again within the
+    window, the log's own comparison the rest, so each position is logged once, and all are processed once the state is compacted."""
+    spark = lake.spark
+    root = scratch_path(spark, "stream-runs", uuid.uuid4().hex)
+    feed = lake.cdc_messages()
+    feed.unionByName(feed).repartitionByRange(2, "offset").write.parquet(f"{root}/source")
+    feed.repartitionByRange(2, "offset").write.mode("append").parquet(f"{root}/source")
+    stream = cdc_stream.read_cdc_stream(spark, "files", f"{root}/source", max_per_trigger=1)
+    q = cdc_stream.run_cdc_stream(spark, stream, f"{root}/out", f"{root}/ckpt", tables=list(FED), compact_every=2, dedup_window="1 hour")
+    q.awaitTermination()
+    return cdc_stream.read_log(spark, f"{root}/out").drop("consumed_at")
+
+
 def _parsed_stream(lake):
     spark, root, src = _land(lake)
     stream = cdc_stream.read_cdc_stream(spark, "files", src, max_per_trigger=1)

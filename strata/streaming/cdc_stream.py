@@ -15,14 +15,18 @@ Replaying ``b`` after a failure therefore rewrites identical output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import cdc, images
-from strata.schemas import TOPIC_PATTERN
+from strata.schemas import CDC_TABLES, TOPIC_PATTERN
 from strata.sources import store
 
 MESSAGE_SCHEMA = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string"
+LOG_SCHEMA = ("kafka_topic string, kafka_partition int, kafka_offset bigint, subsidiary_id string, source_dept string, source_table string, "
+              "operation string, record_id string, before_state string, after_state string, event_ts timestamp_ntz, "
+              "consumed_at timestamp_ntz, is_processed boolean, _batch bigint, _range bigint")
+OFFSETS_PER_RANGE = 1_000_000
 
 
 def read_cdc_stream(spark: SparkSession, source: str = "kafka", path: str | None = None,
@@ -55,11 +59,34 @@ def read_cdc_stream(spark: SparkSession, source: str = "kafka", path: str | None
     return r.parquet(path)
 
 
+def once_per_position(messages: DataFrame, window: str = "1 hour") -> DataFrame:
+    """Messages delivered again within ``window`` of their first arrival go in the stream, by state on (topic, partition,
+    offset). The watermark runs on the time of arrival, so no message is ever late and none is lost, however old the change
+    it carries; state holds the positions that arrived within ``window``. What comes again later is caught by
+    the log's own comparison (``cdc.append_cdc_log``)."""
+    arrived = messages.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", window)
+    return arrived.dropDuplicatesWithinWatermark(["topic", "partition", "offset"]).drop("_arrived")
+
+
+def offset_range() -> Column:
+    """The range of offsets a log row is stored under."""
+    return F.floor(F.col("kafka_offset") / F.lit(OFFSETS_PER_RANGE)).cast("long")
+
+
+def log_in_ranges(log: DataFrame, batch: DataFrame) -> DataFrame:
+    """The stored log's rows in the offset ranges that ``batch`` touches, as a partition filter: files of other ranges are not
+    opened. The ranges come to the driver as numbers; they are at most as many as topic-partitions plus one
+    for each ``OFFSETS_PER_RANGE`` rows of the batch."""
+    ranges = [r[0] for r in batch.select(offset_range().alias("r")).distinct().collect() if r[0] is not None]
+    return log.filter(F.col("_range").isin(ranges)) if ranges else log.filter(F.lit(False))
+
+
 class CdcBatchWriter:
     """The ``foreachBatch`` sink (merge-on-read).
 
-    Layout under ``root``: ``log/_batch=<b>``, ``quarantine/_batch=<b>``,
-    ``state/<table>/v=<b>``. Every micro-batch appends its new log rows; every
+    Layout under ``root``: ``log/_batch=<b>/_range=<r>``, ``quarantine/_batch=<b>``,
+    ``state/<table>/v=<b>``; ``r`` numbers ranges of offsets, so the comparison of a batch with
+    the log opens only the ranges the batch touches. Every micro-batch appends its new log rows; every
     ``compact_every`` batches the log rows since the last compacted version
     are merged into a new state version (so a micro-batch never rewrites the
     whole state). ``read_state`` = last version merged with the log tail, so
@@ -73,8 +100,7 @@ class CdcBatchWriter:
         self.compact_every = max(1, compact_every)
 
     def log(self, spark: SparkSession) -> DataFrame | None:
-        path = f"{self.root}/log"
-        return spark.read.parquet(path) if store.exists(spark, path) else None
+        return stored_log(spark, self.root)
 
     def state(self, spark: SparkSession, table: str) -> DataFrame | None:
         return read_state(spark, self.root, table)
@@ -89,9 +115,11 @@ class CdcBatchWriter:
             bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/_batch={batch_id}")
             log = self.log(spark)
             if log is not None:
-                log = log.filter(F.col("_batch") != batch_id).drop("_batch")
-            new = cdc.append_cdc_log(log, ok)
-            new.write.mode("overwrite").parquet(f"{self.root}/log/_batch={batch_id}")
+                log = log_in_ranges(log.filter(F.col("_batch") != batch_id), ok).drop("_batch", "_range")
+            new = cdc.append_cdc_log(log, ok).withColumn("_range", offset_range())
+            # Static: under dynamic overwrite a replayed batch could keep ranges of an attempt that failed.
+            (new.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_range")
+             .parquet(f"{self.root}/log/_batch={batch_id}"))
         finally:
             parsed.unpersist()
         if (batch_id + 1) % self.compact_every == 0:
@@ -99,7 +127,7 @@ class CdcBatchWriter:
 
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Merge log batches ``(last version, upto]`` into state version ``upto``."""
-        log = spark.read.parquet(f"{self.root}/log")
+        log = stored_log(spark, self.root)
         tables = self.tables or [r[0] for r in log.filter(F.col("_batch") <= upto)
                                  .select("source_table").distinct().collect()]
         for t in tables:
@@ -111,10 +139,30 @@ class CdcBatchWriter:
                 continue  # already compacted (replayed batch)
             last = max([v for v in done if v < upto], default=-1)
             prev = store.read_version(spark, base, last) if last >= 0 else None
-            tail = log.filter((F.col("_batch") > last) & (F.col("_batch") <= upto)).drop("_batch")
+            tail = log.filter((F.col("_batch") > last) & (F.col("_batch") <= upto)).drop("_batch", "_range")
             store.write_version(cdc.merge_changes(prev, tail, t), base, upto)
 
 
+def stored_log(spark: SparkSession, root: str) -> DataFrame | None:
+    """The event log under ``root`` with its ``_batch`` and ``_range``; None before the first batch. The schema is given, so a log whose batches are
+    all empty reads as no rows, and planning opens no file."""
+    path = f"{root.rstrip('/')}/log"
+    return spark.read.schema(LOG_SCHEMA).parquet(path) if store.exists(spark, path) else None
+
+
+def read_log(spark: SparkSession, root: str) -> DataFrame | None:
+    """The event log as readers see it: ``is_processed`` is true for rows whose batch is merged into a committed state version of their
+    table (D24). The versions are one number per captured table."""
+    log = stored_log(spark, root)
+    if log is None:
+        return None
+    base = f"{root.rstrip('/')}/state"
+    merged = {t: v[-1] for ts in CDC_TABLES.values() for t in ts if (v := store.committed_versions(spark, f"{base}/{t}"))}
+    upto = F.try_element_at(F.create_map(*[F.lit(x).cast(k) for t, v in merged.items() for x, k in ((t, "string"), (v, "long"))]),
+                            F.col("source_table")) if merged else F.lit(None).cast("long")
+    return log.withColumn("is_processed", F.coalesce(F.col("_batch") <= upto, F.lit(False))).drop("_batch", "_range")
+
+
 def read_state(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     """Current state of ``table``: the last compacted version merged with the
     log batches appended after it (merge-on-read)."""
@@ -123,17 +171,21 @@ def read_state(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     done = store.committed_versions(spark, base)
     last = done[-1] if done else -1
     prev = store.read_version(spark, base, last) if done else None
-    if not store.exists(spark, f"{root}/log"):
+    log = stored_log(spark, root)
+    if log is None:
         return prev
-    tail = spark.read.parquet(f"{root}/log").filter(F.col("_batch") > last).drop("_batch")
+    tail = log.filter(F.col("_batch") > last).drop("_batch", "_range")
     return cdc.merge_changes(prev, tail, table)
 
 
 def run_cdc_stream(spark: SparkSession, messages: DataFrame, root: str, checkpoint: str,
                    tables: list[str] | None = None, available_now: bool = True,
-                   compact_every: int = 1):
+                   compact_every: int = 1, dedup_window: str | None = None):
     """Start the change-capture stream; with ``available_now`` it drains the
-    source and stops (``trigger(availableNow=True)``)."""
+    source and stops (``trigger(availableNow=True)``). With ``dedup_window`` messages that come again within it
+    are dropped in the stream (``once_per_position``)."""
+    if dedup_window:
+        messages = once_per_position(messages, dedup_window)
     q = (messages.writeStream.foreachBatch(CdcBatchWriter(root, tables, compact_every))
          .option("checkpointLocation", checkpoint))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from strata.operators import cdc
 from strata.sources import store
 from strata.sources.lake import FixtureLake
@@ -23,7 +25,6 @@ def test_foreach_batch_replay_is_idempotent(spark, tmp_root):
 
 
 def test_merge_on_read_between_compactions(spark, tmp_root):
-    from pyspark.sql import functions as F
     msgs = FixtureLake(spark, SF_SMALL).cdc_messages()
     parts = [msgs.filter((F.col("offset") % 3) == i) for i in range(3)]
     w = CdcBatchWriter(tmp_root, tables=["employees"], compact_every=2)
@@ -62,3 +63,49 @@ def test_update_mode_windows_replay_and_merge_on_read(spark, tmp_root):
     want = stream_monitor(batch_ok, "30 minutes").select(*keys, "events", "last_event_ts")
     assert got == sorted(tuple(r) for r in want.collect())
     assert spark.read.parquet(out).select("_batch").distinct().count() > 1
+
+
+def test_doubled_feed_is_dropped_by_state_in_the_stream(spark, tmp_root):
+    """The stream's own state drops what comes again, whatever the age of the change; a message without a value or offset passes."""
+    from strata.streaming.cdc_stream import once_per_position, read_cdc_stream
+    schema = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string"
+    one = spark.createDataFrame([("a", 0, 1, None, "x"), ("a", 0, 2, None, None), ("b", 0, 1, None, "y")], schema)
+    one.unionByName(one).coalesce(1).write.parquet(f"{tmp_root}/in")
+    one.unionByName(spark.createDataFrame([("a", 0, 3, None, "old")], schema)).coalesce(1).write.mode("append").parquet(f"{tmp_root}/in")
+    seen = []
+
+    def sink(batch, _id):
+        seen.extend((r.topic, r.offset, r.value) for r in batch.collect())
+    stream = once_per_position(read_cdc_stream(spark, "files", f"{tmp_root}/in", max_per_trigger=1))
+    q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{tmp_root}/ck").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(seen, key=str) == sorted([("a", 1, "x"), ("a", 2, None), ("b", 1, "y"), ("a", 3, "old")], key=str)
+
+
+def test_log_comparison_opens_only_touched_ranges(spark, tmp_root):
+    """The batch's offset ranges are a partition filter on the stored log, and only their files are read."""
+    from strata.streaming import cdc_stream
+    schema = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value string"
+    topic = FixtureLake(spark, SF_SMALL).cdc_messages().first()["topic"]
+
+    def feed(*offsets):
+        return spark.createDataFrame([(topic, 0, o, None, '{"op":"c","before":null,"after":"{\\"id\\": %d}","ts_ms":1}' % o) for o in offsets], schema)
+    w = CdcBatchWriter(tmp_root, tables=[], compact_every=100)
+    w(spark.createDataFrame([], schema), 0)                      # an empty first batch
+    assert w.log(spark).count() == 0
+    far = 7 * cdc_stream.OFFSETS_PER_RANGE
+    w(feed(1, 2, far), 1)
+    w(feed(2, 3), 2)
+    assert sorted(r.kafka_offset for r in w.log(spark).collect()) == [1, 2, 3, far]
+    again = cdc.split_valid(cdc.parse_envelope(feed(far, far + 1)))[0]
+    part = cdc_stream.log_in_ranges(w.log(spark), again)
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_range" in plan or "PartitionFilters: [(_range" in plan, plan
+    assert [r.kafka_offset for r in part.collect()] == [far]
+    assert part.select(F.input_file_name()).distinct().count() == 1
+    assert cdc_stream.read_log(spark, tmp_root).where("is_processed").count() == 0
+    w.tables = [again.first()["source_table"]]
+    w.compact(spark, 2)
+    assert cdc_stream.read_log(spark, tmp_root).where("not is_processed").count() == 0
+    w(feed(5), 3)
+    assert [r.kafka_offset for r in cdc_stream.read_log(spark, tmp_root).where("not is_processed").collect()] == [5]
