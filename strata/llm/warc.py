@@ -7,7 +7,7 @@ line separator writes valid archives into the shared folder (gzip, one member a
 file, at most ``RECORDS_PER_FILE`` captures each) with Spark's own commit of task output.
 Pages stay in their input partition: only digests are shuffled.
 
-``read`` parses the archives by Content-Length, file by file, and ``assemble`` joins each
+``read`` parses the archives by Content-Length as their bytes stream by, so an archive may be larger than memory, and ``assemble`` joins each
 request and metadata record to the response or revisit it is concurrent to, and each revisit to the
 response it refers to, giving one nested row per capture.
 
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +39,7 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = ("file string, position long, type string, record_id string, concurrent_to string, refers_to string, "
           "target_uri string, payload binary, payload_bytes long, payload_digest string, headers string")
+PAYLOAD = 7  # its place in RECORD
 
 
 def _urn(*parts) -> str:
@@ -123,58 +123,95 @@ def write(pages: DataFrame, path: str) -> None:
      .option("maxRecordsPerFile", 3 * RECORDS_PER_FILE).text(path))
 
 
+class Records:
+    """The records of one archive from its bytes, fed piece by piece: holds one record and a piece."""
+
+    def __init__(self):
+        self.data, self.at, self.need = bytearray(), 0, 1
+
+    def feed(self, piece: bytes):
+        """(position, headers, block) of every record that ``piece`` completes."""
+        self.data += piece
+        start = 0
+        while len(self.data) - start >= self.need:
+            end = self.data.find(b"\r\n\r\n", start)
+            if end < 0:
+                break
+            head = {}
+            for line in bytes(self.data[start:end]).split(b"\r\n")[1:]:
+                k, _, v = line.partition(b":")
+                head[k.strip().lower().decode()] = v.strip().decode()
+            stop = end + 4 + int(head["content-length"])
+            if len(self.data) < stop + 4:
+                self.need = stop + 4 - start
+                break
+            yield self.at, head, bytes(self.data[end + 4:stop])
+            self.at += stop + 4 - start
+            start, self.need = stop + 4, 1
+        del self.data[:start]
+
+    def finish(self):
+        """The last record, where a reader of lines took the archive's last line end; an error if it is cut short."""
+        if self.data:
+            yield from self.feed(b"\r\n\r\n")
+        if self.data:
+            raise ValueError(f"archive ends within the record at {self.at}")
+
+
 def parse(data: bytes):
     """(position, headers, block) of every record of an archive's bytes."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        head = {}
-        for line in data[at:end].split(b"\r\n")[1:]:
-            k, _, v = line.partition(b":")
-            head[k.strip().lower().decode()] = v.strip().decode()
-        size = int(head["content-length"])
-        yield at, head, data[end + 4:end + 4 + size]
-        at = end + 4 + size + 4
-
-
-def _gunzip(data: bytes) -> bytes:
-    out = []
-    while data:
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(data) + d.flush())
-        data = d.unused_data
-    return b"".join(out)
+    records = Records()
+    yield from records.feed(data)
+    yield from records.finish()
+
+
+def _row(name: str, at: int, h: dict, block: bytes) -> tuple:
+    kind = h["warc-type"]
+    payload, size, digest, note = None, None, None, None
+    if kind in ("response", "revisit"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        size = next(int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
+        digest = h["warc-payload-digest"].partition(":")[2].lower()
+        if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
+            raise ValueError(f"{name}: payload at {at} does not match its digest")
+    elif kind == "metadata":
+        note = block.decode()
+    return (name, at, kind, h["warc-record-id"], h.get("warc-concurrent-to"), h.get("warc-refers-to"),
+            h.get("warc-target-uri"), payload, size, digest, note)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under ``path``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    """One row per record of the gzip archives under ``path``. Spark's text reader unpacks an archive as a stream and hands
+    its bytes over in pieces that end where CR LF CR LF stands, in order and in one task, as gzip is not split; a task holds a
+    batch of pieces and one record, whatever the archive's size."""
+    pieces = (spark.read.option("lineSep", END).option("pathGlobFilter", "part-*.gz").text(path)
+              .select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece")))
+
+    def parsed(batches):
+        name, records = None, Records()
+        for batch in batches:
+            files, column = batch.column(0), batch.column(1)
+            for i in range(len(column)):
+                file, piece = files[i].as_py(), column[i].as_py()
+                if file == name:
+                    piece = b"\r\n\r\n" + piece
+                else:
+                    yield from (_row(name, *r) for r in records.finish())
+                    name, records = file, Records()
+                yield from (_row(name, *r) for r in records.feed(piece))
+        yield from (_row(name, *r) for r in records.finish())
 
     def run(batches):
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = content.as_buffer().to_pybytes()
-                rows, held = [], 0
-                for at, h, block in parse(_gunzip(data) if data[:2] == b"\x1f\x8b" else data):
-                    kind = h["warc-type"]
-                    payload, size, digest, note = None, None, None, None
-                    if kind in ("response", "revisit"):
-                        http, _, payload = block.partition(b"\r\n\r\n")
-                        size = next(int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-                        digest = h["warc-payload-digest"].partition(":")[2].lower()
-                        if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
-                            raise ValueError(f"{name}: payload at {at} does not match its digest")
-                    elif kind == "metadata":
-                        note = block.decode()
-                    rows.append((name, at, kind, h["warc-record-id"], h.get("warc-concurrent-to"), h.get("warc-refers-to"),
-                                 h.get("warc-target-uri"), payload, size, digest, note))
-                    held += len(block)
-                    if held > 1 << 22:
-                        yield _batch(rows)
-                        rows, held = [], 0
+        rows, held = [], 0
+        for row in parsed(batches):
+            rows.append(row)
+            held += len(row[PAYLOAD] or "")
+            if held > 1 << 22 or len(rows) >= 10000:
                 yield _batch(rows)
+                rows, held = [], 0
+        yield _batch(rows)
 
-    return map_arrow(files, run, RECORD)
+    return map_arrow(pieces, run, RECORD)
 
 
 def _batch(rows):

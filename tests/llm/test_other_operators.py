@@ -170,3 +170,29 @@ def test_pipeline_on_odd_rows_and_clashing_columns(spark, tmp_root):
     rows.limit(0).write.parquet(f"{empty}/documents.parquet")
     labels.limit(0).write.parquet(f"{empty}/labels.parquet")
     assert P.run(spark, empty).count() == 0
+
+
+def test_warc_archives_stream_in_pieces(spark, tmp_path):
+    """Archives of many batches, payloads full of separators and header look-alikes, and several archives to a task."""
+    text = ["", "\r\n", "\r\n\r\n", "\r\n\r\r\n\r\n\n", "a\r\n\r", "\r\n\r\n\r\n", "WARC/1.1\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n", "é€" * 700 + "\r\n"]
+    html = [t * n for n in (1, 2, 301) for t in text] + ["x" * 3_000_000 + "\r\n\r\n" + "y" * 3_000_000]
+    pages = spark.createDataFrame([(i, f"http://h/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    path = str(tmp_path / "archives")
+    warc.write(pages.repartition(3), path)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = warc.read(spark, path).coalesce(1).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(found) == 3 * len(html)
+    got = {r.target_uri: bytes(r.payload).decode() for r in found if r.type == "response"}
+    assert all(got[f"http://h/{i}"] == h for i, h in enumerate(html) if f"http://h/{i}" in got)
+    assert len(got) == len({h for h in html if len(h.encode()) >= 1000}) + sum(len(h.encode()) < 1000 for h in html)
+
+
+def test_warc_cut_archive_is_an_error():
+    whole = "".join(t + warc.END for t in warc.transaction(1, "http://h/1", "abc", "s", None)).encode()
+    assert [h["warc-type"] for _at, h, _b in warc.parse(whole)] == ["request", "response", "metadata"]
+    with pytest.raises(ValueError):
+        list(warc.parse(whole[:-40]))
