@@ -246,10 +246,11 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def captures(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Writes ``pages`` as archives to the shared folder and assembles what they hold."""
+    """Writes ``pages`` as archives to the shared folder and assembles what they hold. The parsed records are written too: the joins
+    take them from there, column by column, instead of parsing the archives once for each kind."""
     path = shared_path(spark, "warc")
     write(pages, path)
-    return assemble(read(spark, path))
+    return assemble(cut(read(spark, path), "warc-records"))
 
 
 ORACLE = """
