@@ -50,32 +50,31 @@ def response_id(page_id, url, sha256, copy: int = 0) -> str:
     return _urn("response", page_id, url, sha256, copy)
 
 
-def _record(kind: str, rid: str, fields: list[tuple[str, str]], block: str) -> str:
+def _record(kind: str, rid: str, fields: list[tuple[str, str]], *block: bytes) -> bytes:
     head = [("WARC-Type", kind), ("WARC-Record-ID", rid), ("WARC-Date", DATE), *fields,
-            ("Content-Length", str(len(block.encode())))]
-    return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n" + block
+            ("Content-Length", str(sum(map(len, block))))]
+    return b"".join([("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode(), *block])
 
 
-def transaction(page_id, url: str, html: str, sha256: str, refers: tuple | None, copy: int = 0) -> list[str]:
+def transaction(page_id, url: str, body: bytes, sha256: str, refers: tuple | None, copy: int = 0) -> list[bytes]:
     """The three records of a capture; ``refers``: (page_id, url) of the response it revisits; ``copy`` numbers equal captures."""
     uri = url.replace("\r", "%0D").replace("\n", "%0A")
-    body = html.encode()
     digest = hashlib.sha1(body).hexdigest()
     rid = response_id(page_id, url, sha256, copy)
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n"
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode()
     fields = [("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"),
               ("Content-Type", "application/http; msgtype=response")]
     if refers is None:
-        main = _record("response", rid, fields, http + html)
+        main = _record("response", rid, fields, http, body)
     else:
         main = _record("revisit", rid, [*fields, ("WARC-Profile", PROFILE), ("WARC-Refers-To", response_id(*refers, sha256))], http)
     path = "/" + uri.partition("://")[2].partition("/")[2]
     request = _record("request", _urn("request", rid), [("WARC-Target-URI", uri), ("WARC-Concurrent-To", rid),
                       ("Content-Type", "application/http; msgtype=request")],
-                      f"GET {path} HTTP/1.1\r\nHost: {uri.partition('://')[2].partition('/')[0]}\r\n\r\n")
+                      f"GET {path} HTTP/1.1\r\nHost: {uri.partition('://')[2].partition('/')[0]}\r\n\r\n".encode())
     meta = _record("metadata", _urn("metadata", rid), [("WARC-Target-URI", uri), ("WARC-Concurrent-To", rid),
                    ("Content-Type", "application/warc-fields")],
-                   f"page-id: {'' if page_id is None else page_id}\r\nhttp-length: {len(body)}\r\n")
+                   f"page-id: {'' if page_id is None else page_id}\r\nhttp-length: {len(body)}\r\n".encode())
     return [request, main, meta]
 
 
@@ -114,11 +113,12 @@ def write(pages: DataFrame, path: str) -> None:
         rows = rows.where("c is null or c = 1").drop("c").withColumn("copy", F.lit(0).cast("long")).unionByName(some.drop("c", "part"))
 
     def run(batches):
-        for ids, urls, htmls, shas, to_ids, to_urls, copies in slices(batches, 1 << 22, 2):
-            records = [r for p, u, h, s, ti, tu, k in zip(ids, urls, htmls, shas, to_ids, to_urls, copies)
+        for ids, urls, bodies, shas, to_ids, to_urls, copies in slices(batches, 1 << 22, 2):
+            records = [r for p, u, h, s, ti, tu, k in zip(ids, urls, bodies, shas, to_ids, to_urls, copies)
                        for r in transaction(p, u, h, s, None if tu is None else (ti, tu), k)]
-            yield pa.RecordBatch.from_arrays([pa.array(records, pa.string())], ["value"])
+            yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary()).cast(pa.string())], ["value"])
 
+    rows = rows.withColumn("html", F.col("html").cast("binary"))
     (map_arrow(rows, run, "value string").write.option("lineSep", END).option("compression", "gzip")
      .option("maxRecordsPerFile", 3 * RECORDS_PER_FILE).text(path))
 
@@ -145,7 +145,9 @@ class Records:
             if len(self.data) < stop + 4:
                 self.need = stop + 4 - start
                 break
-            yield self.at, head, bytes(self.data[end + 4:stop])
+            with memoryview(self.data) as view:
+                block = bytes(view[end + 4:stop])
+            yield self.at, head, block
             self.at += stop + 4 - start
             start, self.need = stop + 4, 1
         del self.data[:start]
@@ -190,9 +192,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def parsed(batches):
         name, records = None, Records()
         for batch in batches:
-            files, column = batch.column(0), batch.column(1)
-            for i in range(len(column)):
-                file, piece = files[i].as_py(), column[i].as_py()
+            files = batch.column(0)
+            one = len(files) and files[0] == files[-1]  # the pieces of a file follow one another
+            for file, piece in zip([files[0].as_py()] * len(files) if one else files.to_pylist(), batch.column(1).to_pylist()):
                 if file == name:
                     piece = b"\r\n\r\n" + piece
                 else:

@@ -192,7 +192,7 @@ def test_warc_archives_stream_in_pieces(spark, tmp_path):
 
 
 def test_warc_cut_archive_is_an_error():
-    whole = "".join(t + warc.END for t in warc.transaction(1, "http://h/1", "abc", "s", None)).encode()
+    whole = b"".join(t + warc.END.encode() for t in warc.transaction(1, "http://h/1", b"abc", "s", None))
     assert [h["warc-type"] for _at, h, _b in warc.parse(whole)] == ["request", "response", "metadata"]
     with pytest.raises(ValueError):
         list(warc.parse(whole[:-40]))
