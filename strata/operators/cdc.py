@@ -5,7 +5,9 @@ Everything is a DataFrame transformation, usable in batch or inside a
 streaming ``foreachBatch`` (``strata.streaming.cdc_stream``).
 
 Scale notes
-* Parsing is row-local (``from_json``/``get_json_object``); no shuffle.
+* Parsing is row-local (``from_json``/``get_json_object``); no shuffle. Each
+  envelope and image is parsed once (``columns.once``), where the rows were
+  dealt out, whatever is filtered afterwards.
 * ``append_cdc_log`` compares a batch with log rows at or above its lowest
   offset per Kafka topic-partition. That bound is a join condition, so the
   three key columns of the log are scanned; the bounds table has one row per
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import (epoch_ms_to_ts, epoch_us_to_ts, operation_name, record_id,
+from strata.functions.columns import (epoch_ms_to_ts, epoch_us_to_ts, once, operation_name, record_id,
                                      topic_parts)
 from strata.schemas import CDC_TABLES, TABLES
 
@@ -51,9 +53,10 @@ def parse_envelope(messages: DataFrame, consumed_at: str | None = None, keep: li
     keep = keep or []
     v = F.col("value").cast("string")
     m = messages.filter(F.col("value").isNotNull())
-    env = F.from_json(v, _ENVELOPE, _ENVELOPE_OPTIONS)  # one parse; bad documents land in _corrupt
-    m = m.select("topic", "partition", "offset", *keep, v.alias("value"), env.alias("e"),
-                 topic_parts("topic").alias("t"))
+    env = F.from_json("value", _ENVELOPE, _ENVELOPE_OPTIONS)  # one parse; bad documents land in _corrupt
+    m = (m.select("topic", "partition", "offset", *keep, v.alias("value"), F.split("topic", r"\.").alias("s"))
+          .select("topic", "partition", "offset", *keep, "value", topic_parts("topic", "s").alias("t"))
+          .select("topic", "partition", "offset", *keep, "value", "t", once(env).alias("e")))
     flat = F.col("e.op").isNull() & F.col("e.__op").isNotNull()
     op = F.when(flat, F.col("e.__op")).otherwise(F.col("e.op"))
     is_del = op == "d"
@@ -61,6 +64,10 @@ def parse_envelope(messages: DataFrame, consumed_at: str | None = None, keep: li
     before = F.when(flat, F.when(is_del, strip_metadata(F.col("value")))).otherwise(_json_text(F.col("e.before")))
     ts_ms = F.when(flat, F.col("e.__ts_ms")).otherwise(F.col("e.ts_ms"))
     valid_json = F.col("e._corrupt").isNull()
+    m = m.select("topic", "partition", "offset", *keep, "value", "t",
+                 once(F.named_struct(F.lit("op"), op, F.lit("after"), after, F.lit("before"), before, F.lit("ts_ms"), ts_ms,
+                                     F.lit("valid"), valid_json)).alias("r"))
+    op, after, before, ts_ms, valid_json = (F.col(f"r.{c}") for c in ("op", "after", "before", "ts_ms", "valid"))
     known = F.concat_ws(".", F.col("t.source_dept"), F.col("t.source_table")).isin(
         [f"{d}.{t}" for d, ts in CDC_TABLES.items() for t in ts])
     reason = (F.when(~valid_json, "invalid json")
@@ -180,12 +187,16 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
     img = F.when(is_del, F.col("before_state")).otherwise(F.col("after_state"))
     text_schema = T.StructType([T.StructField(n, T.StringType()) for n in names + ["is_deleted",
                                                                                     "deleted_at"]])
-    parsed = F.from_json(F.col("after_state"), text_schema)
-    keys = F.coalesce(F.json_object_keys(F.col("after_state")), F.array().cast("array<string>"))
     ordv = position()
     up = ~is_del & F.col("after_state").isNotNull()
+    image = F.named_struct(F.lit("id"), F.get_json_object(img, "$.id").try_cast("bigint"),
+                           F.lit("parsed"), F.from_json(F.col("after_state"), text_schema),
+                           F.lit("keys"), F.coalesce(F.json_object_keys(F.col("after_state")), F.array().cast("array<string>")))
+    ch = (ch.select("subsidiary_id", "operation", "event_ts", *LOG_KEYS, "before_state", "after_state", up.alias("_up"))
+            .select("subsidiary_id", "operation", "event_ts", *LOG_KEYS, "_up", once(image).alias("_i")))
+    up, parsed, keys = F.col("_up"), F.col("_i.parsed"), F.col("_i.keys")
     cols = [F.col("subsidiary_id"),
-            F.get_json_object(img, "$.id").try_cast("bigint").alias("id"),
+            F.col("_i.id").alias("id"),
             F.when(up | is_del, ordv).alias("_ord"),
             F.when(up, ordv).alias("_content_ord"),
             F.when(up, F.col("operation")).alias("_op")]

@@ -4,7 +4,7 @@
   text, so the image holds the row's columns only.
 * ``with_faults`` gives a message that parsed a reason to be rejected when its image has no numeric id, names a column that is no safe
   identifier, or holds a value that does not parse as its column's type. The image is parsed once per row, inside a
-  one-element ``transform``, so neither filters nor projections repeat the parse.
+  one-element ``transform``, and judged once, as a generator's output, so neither filters nor projections repeat it.
 * ``replay`` reads dead letters again, through a repair if one is given: what is valid now and not in the log yet is appended,
   the rest stays dead with one attempt more.
 """
@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import safe_identifier
+from strata.functions.columns import once, safe_identifier
 from strata.operators import cdc
 from strata.schemas import CDC_TABLES
 
@@ -33,18 +33,29 @@ def strip_metadata(json: Column) -> Column:
 
 def _bad_values(image: Column, source_table: Column) -> Column:
     """Comma-joined names of the fields whose value does not parse as their column's type; null where all do."""
-    types = {f"{t}.{f.name}": f.dataType for t in sorted({t for ts in CDC_TABLES.values() for t in ts}) for f in cdc.data_columns(t)
-             if f.dataType.simpleString() != "string"}
-    kinds = F.create_map(*[F.lit(x) for name, t in types.items() for x in (name, t.simpleString())])
+    tables = {t: {f.name: f.dataType for f in cdc.data_columns(t) if f.dataType.simpleString() != "string"}
+              for t in sorted({t for ts in CDC_TABLES.values() for t in ts})}
+    types = {d.simpleString(): d for cols in tables.values() for d in cols.values()}
+
+    def literal_map(pairs: dict) -> Column:
+        return F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), v)])
+
+    no_kinds = F.create_map().cast("map<string,string>")
+    by_table = literal_map({t: literal_map({c: F.lit(d.simpleString()) for c, d in cols.items()}) if cols else no_kinds for t, cols in tables.items()})
 
     def bad(e: Column) -> Column:
-        kind = F.try_element_at(kinds, F.concat(source_table, F.lit("."), e["key"]))
         out = F.lit(False)
-        for t in {t.simpleString(): t for t in types.values()}.values():
-            out = F.when(kind == t.simpleString(), cdc._typed(e["value"], t).isNull()).otherwise(out)
-        return e["value"].isNotNull() & out
+        for name, t in types.items():
+            out = F.when(e["kind"] == name, cdc._typed(e["value"], t).isNull()).otherwise(out)
+        return e["value"].isNotNull() & e["kind"].isNotNull() & out
+
+    def names(kinds: Column) -> Column:
+        """A field's kind is looked up once, among its table's columns."""
+        typed = F.transform(F.map_entries(image), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"),
+                                                                     F.try_element_at(kinds, e["key"]).alias("kind")))
+        return F.array_join(F.transform(F.filter(typed, bad), lambda e: e["key"]), ",")
 
-    found = F.array_join(F.transform(F.filter(F.map_entries(image), bad), lambda e: e["key"]), ",")
+    found = F.transform(F.array(F.try_element_at(by_table, source_table)), names)[0]
     return F.when(found != "", found)
 
 
@@ -63,7 +74,9 @@ def image_fault(image: Column, source_table: Column) -> Column:
 def with_faults(parsed: DataFrame) -> DataFrame:
     """``parse_envelope`` rows whose ``reject_reason`` also tells faults of the image."""
     image = F.coalesce(F.when(F.col("operation") != "DELETE", F.col("after_state")), F.col("before_state"), F.col("after_state"))
-    return parsed.withColumn("reject_reason", F.coalesce("reject_reason", image_fault(image, F.col("source_table"))))
+    fault = F.when(F.col("reject_reason").isNull(), image_fault(image, F.col("source_table")))
+    judged = parsed.select("*", once(fault).alias("_fault"))
+    return judged.withColumn("reject_reason", F.coalesce("reject_reason", "_fault")).drop("_fault")
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:

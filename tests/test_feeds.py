@@ -157,3 +157,29 @@ def test_row_diff_values(spark):
     got = {r["id"]: (r["side"], r["columns"]) for r in recon.row_diff_values(left, right, ["id"], buckets=4).collect()}
     assert got == {2: ("changed", "s"), 3: ("changed", "x"), 4: ("missing_in_right", None), 6: ("missing_in_left", None)}
     assert recon.row_diff_values(left, left, ["id"]).count() == 0
+
+
+def test_a_row_differs_by_one_image_per_side(spark):
+    """The hash of a row travels once in the comparison, not with each of its columns."""
+    df = spark.createDataFrame([(1, "a", 1.0, True)], "id int, s string, x double, b boolean")
+    plan = recon.row_diff_values(df, df.filter("id > 0"), ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("max(struct(_h") == 2, plan
+
+
+def test_envelopes_and_images_are_parsed_once(spark):
+    """A filter on the faults repeats no parse: one of the envelope and one of the image."""
+    feed = changefeed.order_feed(FixtureLake(spark, SF_SMALL))
+    log = cdc.split_valid(images.with_faults(cdc.parse_envelope(feed)))[0]
+    assert log._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 2
+    state = cdc.merge_changes(None, log, "purchase_orders")
+    assert state._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 3  # and one of the columns
+
+
+def test_fan_out_tables_are_spread_by_size(spark, monkeypatch):
+    """Partitions of orders grow with the file, so a task's share does not."""
+    from strata.sources import testdata
+    size = store.size_of(spark, f"{SF_SMALL}/orders.parquet")
+    monkeypatch.setitem(testdata.FAN_OUT_BYTES, "orders", size // 50)
+    orders = testdata.TestTables(spark, SF_SMALL)("orders")
+    assert orders.rdd.getNumPartitions() >= 50
+    assert _rows(orders) == _rows(spark.read.parquet(f"{SF_SMALL}/orders.parquet"))
