@@ -27,6 +27,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files at ``path``."""
+    fs, p, _ = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def committed_versions(spark: SparkSession, base: str) -> list[int]:
     """Versions under ``base`` whose write committed (``_SUCCESS`` present)."""
     fs, p, jvm = _fs(spark, base)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import MONEY, money, money_round, rate_of, ts_to_epoch_ms
 from strata.schemas import CAMPAIGN_STATUSES, CAMPAIGN_TYPES, TABLES, Table
+from strata.sources import store
 
 # The load time stamped on every fixture row.
 INGESTED_AT = "2024-02-01 00:00:00"
@@ -77,7 +78,10 @@ class TestTables:
     The test files hold one Parquet row group each, so a scan is a single
     task. When a scan yields fewer splits than the cluster's parallelism, its
     rows are spread once (hash on the table's key) so the derivations after
-    it use every core; large inputs (many splits) are left as they are.
+    it use every core; large inputs (many splits) are left as they are. Orders
+    and events fan out into change messages, so these are spread until a
+    partition holds a few megabytes of the file: a task's memory then stays
+    the same when the table grows.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -90,6 +94,8 @@ class TestTables:
             df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             try:
                 par = self.spark.sparkContext.defaultParallelism
+                if name in FAN_OUT_BYTES:
+                    par = max(par, -(-store.size_of(self.spark, f"{self.sf_dir}/{name}.parquet") // FAN_OUT_BYTES[name]))
                 splits = df.rdd.getNumPartitions()
             except Exception:  # Spark Connect: no RDD API; leave the scan as is
                 par, splits = 0, 0
@@ -104,6 +110,8 @@ class TestTables:
 # Tables large enough to be worth spreading (dimension tables stay as scanned).
 SPREAD_TABLES = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id",
                  "customer": "c_custkey", "part": "p_partkey"}
+# Bytes of the file for each partition of a table whose rows fan out into messages.
+FAN_OUT_BYTES = {"orders": 4_000_000, "events": 4_000_000}
 
 
 # ---------------------------------------------------------------------------
