@@ -66,10 +66,10 @@ def row_diff_values(left: DataFrame, right: DataFrame, keys: list[str], buckets:
     unequal = da.join(db, "_b", "full").filter(~(F.col("x").eqNullSafe(F.col("y")) & F.col("n").eqNullSafe(F.col("m")))).select("_b")
 
     def opened(df, side):
-        some = df.join(unequal, "_b", "left_semi").groupBy(*keys)
-        per = {c: F.max(F.struct("_h", c))[c].alias(c) for c in values}  # of repeated keys the columns of one row stand for all
-        return some.agg(F.bit_xor("_h").alias("_x"), F.count(F.lit(1)).alias("_n"), *per.values()).select(
-            *[F.col(k).alias(f"{side}_{k}") for k in keys], F.struct("_x", "_n", *values).alias(side))
+        some = df.join(F.broadcast(unequal), "_b", "left_semi").groupBy(*keys)  # at most ``buckets`` numbers: the rows are not dealt out for them
+        # Of repeated keys the columns of one row stand for all; its hash travels once, not with every column.
+        one = some.agg(F.bit_xor("_h").alias("_x"), F.count(F.lit(1)).alias("_n"), F.max(F.struct("_h", *values)).alias("_v"))
+        return one.select(*[F.col(k).alias(f"{side}_{k}") for k in keys], F.struct("_x", "_n", *[F.col(f"_v.{c}") for c in values]).alias(side))
 
     l, r = opened(a, "l"), opened(b, "r")
     on = reduce(lambda p, q: p & q, [F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}")) for k in keys])
