@@ -4,6 +4,11 @@ Each run lands the change messages (derived by Spark from the test tables) as
 Parquet files in a fresh folder under the shared checkpoint directory, runs
 the stream with ``trigger(availableNow=True)`` and returns what the sink
 wrote. Results must equal the batch computation of the same operators.
+
+The messages land in waves of ascending offsets, one after another, each a
+micro-batch: files are taken in the order they were written. A wave has as
+many files as its size asks for, so no task reads or sorts a fixed share of
+the whole feed.
 """
 
 from __future__ import annotations
@@ -18,16 +23,32 @@ from strata.plans.queries_cdc import FED, fed_state, fed_state_sql
 from strata.session import scratch_path
 from strata.streaming import cdc_stream
 
-SOURCE_FILES = 4
+WAVES = 4
+
+
+def _land_waves(feed, folder, target, waves, copies=1):
+    """Append the messages of ``feed`` to ``target`` in ``waves`` parts of about as many offsets, each message ``copies`` times in the same
+    part; returns how many files each has. ``folder`` keeps the feed, which is derived once."""
+    spark = feed.sparkSession
+    feed.write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    cuts = stored.agg(F.percentile_approx("offset", [i / waves for i in range(1, waves)], 10000)).first()[0] if waves > 1 else []
+    part = F.lit(0) + sum((F.coalesce(F.col("offset") > c, F.lit(False)).cast("int") for c in cuts or []), F.lit(0))
+    files = -(-cdc_stream.files_for(spark, folder) * copies // waves)
+    for wave in range(waves):
+        rows = stored.filter(part == wave)
+        for _ in range(copies - 1):
+            rows = rows.unionByName(stored.filter(part == wave))
+        rows.repartition(files).write.mode("append").parquet(target)
+    return files
 
 
 def _land(lake):
-    """Land the change feed as a few files: each file becomes a micro-batch."""
+    """Land the change feed in a few waves: each wave becomes a micro-batch."""
     spark = lake.spark
     root = scratch_path(spark, "stream-runs", uuid.uuid4().hex)
     src = f"{root}/source"
-    lake.cdc_messages().repartitionByRange(SOURCE_FILES, "offset").write.parquet(src)
-    return spark, root, src
+    return spark, root, src, _land_waves(lake.cdc_messages(), f"{root}/feed", src, WAVES)
 
 
 @query("stream_cdc_state", fed_state_sql())
@@ -35,8 +56,8 @@ def stream_cdc_state(lake):
     """The change stream applied micro-batch by micro-batch (foreachBatch,
     availableNow; log appended per batch, state compacted every 3 batches and
     merged on read) gives the same states as the one-shot merge, for every fed table."""
-    spark, root, src = _land(lake)
-    stream = cdc_stream.read_cdc_stream(spark, "files", src, max_per_trigger=1)
+    spark, root, src, files = _land(lake)
+    stream = cdc_stream.read_cdc_stream(spark, "files", src, max_per_trigger=files)
     q = cdc_stream.run_cdc_stream(spark, stream, f"{root}/out", f"{root}/ckpt", tables=list(FED),
                                   compact_every=3)
     q.awaitTermination()
@@ -50,17 +71,18 @@ def stream_log_dedup(lake):
     spark = lake.spark
     root = scratch_path(spark, "stream-runs", uuid.uuid4().hex)
     feed = lake.cdc_messages()
-    feed.unionByName(feed).repartitionByRange(2, "offset").write.parquet(f"{root}/source")
-    feed.repartitionByRange(2, "offset").write.mode("append").parquet(f"{root}/source")
-    stream = cdc_stream.read_cdc_stream(spark, "files", f"{root}/source", max_per_trigger=1)
+    files = _land_waves(feed, f"{root}/feed", f"{root}/source", 2, copies=2)
+    again = spark.read.parquet(f"{root}/feed").repartitionByRange(2 * files, "offset")
+    again.write.mode("append").parquet(f"{root}/source")
+    stream = cdc_stream.read_cdc_stream(spark, "files", f"{root}/source", max_per_trigger=files)
     q = cdc_stream.run_cdc_stream(spark, stream, f"{root}/out", f"{root}/ckpt", tables=list(FED), compact_every=2, dedup_window="1 hour")
     q.awaitTermination()
     return cdc_stream.read_log(spark, f"{root}/out").drop("consumed_at")
 
 
 def _parsed_stream(lake):
-    spark, root, src = _land(lake)
-    stream = cdc_stream.read_cdc_stream(spark, "files", src, max_per_trigger=1)
+    spark, root, src, files = _land(lake)
+    stream = cdc_stream.read_cdc_stream(spark, "files", src, max_per_trigger=files)
     ok, _bad = cdc.split_valid(cdc.parse_envelope(stream))
     return spark, root, ok
 

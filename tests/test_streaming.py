@@ -109,3 +109,19 @@ def test_log_comparison_opens_only_touched_ranges(spark, tmp_root):
     assert cdc_stream.read_log(spark, tmp_root).where("not is_processed").count() == 0
     w(feed(5), 3)
     assert [r.kafka_offset for r in cdc_stream.read_log(spark, tmp_root).where("not is_processed").collect()] == [5]
+
+
+def test_waves_have_files_by_size_and_ascend(spark, tmp_root, monkeypatch):
+    """A large feed lands in many files, wave after wave, so no task holds a fixed share of it."""
+    import glob
+    import os
+    from strata.plans import queries_stream
+    from strata.streaming import cdc_stream
+    feed = FixtureLake(spark, SF_SMALL).cdc_messages()
+    assert queries_stream._land_waves(feed, f"{tmp_root}/f0", f"{tmp_root}/s0", 4) == 1  # a small one: a file each
+    monkeypatch.setattr(cdc_stream, "BYTES_PER_FILE", cdc_stream.store.size_of(spark, f"{tmp_root}/f0") // 12 + 1)
+    files = queries_stream._land_waves(feed, f"{tmp_root}/f", f"{tmp_root}/s", 4, copies=2)
+    assert files >= 5
+    names = sorted(glob.glob(f"{tmp_root}/s/*.parquet"), key=os.path.getmtime)
+    waves = [spark.read.parquet(*names[i * files:(i + 1) * files]).agg(F.min("offset"), F.max("offset"), F.count("*")).first() for i in range(4)]
+    assert all(a[1] < b[0] for a, b in zip(waves, waves[1:])) and sum(w[2] for w in waves) == 2 * feed.count()
