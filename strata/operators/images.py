@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import once, safe_identifier
 from strata.operators import cdc
 from strata.schemas import CDC_TABLES
+from strata.sources import store
 
 _META = r'"__\w+"\s*:\s*(?:"(?:[^"\\]|\\.)*"|[^,}\s]+)'
 
@@ -87,15 +88,17 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 
 
 def replay(dead: DataFrame, log: DataFrame | None, repair: Callable[[DataFrame], DataFrame] | None = None,
-           consumed_at: str | None = None) -> tuple[DataFrame, DataFrame]:
+           consumed_at: str | None = None, keep: bool = False) -> tuple[DataFrame, DataFrame]:
     """T5: (log rows to append, letters that stay dead). ``repair`` maps (topic, partition, offset, value, attempts) to the same
     columns; positions stay, so what the log holds already is not appended again. A position that was quarantined more than once counts once, with its
-    highest number of attempts."""
+    highest number of attempts. With ``keep`` the letters as read are stored once for both results; otherwise each result reads them."""
     letters = dead.groupBy(*cdc.LOG_KEYS).agg(F.max_by("raw_value", "attempts").alias("value"), F.max("attempts").alias("attempts"))
     messages = letters.select(F.col("kafka_topic").alias("topic"), F.col("kafka_partition").alias("partition"),
                               F.col("kafka_offset").alias("offset"), "value", "attempts")
     if repair is not None:
         messages = repair(messages).select("topic", "partition", "offset", "value", "attempts")
     parsed = with_faults(cdc.parse_envelope(messages, consumed_at=consumed_at, keep=["attempts"]))
+    if keep:
+        parsed = store.keep(parsed, "replayed")
     ok = parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "raw_value", "attempts")
     return cdc.append_cdc_log(log, ok), dead_letters(parsed)

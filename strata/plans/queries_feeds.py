@@ -13,7 +13,7 @@ from strata.plans.oracle import EXTRA_CTES
 from strata.plans.queries_cdc import CONSUMED_AT, LOG_CUTOFF, _typed_state_sql, parsed_log
 from strata.schemas import CDC_TABLES
 from strata.session import scratch_path, shared_dir
-from strata.sources import changefeed
+from strata.sources import changefeed, store
 from strata.streaming import cdc_stream, marts
 
 _SUB = "case {k} % 3 when 0 then 'abc' when 1 then 'xyz' else 'rtl' end"
@@ -112,11 +112,11 @@ select kafka_topic, kafka_partition, kafka_offset, case when r in (6, 7) then 'a
 from ox_faulty where reject_reason is not null""")
 def cdc_replay(lake):
     """T5: dead letters read again twice through a repair; what became valid is appended once, the rest counts its attempts."""
-    shared_dir(lake.spark)
-    parsed = _faulty(lake).checkpoint()  # log and dead letters are stored tables in production
+    parsed = store.keep(_faulty(lake), "faulty")  # log and dead letters are stored tables in production
     log, dead = cdc.split_valid(parsed)[0], images.dead_letters(parsed)
-    new, still = (df.checkpoint() for df in images.replay(dead, log, _repair, CONSUMED_AT))
-    again, left = images.replay(dead.unionByName(still), log.unionByName(new), _repair, CONSUMED_AT)
+    new, still = images.replay(dead, log, _repair, CONSUMED_AT, keep=True)
+    new = store.keep(new, "appended")
+    again, left = images.replay(dead.unionByName(still), log.unionByName(new), _repair, CONSUMED_AT, keep=True)
     appended = new.unionByName(again).select(*cdc.LOG_KEYS, F.lit("appended").alias("outcome"), F.lit(None).cast("int").alias("attempts"))
     return appended.unionByName(left.select(*cdc.LOG_KEYS, F.col("reject_reason").alias("outcome"), "attempts"))
 

@@ -13,8 +13,12 @@ stores work the same way as local paths); nothing is read on the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import scratch_path
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -33,6 +37,14 @@ def size_of(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a fresh folder under the shared one and read back: what reads it more than once does not derive it again, and
+    reads the columns and rows it needs only. (``checkpoint`` runs its frame twice: to count it, and to write it.)"""
+    path = scratch_path(df.sparkSession, "kept", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def committed_versions(spark: SparkSession, base: str) -> list[int]:
     """Versions under ``base`` whose write committed (``_SUCCESS`` present)."""
     fs, p, jvm = _fs(spark, base)
