@@ -10,6 +10,7 @@ from strata.operators import cdc, history, monitor
 from strata.plans.catalog import query
 from strata.plans.oracle import EXTRA_CTES
 from strata.schemas import TABLES
+from strata.sources import store
 
 # The consumption time and the monitoring clock used by the
 # catalogue (every "now" is an argument, never the wall clock).
@@ -32,6 +33,12 @@ def parsed_log(lake):
     return stored if stored is not None else parse_messages(lake)
 
 
+def kept_log(lake):
+    """``parsed_log`` for queries that read it more than once: parsed here, it is stored first."""
+    stored = lake.event_log()
+    return stored if stored is not None else store.keep(parse_messages(lake), "log")
+
+
 EXTRA_CTES["ox_cdc_log"] = f"""
 with m as (select *, json_extract_string(value, '$.op') as op,
     nullif(json_extract(value, '$.before')::varchar, 'null') as b,
@@ -61,7 +68,7 @@ def cdc_log_dedup(lake):
     The log already holds everything before LOG_CUTOFF; the next batch
     re-delivers the whole feed twice. The appended log equals the feed.
     """
-    log = parsed_log(lake)
+    log = kept_log(lake)
     log0 = log.filter(F.col("event_ts") < F.lit(LOG_CUTOFF).cast("timestamp_ntz"))
     batch = log.unionByName(log)
     return log0.unionByName(cdc.append_cdc_log(log0, batch))
