@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from strata.operators import cdc, history, images, recon
 from strata.plans.catalog import REGISTRY, query
 from strata.plans.oracle import EXTRA_CTES
-from strata.plans.queries_cdc import CONSUMED_AT, LOG_CUTOFF, _typed_state_sql, parsed_log
+from strata.plans.queries_cdc import CONSUMED_AT, LOG_CUTOFF, _typed_state_sql, kept_log
 from strata.schemas import CDC_TABLES
-from strata.session import scratch_path, shared_dir
+from strata.session import scratch_path
 from strata.sources import changefeed, store
 from strata.streaming import cdc_stream, marts
 
@@ -172,10 +172,10 @@ def stream_gold_marts(lake):
 @query("scd2_incremental", REGISTRY["scd2_history"].sql)
 def scd2_incremental(lake):
     """The history of the first part of the log, then only the changes since merged into it."""
-    log = parsed_log(lake)
+    log = kept_log(lake)
     cut = F.lit(LOG_CUTOFF).cast("timestamp_ntz")
-    shared_dir(lake.spark)
-    stored = history.scd2(log.filter(F.col("event_ts") < cut)).checkpoint()  # a stored table in production
+    stored = store.keep(history.scd2(log.filter(F.col("event_ts") < cut)), "history")  # a stored table in production
+    history.release_pinned()
     return history.scd2_merge(stored, log.filter(F.col("event_ts") >= cut))
 
 
