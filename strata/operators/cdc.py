@@ -189,7 +189,9 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
                                                                                     "deleted_at"]])
     ordv = position()
     up = ~is_del & F.col("after_state").isNotNull()
-    image = F.named_struct(F.lit("id"), F.get_json_object(img, "$.id").try_cast("bigint"),
+    image_id = F.get_json_object(img, "$.id").try_cast("bigint")
+    ids = ch.select("subsidiary_id", image_id.alias("id")).filter(F.col("id").isNotNull())  # keys alone: no image is parsed for them
+    image = F.named_struct(F.lit("id"), image_id,
                            F.lit("parsed"), F.from_json(F.col("after_state"), text_schema),
                            F.lit("keys"), F.coalesce(F.json_object_keys(F.col("after_state")), F.array().cast("array<string>")))
     ch = (ch.select("subsidiary_id", "operation", "event_ts", *LOG_KEYS, "before_state", "after_state", up.alias("_up"))
@@ -221,7 +223,7 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, table: str,
         # Only state rows whose key occurs in this batch take part in the
         # aggregate; the rest pass through unchanged. The batch's key set is
         # small, so AQE broadcasts it and the state is scanned, not shuffled.
-        touched = events.select("subsidiary_id", "id").distinct()
+        touched = ids.select("subsidiary_id", "id").distinct()
         untouched = state.join(touched, ["subsidiary_id", "id"], "left_anti")
         state = state.join(touched, ["subsidiary_id", "id"], "left_semi")
         s_ord = F.struct(F.coalesce(F.col("cdc_event_ts"), F.lit("1970-01-01").cast("timestamp_ntz")).alias("t"), F.col("cdc_topic").alias("p"),

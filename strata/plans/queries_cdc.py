@@ -178,11 +178,11 @@ def fed_state(states: dict):
 def cdc_state_incremental(lake):
     """M2-M5 applied in two batches (state after the first, then the rest) to every fed table —
     must equal the one-shot merge: merge is associative over batches."""
-    log = parsed_log(lake)
+    log = kept_log(lake)
     cut = F.lit(LOG_CUTOFF).cast("timestamp_ntz")
 
     def merged(table):
-        s1 = cdc.merge_changes(None, log.filter(F.col("event_ts") < cut), table)
+        s1 = store.keep(cdc.merge_changes(None, log.filter(F.col("event_ts") < cut), table), table)  # a stored table in production
         return cdc.merge_changes(s1, log.filter(F.col("event_ts") >= cut), table)
 
     return fed_state({t: merged(t) for t in FED})

@@ -15,7 +15,7 @@ def _plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["cdc_log_dedup", "scd2_incremental", "cdc_replay"])
+@pytest.mark.parametrize("name", ["cdc_log_dedup", "cdc_state_incremental", "scd2_incremental", "cdc_replay"])
 def test_envelopes_are_parsed_before_the_result_reads_them(spark, name):
     assert "__op" in _plan(entry.queries()["cdc_parse"](spark, SF_SMALL))  # the envelope's schema shows in a plan that parses
     assert "__op" not in _plan(entry.queries()[name](spark, SF_SMALL))
