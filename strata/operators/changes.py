@@ -117,9 +117,10 @@ def insert_ignore(target: DataFrame | None, batch: DataFrame, table: str,
         keys = [c for c in t.names if c in batch.columns
                 and c not in ("id", "ingested_at", "is_deleted", "deleted_at")]
     b = batch if keyless else batch.filter(_all([F.col(k).isNotNull() for k in keys]))
-    # The row itself is the rank, so each row travels once.
-    row = F.struct(*([F.col(order)] if order else []), *[F.col(c) for c in batch.columns if c != order])
-    first = b.groupBy(*keys).agg(F.min(row).alias("_r")).select("_r.*").select(*batch.columns)
+    # The rest of the row is the rank: each row travels once, its key not twice.
+    rest = [c for c in ([order] if order and order not in keys else []) + [c for c in batch.columns if c != order] if c not in keys]
+    first = b.groupBy(*keys)
+    first = first.agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*").select(*batch.columns) if rest else b.select(*batch.columns).distinct()
     if target is None:
         return first
     # An anti join needs no distinct keys: the target is not de-duplicated.

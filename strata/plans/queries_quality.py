@@ -10,6 +10,7 @@ from strata.operators import changes, checks, filters, gold, quality, recon, rep
 from strata.operators.staging import STAGING, columns_of, stage
 from strata.plans.catalog import query
 from strata.schemas import CAMPAIGN_STATUSES, CAMPAIGN_TYPES, TABLES
+from strata.sources import store
 from strata.sources.landing import form_codes
 
 # Catalogue dates.
@@ -350,7 +351,7 @@ _SALES_COLS = [c for c in TABLES["sales_transactions"].names if c != "id"]
 def insert_ignore(lake):
     """M6: a re-poll of every sales row (each sent twice) into a table that already
     holds the rows before 1998: only the missing keys are inserted, once."""
-    sales = lake.bronze("sales_transactions")
+    sales = store.keep(lake.bronze("sales_transactions"), "sales")  # a stored table in production; target and batch both read it
     target = sales.filter(F.col("transaction_date") < F.lit(LOADED_BEFORE).cast("date"))
     batch = sales.unionByName(sales)
     new = changes.insert_ignore(target, batch, "sales_transactions")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from strata.operators import cdc, images
+from strata.operators import cdc, changes, images
 from strata.sources import changefeed, store
 from strata.sources.lake import FixtureLake
 
@@ -34,3 +34,16 @@ def test_replay_that_keeps_gives_the_same(spark):
     fix = lambda m: m.withColumn("value", F.regexp_replace("value", '"much"', "1"))
     for plain, kept in zip(images.replay(dead, log, fix), images.replay(dead, log, fix, keep=True)):
         assert sorted(map(str, plain.collect())) == sorted(map(str, kept.collect()))
+
+
+def test_insert_ignore_carries_a_key_once(spark):
+    cols = "subsidiary_id string, customer_id string, customer_name string, seq int"
+    batch = spark.createDataFrame([("ABC", "C1", "b", 1), ("ABC", "C1", "a", 2), ("ABC", "C1", None, 3), ("XYZ", "C1", "c", 1)], cols)
+    got = changes.insert_ignore(None, batch, "customers", order="seq")
+    assert sorted(map(tuple, got.collect())) == [("ABC", "C1", "b", 1), ("XYZ", "C1", "c", 1)] and got.columns == batch.columns
+    assert "subsidiary_id, subsidiary_id" not in _plan(got)  # a field of the ranked row
+    unordered = changes.insert_ignore(None, batch, "customers")
+    assert sorted(map(tuple, unordered.collect())) == [("ABC", "C1", None, 3), ("XYZ", "C1", "c", 1)]
+    only_keys = batch.select("subsidiary_id", "customer_id")
+    assert changes.insert_ignore(None, only_keys, "customers").count() == 2
+    assert changes.insert_ignore(None, batch, "customers", order="customer_id").count() == 2
