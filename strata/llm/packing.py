@@ -45,13 +45,31 @@ from strata.llm.util import cut, map_arrow, slices, text_or_empty
 CAPACITY, END_ID = 4096, 1
 SCHEMES = ((4, 16), (3, 16), (2, 16), (8, 16), (4, 64))  # (large: over capacity / this, groups); the best plan counts
 SHARDS = 64
-CACHE = 250_000  # words; half as many word pieces
+CACHE = 250_000  # pieces of words, in two generations
+
+
+class _Known(dict):
+    """What ``make`` gives for a key, kept for the keys used last: at most twice ``most``. When a generation is full it becomes the old one, from which
+    keys in use come back; rare keys go with it, and frequent ones are not made again."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
 
 
 class Tokens:
-    """Token ids of whole texts by a word-level cache over a ``tokenizers`` file whose pre-tokenizer never
-    joins characters across white space. Words outside the plain range, and texts that hold control separators
-    or special-token marks, go to the tokenizer as a whole."""
+    """Token ids of whole texts by a cache of what a ``tokenizers`` file's pre-tokenizer cuts texts into; it never joins characters across
+    white space. One expression cuts a whole text of the plain range, so "Word," and "word" share an entry. Of other texts, words
+    outside that range go to the tokenizer as a whole, as do texts that hold control separators or special-token marks."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -59,40 +77,34 @@ class Tokens:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(plain))}
         self.bytes = {b: chr(other.get(b, b)) for b in range(256)}
-        self.pieces: dict[str, list[int]] = {}
-        self.words: dict[str, bytes] = {}
-        self.plain = re.compile(r"[\x21-\x7e\xa1-\xac\xae-ſ]+").fullmatch
-        self.find = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+").findall
-        self.odd = re.compile(r"[\x1c-\x1f]|<\|").search
-        self.number = {c for c in map(chr, range(0x180)) if unicodedata.category(c)[0] == "N" and c not in "0123456789"}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.pieces = _Known(self._piece, CACHE // 2)
+        self.words = _Known(self._word, CACHE // 8)  # of texts outside the plain range
+        low = [c for c in map(chr, range(0x180)) if re.match(r"[\x21-\x7e\xa1-\xac\xae-ſ]", c) and (unicodedata.category(c)[0] != "N" or c in "0123456789")]
+        letters = "".join(c for c in low if re.match(r"[^\W\d_]", c))
+        space = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+        self.plain = re.compile(f"[{re.escape(''.join(low) + space)}]*").fullmatch
+        # The cuts of the pre-tokenizer in plain text: contractions, letters, single digits, other characters.
+        self.find = re.compile(rf"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|\d|[^\s\d{letters}]+").findall
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():  # an ASCII piece is spelled as it is: white space and control characters are in none
+            piece = piece.encode().decode("latin-1").translate(self.bytes)
+        return array.array("I", [t.id for t in self.tokenize(piece)]).tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.find(text.lower())))
 
     def _word(self, word: str) -> bytes:
-        if len(self.words) > CACHE:
-            self.words.clear()
-        if not self.plain(word) or not self.number.isdisjoint(word):
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        else:
-            ids = []
-            for p in self.find(word.lower()):
-                got = self.pieces.get(p)
-                if got is None:
-                    if len(self.pieces) > CACHE // 2:
-                        self.pieces.clear()
-                    spelled = "".join(map(self.bytes.__getitem__, p.encode()))
-                    got = self.pieces[p] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-                ids += got
-        out = self.words[word] = array.array("I", ids).tobytes()
-        return out
+        if self.plain(word):
+            return self._plain(word)
+        return array.array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        if self.odd(text):
+        if "<|" in text or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        words, word = self.words, self._word
-        out = []
-        for w in text.split():
-            got = words.get(w)
-            out.append(word(w) if got is None else got)
-        return np.frombuffer(b"".join(out), "<u4")
+        ids = b"".join(map(self.words.__getitem__, text.split())) if not self.plain(text) else self._plain(text)
+        return np.frombuffer(ids, "<u4")
 
 
 @functools.lru_cache(maxsize=1)

@@ -426,3 +426,17 @@ def test_exact_copies_of_a_row_go(docs_of):
     rows = [(5, "a b"), (5, "ab"), (5, "a b"), (6, "ab"), (7, "c"), (7, "d"), (None, "e"), (None, "e"), (8, None), (9, "")]
     got = sorted(((x["doc_id"], x["text"]) for x in exact_dedup.drop_copies(docs_of(rows)).collect()), key=str)
     assert got in [sorted(x, key=str) for x in ([(5, "a b"), (7, "c"), (7, "d"), (None, "e"), (8, None)], [(5, "a b"), (5, "ab"), (7, "c"), (7, "d"), (None, "e"), (8, None)])]
+
+
+def test_tokens_keep_frequent_pieces_and_match_the_tokenizer(monkeypatch):
+    """A piece in use is tokenized once however many rare ones come between, whatever stands around it; ids are the tokenizer's."""
+    monkeypatch.setattr(packing, "CACHE", 16)
+    tokens, made = packing.Tokens(packing.default_path()), []
+    make = tokens.pieces.make
+    tokens.pieces.make = lambda p: made.append(p) or make(p)
+    text = " ".join(f"The (the) {'abcdefgh'[i % 8]}x{'ijklmnop'[i // 8]}q the, THE's" for i in range(64))
+    texts = [text, "", " \t\n", "a_b--c' don't I'LL 'tis x'sy 12.5", "Äß ſİı ½ ² 日本 é \x00\x7f \xa0\x85 a​b", "a\x1cb", "x <|endoftext|> y"]
+    for t in texts:
+        assert list(tokens.encode(t)) == tokens.tokenizer.encode(t, add_special_tokens=False).ids, t
+    assert made.count("the") == 1 and made.count("'s") == 1
+    assert len(tokens.pieces) + len(tokens.pieces.old) <= 16
