@@ -125,3 +125,21 @@ def test_waves_have_files_by_size_and_ascend(spark, tmp_root, monkeypatch):
     names = sorted(glob.glob(f"{tmp_root}/s/*.parquet"), key=os.path.getmtime)
     waves = [spark.read.parquet(*names[i * files:(i + 1) * files]).agg(F.min("offset"), F.max("offset"), F.count("*")).first() for i in range(4)]
     assert all(a[1] < b[0] for a, b in zip(waves, waves[1:])) and sum(w[2] for w in waves) == 2 * feed.count()
+
+
+def test_sessions_merge_before_the_exchange(spark, tmp_root):
+    """A task sends on its sessions, not its events: there are few tables, and one task gets all of a table. The setting is the query's alone."""
+    from strata.streaming import cdc_stream
+    rows = spark.range(4000).selectExpr("concat('t', id % 2) as source_table",
+                                        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id % 1000 as int)) as event_ts")
+    for i in range(2):
+        rows.filter(F.lit(i == 0) == (F.col("event_ts") < F.lit("2024-01-01 08:00:00"))).repartition(4).write.mode("append").parquet(f"{tmp_root}/src")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{tmp_root}/src")
+    before = spark.conf.get(cdc_stream.MERGE_FIRST, None)
+    q = cdc_stream.run_to_table(cdc_stream.stream_sessions(stream), f"{tmp_root}/out", f"{tmp_root}/ckpt")
+    q.awaitTermination()
+    plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert "MergingSessions" in plan[plan.rindex("Exchange"):], plan
+    assert spark.conf.get(cdc_stream.MERGE_FIRST, None) == before
+    got = sorted((r.source_table, str(r.session_start), str(r.session_end), r.events) for r in spark.read.parquet(f"{tmp_root}/out").collect())
+    assert got == [(f"t{i}", f"2024-01-01 00:0{i}:00", f"2024-01-01 17:0{8 + i}:00", 2000) for i in (0, 1)]
