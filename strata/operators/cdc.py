@@ -138,9 +138,9 @@ def _typed(text: Column, dtype: T.DataType, epoch: bool = True) -> Column:
     date only as yyyymmdd, and no timestamp."""
     digits = text.rlike(r"^-?\d+$")
     if not epoch and isinstance(dtype, (T.DateType, T.TimestampNTZType, T.TimestampType)):
-        iso = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
         if isinstance(dtype, T.DateType):
-            return F.when(~digits | text.rlike(r"^\d{8}$"), F.to_date(F.try_to_timestamp(iso)))
+            iso = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+            return F.when(~digits, F.to_date(F.try_to_timestamp(text))).when(text.rlike(r"^\d{8}$"), F.to_date(F.try_to_timestamp(iso)))
         return F.when(~digits, F.try_to_timestamp(text).cast("timestamp_ntz"))
     if isinstance(dtype, T.DateType):
         return F.when(digits, F.date_add(F.lit("1970-01-01").cast("date"), text.try_cast("int"))) \

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.columns import penalty
+from strata.functions.columns import once, penalty
 from strata.operators.cdc import _typed, default_value
 from strata.schemas import FEED_FALLBACKS, FEED_RENAMES, TABLES
 
@@ -72,25 +72,26 @@ def ingest(records: DataFrame, table: str, ingested_at: str, feed: str | None =
             df = df.withColumn(dst, F.coalesce(F.col(dst), F.col(src)) if dst in df.columns
                                else F.col(src))
     now = F.lit(ingested_at).cast("timestamp_ntz")
+    read = [c for c in t.columns if c.name in df.columns and c.name != "ingested_at"]
+    # Each text and each typed value is worked out once a row; as projections they would be repeated in every problem, filter and join above.
+    df = df.select(once(F.struct(*[F.trim(F.col(c.name).cast("string")).alias(c.name) for c in read])).alias("_r")) if read else df
+    df = df.select("_r", once(F.struct(*[_typed(F.col("_r")[c.name], c.dtype, epoch=False).alias(c.name) for c in read])).alias("_v")) if read else df
     typed, problems = [], []
     for c in t.columns:
         if c.name == "ingested_at":
             typed.append(now.alias(c.name))
             continue
-        if c.name not in df.columns:
-            raw = F.lit(None).cast("string")
-        else:
-            raw = F.col(c.name).cast("string")
-        v = _typed(F.trim(raw), c.dtype, epoch=False)
-        problems.append(F.when(raw.isNotNull() & (F.trim(raw) != "") & v.isNull(),
-                               F.lit(f"bad value in {c.name}")))
+        v = F.lit(None).cast("string")
+        if c in read:
+            v = F.col("_v")[c.name]
+            problems.append(F.when((F.col("_r")[c.name] != "") & v.isNull(), F.lit(f"bad value in {c.name}")))
         if c.default is not None:
             v = F.coalesce(v, default_value(c, now))
         elif (c.not_null or c.name in t.keys) and c.name != "id":
             problems.append(F.when(v.isNull(), F.lit(f"{c.name} is null")))
         typed.append(v.cast(c.dtype).alias(c.name))
-    reason = F.concat_ws("; ", F.array_compact(F.array(*problems)))
-    out = df.select(*typed, reason.alias("_reason"))
+    reason = F.concat_ws("; ", *problems)  # leaves out nulls
+    out = df.select(*typed, once(reason).alias("_reason"))
     out = with_generated(out, table)
     good = out.filter(F.col("_reason") == "").drop("_reason")
     bad = out.filter(F.col("_reason") != "").withColumnRenamed("_reason", "reject_reason")
