@@ -87,28 +87,41 @@ def all_rules() -> list[Check]:
     return [rule(t, name, holds) for name, (t, holds) in arithmetic_rules().items()]
 
 
-def _tag(number: int, keys: tuple[str, ...], child: int, a: Column | None = None, b: Column | None = None) -> Column:
+def _tag(number: int, key: Column | None, child: int, a: Column | None = None, b: Column | None = None) -> Column:
     nothing = F.lit(None).cast(SUM)
-    key = F.array(*[F.col(k).cast("string") for k in keys]) if keys else F.array().cast("array<string>")
-    return F.struct(F.lit(number).alias("check"), key.alias("key"), F.lit(child).alias("child"),
-                    (nothing if a is None else a.cast(SUM)).alias("a"), (nothing if b is None else b.cast(SUM)).alias("b"))
+    return F.struct(F.lit(number).alias("check"), (F.array().cast("array<string>") if key is None else key).alias("key"), F.lit(child).alias("child"),
+                    (nothing if a is None else a).alias("a"), (nothing if b is None else b).alias("b"))
 
 
-def _tags(table: str, checks: list[Check]) -> list[Column]:
-    """The tags of a row of ``table``; null where a tag does not apply."""
-    out = []
+def _tagged(rows: DataFrame, table: str, checks: list[Check]) -> DataFrame:
+    """The tags of the rows of ``table``, made by projections, which Spark compiles: a generator and a higher-order function over them
+    interpret their argument, here every predicate and key. Tags that do not apply are null and go after the explode."""
+    needs: dict[str, Column] = {}
+    keys: dict[tuple[str, ...], str] = {}
+    tags = []
+
+    def key_of(c: Check) -> str:
+        if c.keys not in keys:
+            keys[c.keys] = f"_k{len(keys)}"
+            needs[keys[c.keys]] = F.array(*[F.col(k).cast("string") for k in c.keys])
+            needs[f"{keys[c.keys]}_whole"] = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in c.keys], F.lit(True))
+        return keys[c.keys]
+
     for i, c in enumerate(checks):
-        whole = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in c.keys], F.lit(True))
         if c.table == table:
             if c.kind == "row":
-                out.append(F.when(c.failing, _tag(i, (), 1)))
+                needs[f"_f{i}"] = c.failing
+                tags.append(F.when(F.col(f"_f{i}"), _tag(i, None, 1)))
             elif c.kind == "sums":
-                out.append(_tag(i, c.keys, 1, F.col(c.sums[0]), F.col(c.sums[1])))
+                needs[f"_a{i}"], needs[f"_b{i}"] = (F.col(x).cast(SUM) for x in c.sums)
+                tags.append(_tag(i, F.col(key_of(c)), 1, F.col(f"_a{i}"), F.col(f"_b{i}")))
             else:
-                out.append(F.when(whole, _tag(i, c.keys, 1)))
+                tags.append(F.when(F.col(f"{key_of(c)}_whole"), _tag(i, F.col(key_of(c)), 1)))
         if c.parent == table:
-            out.append(F.when(whole, _tag(i, c.keys, 0)))
-    return out
+            tags.append(F.when(F.col(f"{key_of(c)}_whole"), _tag(i, F.col(key_of(c)), 0)))
+    needed = rows.select(*[v.alias(n) for n, v in needs.items()]).select(F.array(*tags).alias("t"))
+    # Outer, though no array is empty: for the plain form Spark adds a filter on the array's size, which builds the array once more.
+    return needed.select(F.explode_outer("t").alias("t")).filter(F.col("t").isNotNull()).select("t.*")
 
 
 def report(spark: SparkSession, table: Callable[[str], DataFrame], checks: list[Check]) -> DataFrame:
@@ -118,7 +131,7 @@ def report(spark: SparkSession, table: Callable[[str], DataFrame], checks: list[
     names = sorted({c.table for c in checks} | {c.parent for c in checks if c.parent})
     if not names:
         return declared.select("model", "check_name", "column_name", F.lit(0).cast("long").alias("failures"), F.lit("pass").alias("status"))
-    tagged = [table(n).select(F.explode(F.array_compact(F.array(*_tags(n, checks)))).alias("t")).select("t.*") for n in names]
+    tagged = [_tagged(table(n), n, checks) for n in names]
     per_key = (reduce(DataFrame.unionByName, tagged).groupBy("check", "key")
                .agg(F.sum("child").alias("rows"), F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b")))
 
