@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import cdc, history, images, recon
+from strata.session import released_shuffles
 from strata.sources import changefeed, store
 from strata.sources.lake import FixtureLake
 from strata.streaming import marts
@@ -121,6 +122,49 @@ def test_marts_from_deltas_survive_replay_and_compaction(spark, tmp_root):
     assert store.committed_versions(spark, f"{tmp_root}/base/ar_monthly") == [1]
 
 
+def test_files_that_no_batch_reads_again_go(spark, tmp_root):
+    """A state lies on the disk twice at most, as the batch that runs reads and writes it; the batch's parsed log goes with it."""
+    sink = marts.DeltaMarts(tmp_root, ["ar_monthly"], buckets=4)
+    for b, wave in enumerate(_ledger(spark)):
+        sink(wave, b)
+        lying = {v: store.numbered_folders(spark, f"{tmp_root}/state/ar_ledger/v={v}", "bucket=") for v in range(b + 1)}
+        assert sum(len(x) for x in lying.values()) <= 8 and len(sink.states["ar_ledger"].versions(spark)) == 4, lying
+        assert not store.numbered_folders(spark, f"{tmp_root}/log", "_batch=")
+
+
+def test_large_batches_are_merged_a_few_buckets_at_a_time(spark, tmp_root, monkeypatch):
+    waves, merged = _ledger(spark), []
+    merge = cdc.merge_changes
+    monkeypatch.setattr(marts, "BYTES_PER_MERGE", 1)
+    monkeypatch.setattr(cdc, "merge_changes", lambda *a: merged.append(a) or merge(*a))
+    state, so_far = marts.BucketedState(f"{tmp_root}/ar", "ar_ledger", buckets=4), None
+    for b, wave in enumerate(waves[:2]):
+        signed = state.apply(wave, b, size=1000)
+        so_far = wave if so_far is None else so_far.unionByName(wave)
+        want = merge(None, so_far, "ar_ledger").drop("ingested_at")
+        assert _rows(state.read(spark).select(want.columns)) == _rows(want)
+        assert len(merged) == 4 * (b + 1)
+        assert signed.groupBy("sign").count().count() == b + 1
+    parts = [spark.range(3).withColumn("p", F.lit(0)), spark.range(3).selectExpr("raise_error('x') as id", "1 as p")]
+    with pytest.raises(Exception):
+        store.write_parts(iter(parts), f"{tmp_root}/v", 0, ["p"])
+    assert store.committed_versions(spark, f"{tmp_root}/v") == []  # no part commits a version
+    store.write_parts(iter(parts[:1] + [spark.range(2).withColumn("p", F.lit(1))]), f"{tmp_root}/v", 0, ["p"])
+    assert store.committed_versions(spark, f"{tmp_root}/v") == [0] and store.read_version(spark, f"{tmp_root}/v", 0).count() == 5
+
+
+def test_shuffles_are_released_with_their_action(spark, tmp_root):
+    kept = lambda: spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    with released_shuffles(spark):
+        before = kept()
+        for i in range(20):
+            spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(f"{tmp_root}/{i}")
+        assert kept() <= before
+    assert spark.conf.get(key, None) == was
+
+
 def test_partitioned_versions_commit_under_dynamic_overwrite(spark, tmp_root):
     mode = "spark.sql.sources.partitionOverwriteMode"
     spark.conf.set(mode, "dynamic")  # what get_spark sets
