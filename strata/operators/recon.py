@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+FINE = 1 << 27  # buckets of keys whose rows are compared whole: 16 MB of bits at most
+
 
 def row_count_audit(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Bronze vs silver row counts per table, with the difference.
@@ -47,38 +49,41 @@ def row_diff_values(left: DataFrame, right: DataFrame, keys: list[str], buckets:
     """Rows that differ, by content: keys, ``side`` ('missing_in_right', 'missing_in_left', 'changed') and ``columns``, the
     comma-joined names of the columns that differ in a changed row.
 
-    Each side is first reduced to one digest per bucket of keys (an exclusive or of row hashes and the count, both map-side combined), so equal
-    buckets cost a few bytes; only rows of unequal buckets are compared. Rows that repeat a key are compared as the set of their
-    contents: a key is equal when its rows hash to the same sum on both sides.
+    Both sides are first reduced to one digest per bucket of keys (the sum of the left side's row hashes less the right side's, map-side combined),
+    so equal buckets cost a few bytes. Of unequal buckets the rows' hashes are compared again by ``FINE`` buckets, two numbers a row; only rows of
+    those that differ are compared whole, so the shuffle of whole rows grows with the differences. Rows that repeat a key are compared as the
+    set of their contents: a key is equal when its rows hash to the same sum on both sides.
     """
     values = [c for c in left.columns if c not in keys]
     # xxhash64 passes over nulls, so which values are null is hashed too.
     row = F.xxhash64(*keys, *values, *[F.col(c).isNull() for c in keys + values])
 
-    def hashed(df):
-        return df.select(*keys, *values).withColumns({"_h": row, "_b": F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))})
-
-    def digests(df):
-        return df.groupBy("_b").agg(F.bit_xor("_h").alias("x"), F.count(F.lit(1)).alias("n"))
-
-    a, b = hashed(left), hashed(right)
-    da, db = digests(a), digests(b).withColumnsRenamed({"x": "y", "n": "m"})
-    unequal = da.join(db, "_b", "full").filter(~(F.col("x").eqNullSafe(F.col("y")) & F.col("n").eqNullSafe(F.col("m")))).select("_b")
-
-    def opened(df, side):
-        some = df.join(F.broadcast(unequal), "_b", "left_semi").groupBy(*keys)  # at most ``buckets`` numbers: the rows are not dealt out for them
-        # Of repeated keys the columns of one row stand for all; its hash travels once, not with every column.
-        one = some.agg(F.bit_xor("_h").alias("_x"), F.count(F.lit(1)).alias("_n"), F.max(F.struct("_h", *values)).alias("_v"))
-        return one.select(*[F.col(k).alias(f"{side}_{k}") for k in keys], F.struct("_x", "_n", *[F.col(f"_v.{c}") for c in values]).alias(side))
-
-    l, r = opened(a, "l"), opened(b, "r")
-    on = reduce(lambda p, q: p & q, [F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}")) for k in keys])
-    j = l.join(r, on, "full")
-    differ = F.concat_ws(",", *[F.when(~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")), F.lit(c)) for c in values])
-    same = (F.col("l._x") == F.col("r._x")) & (F.col("l._n") == F.col("r._n"))
-    side = F.when(F.col("r").isNull(), "missing_in_right").when(F.col("l").isNull(), "missing_in_left").otherwise("changed")
-    return j.filter(F.col("l").isNull() | F.col("r").isNull() | ~same).select(
-        *[F.coalesce(f"l_{k}", f"r_{k}").alias(k) for k in keys], side.alias("side"), F.when(side == "changed", differ).alias("columns"))
+    def hashed(df, is_left):
+        h = df.select(*keys, *values).withColumns({"_h": row, "_k": F.xxhash64(*[F.col(k) for k in keys]), "_left": F.lit(is_left)})
+        return h.withColumns({"_b": F.pmod("_k", F.lit(buckets)), "_f": F.pmod("_k", F.lit(FINE)) + 1, "_d": F.shiftright("_h", 16) * (1 if is_left else -1)})
+
+    def unequal(rows, by):  # a sum that overflows tells nothing: its rows are compared
+        return rows.groupBy(by).agg(F.try_sum("_d").alias("x")).filter(F.col("x").isNull() | (F.col("x") != 0)).select(by)
+
+    both = hashed(left, True).unionByName(hashed(right, False))
+    some = both.join(F.broadcast(unequal(both, "_b")), "_b", "left_semi")  # at most ``buckets`` numbers: the rows are not dealt out for them
+    # The fine buckets that differ are bits, in at most FINE / 32768 maps of 4 kB.
+    bits = unequal(some, "_f").groupBy(F.bitmap_bucket_number("_f").alias("_g")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_f")).alias("_bits"))
+    at = F.bitmap_bit_position("_f")
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    opened = (both.withColumn("_g", F.bitmap_bucket_number("_f")).join(F.broadcast(bits), "_g").filter(F.getbit(byte, (at % 8).cast("int")) == 1)
+              .select(*keys, *values, "_h", "_left"))
+
+    def one(side, where):  # of repeated keys the columns of one row stand for all; its hash travels once, not with every column
+        names = ", ".join(f"`{c}`" for c in ["_h", *values])
+        return [F.expr(f"count(1) FILTER (WHERE {where})").alias(f"{side}_n"), F.expr(f"max(struct({names})) FILTER (WHERE {where})").alias(side)]
+
+    h = F.col("_h").cast("decimal(20,0)")
+    j = opened.groupBy(*keys).agg(F.sum(F.when(F.col("_left"), h).otherwise(-h)).alias("_x"), *one("_l", "_left"), *one("_r", "NOT _left"))
+    differ = F.concat_ws(",", *[F.when(~F.col("_l")[c].eqNullSafe(F.col("_r")[c]), F.lit(c)) for c in values])
+    same = (F.col("_x") == 0) & (F.col("_l_n") == F.col("_r_n"))
+    side = F.when(F.col("_r_n") == 0, "missing_in_right").when(F.col("_l_n") == 0, "missing_in_left").otherwise("changed")
+    return j.filter(~same).select(*keys, side.alias("side"), F.when(side == "changed", differ).alias("columns"))
 
 
 def gold_quality(marts: dict[str, DataFrame], year: int) -> DataFrame:

@@ -196,7 +196,8 @@ union all select subsidiary_id, -id, 'missing_in_left', null from a where id % 1
 def row_diff_values(lake):
     """Changed values, missing and extra rows between payables and an altered copy, found by digests of key buckets."""
     path = scratch_path(lake.spark, "row-diff", uuid.uuid4().hex)
-    lake.bronze("ap_invoices").write.parquet(path)  # a stored table in production; the comparison reads each side twice
+    with released_shuffles(lake.spark):
+        lake.bronze("ap_invoices").write.option("compression", "zstd").parquet(path)  # a stored table in production; the comparison reads each side thrice
     left = lake.spark.read.parquet(path)
     i = F.col("id")
     right = left.filter(i % 97 != 0).withColumns({

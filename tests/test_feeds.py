@@ -210,6 +210,41 @@ def test_a_row_differs_by_one_image_per_side(spark):
     assert plan.count("max(struct(_h") == 2, plan
 
 
+def _nodes(plan):
+    """The nodes of a physical plan that ran, those of its stages too."""
+    yield plan
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        yield from _nodes(plan.executedPlan())
+    elif kind.endswith("QueryStageExec"):
+        yield from _nodes(plan.plan())
+    for i in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(i))
+
+
+def test_only_rows_that_differ_are_shuffled_whole(spark):
+    """Though every bucket is unequal, whole rows cross one exchange, and few of those that are equal."""
+    left = spark.range(20000).selectExpr("id", "concat('text-', id) as s", "id * 2 as n")
+    right = left.filter("id % 1000 != 1").selectExpr("id", "if(id % 100 = 7, 'other', s) as s", "n")
+    out = recon.row_diff_values(left, right, ["id"], buckets=16)
+    got = out.collect()
+    assert len(got) == 220 and sum(r["side"] == "changed" and r["columns"] == "s" for r in got) == 200
+    wide = [n.metrics().get("shuffleRecordsWritten").get().value() for n in _nodes(out._jdf.queryExecution().executedPlan())
+            if n.nodeName() == "Exchange" and any(x in n.output().toString() for x in ("s#", "max#"))]
+    assert len(wide) == 1 and 220 <= wide[0] < 1000, wide
+
+
+def test_rows_differ_whatever_the_buckets(spark, monkeypatch):
+    """Few fine buckets open more rows and change no result; rows that repeat do not cancel each other."""
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (7, "p"), (7, "p"), (8, "x"), (9, "y"), (9, "y")], "id int, s string")
+    right = spark.createDataFrame([(1, "a"), (2, "c"), (7, "q"), (7, "q"), (9, "y"), (9, "y"), (9, "y"), (10, "z")], "id int, s string")
+    want = {2: ("changed", "s"), 7: ("changed", "s"), 8: ("missing_in_right", None), 9: ("changed", ""), 10: ("missing_in_left", None)}
+    for fine in (1, 3, 1 << 27):
+        monkeypatch.setattr(recon, "FINE", fine)
+        got = recon.row_diff_values(left, right, ["id"], buckets=3).collect()
+        assert {r["id"]: (r["side"], r["columns"]) for r in got} == want
+
+
 def test_envelopes_and_images_are_parsed_once(spark):
     """A filter on the faults repeats no parse: one of the envelope and one of the image."""
     feed = changefeed.order_feed(FixtureLake(spark, SF_SMALL))
